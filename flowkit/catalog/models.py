@@ -11,7 +11,7 @@ from flowkit.operators import masking, scoring
 from flowkit.plans import model_jobs
 from flowkit.session import scratch_dir
 from flowkit.sinks.files import write_csv
-from flowkit.sources.files import read_csv_list
+from flowkit.sources.files import balanced, read_csv_list
 
 # Linear price models over the columns the parts are given below.
 _COEFFICIENTS = {
@@ -103,7 +103,7 @@ def mask_last_word(spark: SparkSession, folder: str) -> DataFrame:
     FROM ({_MASKED}) LEFT JOIN best ON size >= 3 AND lower(tok[size - 2]) = prev
 """)
 def masked_predict(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "documents").select(F.explode(text.lines_of(F.col("text"))).alias("value"))
+    lines = balanced(table(spark, folder, "documents").select("text")).select(F.explode(text.lines_of(F.col("text"))).alias("value"))
     model = model_jobs.train_next_word(lines)
     talk = table(spark, folder, "conversations").select("conv_id", "turn", "text")
     return masking.predict_masked(talk, "text", model).drop("text")

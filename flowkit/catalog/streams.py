@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from flowkit.catalog.registry import query, table
 from flowkit.functions import text
-from flowkit.functions.jsonrow import json_int, to_json_text
+from flowkit.functions.jsonrow import to_json_text
 from flowkit.plans import stream_jobs
 from flowkit.sources.messages import read_messages
 from flowkit.streaming.replay import replay, time_slices
@@ -57,7 +57,7 @@ def _ride_messages(spark: SparkSession, folder: str) -> DataFrame:
     # The statement over ride messages leaves out "enroute"; here that is "view".
     status = F.when(F.col("event_type") == "view", "enroute").otherwise(F.col("event_type"))
     ride = to_json_text(
-        status.alias("ride_status"), json_int(F.try_parse_json("props"), "k").alias("passenger_count")
+        status.alias("ride_status"), F.get_json_object("props", "$.k").cast("bigint").alias("passenger_count")
     )
     return events.select(text.encode(ride).alias("value"), F.col("ts").cast("timestamp").alias("ts"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowkit.catalog.registry import query, table
 from flowkit.functions import text
 from flowkit.operators import counting, split
-from flowkit.session import scratch_dir
+from flowkit.session import materialize, scratch_dir
 from flowkit.sinks.files import write_lines
 from flowkit.sources import files as sources
 from flowkit.sources.files import read_lines
@@ -18,13 +18,16 @@ _ASCII_WORDS = "SELECT unnest(regexp_extract_all(text, '[A-Za-z'']+')) AS word F
 _LINES = "SELECT unnest(string_split(text, chr(10))) AS line FROM documents"
 
 
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return sources.balanced(table(spark, folder, "documents").select("text"))
+
+
 def _document_lines(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents")
-    return documents.select(F.explode(text.lines_of(F.col("text"))).alias("value"))
+    return _documents(spark, folder).select(F.explode(text.lines_of(F.col("text"))).alias("value"))
 
 
 def _word_count(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").transform(counting.word_count, "text")
+    return _documents(spark, folder).transform(counting.word_count, "text")
 
 
 @query(f"SELECT word, count(*) AS n FROM ({_WORDS}) GROUP BY word")
@@ -44,7 +47,11 @@ def format_counts(spark: SparkSession, folder: str) -> DataFrame:
     SELECT 'chars', NULL, sum(length(line))::BIGINT FROM ({_LINES})
 """)
 def split_short_long(spark: SparkSession, folder: str) -> DataFrame:
-    return _document_lines(spark, folder).transform(split.split_words)
+    stats = materialize(_document_lines(spark, folder).transform(split.word_stats), "split")
+    frames = split.split_words(stats)
+    chars = frames[split.CHARS].select(F.lit(None).cast("string").alias("word"), F.col(split.CHARS).alias("n"))
+    parts = {**frames, split.CHARS: chars}
+    return split.union_all(*[frame.withColumn("tag", F.lit(tag)) for tag, frame in parts.items()])
 
 
 @query(f"SELECT sum(length(line))::BIGINT AS total FROM ({_LINES})")

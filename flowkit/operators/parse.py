@@ -17,14 +17,18 @@ class Parsed(NamedTuple):
     rejects: DataFrame
 
 
-def _sort_out(df: DataFrame, bad: Column, kept: Sequence[str], source: str, strict: bool) -> Parsed:
-    checked = df.withColumn("__bad", F.coalesce(bad, F.lit(True)))
+def _sort_out(
+    df: DataFrame, fields: Mapping[str, Column], bad: Column, keep: Sequence[str], source: str, strict: bool
+) -> Parsed:
     if strict:
-        message = F.concat(F.lit("row does not fit: "), F.coalesce(F.col(source).cast("string"), F.lit("NULL")))
-        checked = checked.withColumn(
-            "__bad", F.when(F.col("__bad"), F.raise_error(message).cast("boolean")).otherwise(False)
-        )
-    return Parsed(checked.where(~F.col("__bad")).select(*kept), checked.where("__bad").select(source))
+        text = F.coalesce(F.col(source).cast("string"), F.lit("NULL"))
+        failure = F.raise_error(F.concat(F.lit("row does not fit: "), text)).cast("boolean")
+        bad = F.when(bad, failure).otherwise(False)
+    # Filters do not pass below inline: each row is parsed once, whatever is
+    # asked of its fields afterwards.
+    row = F.struct(bad.alias("__bad"), *[value.alias(name) for name, value in fields.items()])
+    checked = df.select(*dict.fromkeys([source, *keep]), F.inline(F.array(row)))
+    return Parsed(checked.where(~F.col("__bad")).select(*fields, *keep), checked.where("__bad").select(source))
 
 
 def parse_csv_lines(
@@ -36,12 +40,13 @@ def parse_csv_lines(
     its type does not take goes to the rejects, or raises if ``strict``.
     """
     split = lines.withColumn("__fields", csv_fields(F.col(column)))
+    typed = {}
     bad = F.col("__fields").isNull()
     for place, (name, kind) in enumerate(fields.items()):
         raw = F.get("__fields", F.lit(place))
-        split = split.withColumn(name, raw.try_cast(kind))
-        bad = bad | (raw.isNotNull() & F.col(name).isNull())
-    return _sort_out(split, bad, list(fields), column, strict)
+        typed[name] = raw.try_cast(kind)
+        bad = bad | (raw.isNotNull() & typed[name].isNull())
+    return _sort_out(split, typed, bad, (), column, strict)
 
 
 def parse_json_rows(
@@ -58,8 +63,8 @@ def parse_json_rows(
     """
     readers = {"text": json_text, "int": json_int}
     document = df.withColumn("__doc", F.try_parse_json(F.col(column).cast("string")))
+    values = {name: readers[kind](F.col("__doc"), name) for name, kind in fields.items()}
     bad = F.lit(False)
-    for name, kind in fields.items():
-        document = document.withColumn(name, readers[kind](F.col("__doc"), name))
-        bad = bad | F.col(name).isNull()
-    return _sort_out(document, bad, [*fields, *keep], column, strict)
+    for value in values.values():
+        bad = bad | value.isNull()
+    return _sort_out(document, values, bad, keep, column, strict)

@@ -10,37 +10,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowkit.session import materialize
+
 BUCKET_DIGITS = 3  # 16**3 buckets
 SPREAD = 4096  # least number of join keys a draw is spread over
+CHUNK = 100_000  # most copies of one value that stay together
+
+
+def value_list(df: DataFrame, column: str, ignore: str | None = None) -> DataFrame:
+    """The list as ``(value, copies)``, without ignored, empty and NULL values."""
+    usable = df.where(F.col(column) != "").select(F.col(column).alias("value"))
+    if ignore:
+        usable = usable.where(F.col("value") != ignore)
+    return usable.groupBy("value").agg(F.count(F.lit(1)).alias("copies"))
 
 
-def dense_index(df: DataFrame, column: str) -> DataFrame:
-    """Number the rows from 0, ordered by the MD5 of ``column``, then by it.
+def _upto(last: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), last))
 
-    The values should be distinct: then the buckets are of like size.
+
+def dense_index(values: DataFrame) -> DataFrame:
+    """Number a list of ``(value, copies)`` from 0, as ``(value, idx)``.
+
+    Distinct values are numbered in the order of their MD5. A value with very
+    many copies is cut into chunks, which go to buckets of their own.
     """
-    hashed = df.withColumn("__md5", F.md5(F.col(column))).withColumn(
-        "__bucket", F.substring("__md5", 1, BUCKET_DIGITS)
+    chunks = values.withColumn("chunk", _upto(((F.col("copies") - 1) / CHUNK).cast("bigint")))
+    suffix = F.when(F.col("chunk") > 0, F.concat(F.lit(":"), F.col("chunk").cast("string"))).otherwise("")
+    chunks = (
+        chunks.withColumn("size", F.least(F.lit(CHUNK), F.col("copies") - F.col("chunk") * CHUNK))
+        .withColumn("hash", F.md5(F.concat("value", suffix)))
+        .withColumn("bucket", F.substring("hash", 1, BUCKET_DIGITS))
     )
     # At most 16**BUCKET_DIGITS rows, whatever the size of the list: that bounds
     # both the window in one task and the broadcast.
+    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        hashed.groupBy("__bucket")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn(
-            "__start",
-            F.coalesce(
-                F.sum("__n").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ),
-        )
-        .drop("__n")
+        chunks.groupBy("bucket")
+        .agg(F.sum("size").alias("in_bucket"))
+        .select("bucket", F.coalesce(F.sum("in_bucket").over(earlier), F.lit(0)).alias("start"))
+    )
+    within = Window.partitionBy("bucket").orderBy("hash", "value", "chunk").rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    place = F.row_number().over(Window.partitionBy("__bucket").orderBy("__md5", column))
     return (
-        hashed.withColumn("__place", place)
-        .join(F.broadcast(starts), "__bucket")
-        .withColumn("idx", F.col("__start") + F.col("__place") - 1)
-        .drop("__md5", "__bucket", "__place", "__start")
+        chunks.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0)))
+        .join(F.broadcast(starts), "bucket")
+        .withColumn("copy", _upto(F.col("size") - 1))
+        .select("value", (F.col("start") + F.col("before") + F.col("copy")).alias("idx"))
     )
 
 
@@ -61,21 +78,19 @@ def draw(
 ) -> DataFrame:
     """Attach one candidate to each group, at random but repeatable by ``seed``.
 
-    The ignored, empty and NULL candidates are left out before drawing. Raises
-    if groups exist and no candidate does. A short list would give the join few
-    keys with very many groups each; its rows are copied until there are
-    ``SPREAD`` keys, and the groups spread over the copies.
+    The ignored, empty and NULL candidates are left out before drawing; one
+    that occurs twice is drawn twice as often. Raises if groups exist and no
+    candidate does. A short list would give the join few keys with very many
+    groups each; its rows are copied until there are ``SPREAD`` keys, and the
+    groups spread over the copies.
     """
     name = name or column
-    usable = candidates.where(F.col(column) != "").select(F.col(column).alias("__value"))
-    if ignore:
-        usable = usable.where(F.col("__value") != ignore)
-    size = usable.agg(F.count(F.lit(1))).scalar()
-    copies = usable.agg(
-        F.greatest(F.lit(1), F.ceil(F.lit(SPREAD) / F.greatest(F.count(F.lit(1)), F.lit(1)))).cast("bigint")
-    ).scalar()
-    listed = dense_index(usable, "__value").withColumn(
-        "__copy", F.explode(F.sequence(F.lit(0).cast("bigint"), copies - 1))
+    values = materialize(value_list(candidates, column, ignore), "values")
+    count = F.coalesce(F.sum("copies"), F.lit(0))
+    size = values.agg(count).scalar()
+    salts = values.agg(F.ceil(F.lit(SPREAD) / F.greatest(count, F.lit(1)))).scalar()
+    listed = dense_index(values).select(
+        F.col("value").alias("__value"), F.col("idx").alias("__at"), _upto(salts - 1).alias("__copy")
     )
     checked = F.when(F.col("__size") > 0, F.col("__size")).otherwise(
         F.raise_error(F.lit("no candidate to draw from")).cast("bigint")
@@ -83,9 +98,9 @@ def draw(
     picks = (
         groups.withColumn("__size", size)
         .withColumn("__idx", F.pmod(draw_number(F.col(group), seed), checked))
-        .withColumn("__salt", F.pmod(F.xxhash64(F.col(group)), copies))
+        .withColumn("__salt", F.pmod(F.xxhash64(F.col(group)), salts))
     )
-    drawn = picks.join(listed, (picks["__idx"] == listed["idx"]) & (picks["__salt"] == listed["__copy"]), "left")
-    return drawn.withColumn(name, F.col("__value")).drop(
-        "__size", "__idx", "__salt", "idx", "__copy", "__value"
+    on = (F.col("__idx") == F.col("__at")) & (F.col("__salt") == F.col("__copy"))
+    return picks.join(listed, on, "left").select(
+        *[c for c in groups.columns if c != name], F.col("__value").alias(name)
     )

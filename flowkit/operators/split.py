@@ -9,38 +9,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowkit.functions import text
+from flowkit.operators.counting import total
 
-# Tags of the word split.
+# Names of the outputs of the word split.
 LONG, SHORT, CHARS = "words", "short_words", "chars"
 
 
-def split_words(df: DataFrame, column: str = "value") -> DataFrame:
-    """Counts of long words, counts of short words and the number of characters.
+def word_stats(df: DataFrame, column: str = "value") -> DataFrame:
+    """Counts per word, and the characters of the lines that begin with it.
 
-    One scan and one shuffle serve all three: each line yields its tagged
-    words and its length, summed per ``(tag, word)``. ``word`` is NULL in the
-    one row of ``chars``. An empty input gives no row for any tag.
+    A line without words counts for the NULL word. One scan and one shuffle
+    give all that the three outputs need.
     """
     line = F.col(column)
-    word_type = "struct<tag:string,word:string,n:bigint>"
-    found = F.transform(
-        text.words(line, text.ASCII_WORD),
-        lambda w: F.struct(
-            F.when(text.is_short(w), SHORT).otherwise(LONG).alias("tag"), w.alias("word"), F.lit(1).alias("n")
-        ),
-    ).cast(f"array<{word_type}>")
-    size = F.array(F.struct(F.lit(CHARS), F.lit(None), F.length(line)).cast(word_type))
     return (
         df.where(line.isNotNull())
-        .select(F.inline(F.concat(size, found)))
-        .groupBy("tag", "word")
-        .agg(F.sum("n").alias("n"))
+        .select(F.length(line).alias("size"), F.posexplode_outer(text.words(line, text.ASCII_WORD)).alias("pos", "word"))
+        .groupBy("word")
+        .agg(
+            F.count("word").alias("n"),
+            F.sum(F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, F.col("size"))).alias("chars"),
+        )
     )
 
 
-def outputs(tagged: DataFrame, tags: list[str], tag: str = "tag") -> dict[str, DataFrame]:
-    """One frame per tag. Materialize ``tagged`` first if more than one is written."""
-    return {t: tagged.where(F.col(tag) == t).drop(tag) for t in tags}
+def split_words(stats: DataFrame) -> dict[str, DataFrame]:
+    """Long words and short words with their counts, and the number of characters.
+
+    ``stats`` comes from ``word_stats``; materialize it first if more than one
+    output is used. Without a line ``chars`` has no row.
+    """
+    words = stats.where(F.col("word").isNotNull()).select("word", "n")
+    return {
+        LONG: words.where(~text.is_short(F.col("word"))),
+        SHORT: words.where(text.is_short(F.col("word"))),
+        CHARS: stats.transform(total, F.col("chars"), CHARS),
+    }
 
 
 def with_route(df: DataFrame, conditions: Mapping[str, Column], route: str = "route") -> DataFrame:
@@ -55,7 +59,8 @@ def with_route(df: DataFrame, conditions: Mapping[str, Column], route: str = "ro
 
 def partition_rows(df: DataFrame, conditions: Mapping[str, Column]) -> dict[str, DataFrame]:
     """Each row in exactly one of the named frames, or in none."""
-    return outputs(df.transform(with_route, conditions, "__route"), list(conditions), "__route")
+    routed = df.transform(with_route, conditions, "__route")
+    return {name: routed.where(F.col("__route") == name).drop("__route") for name in conditions}
 
 
 def all_present(columns: list[str]) -> Column:

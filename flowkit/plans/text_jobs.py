@@ -29,9 +29,10 @@ def run_word_count(spark: SparkSession, input: str, output: str) -> None:
 
 def run_split_words(spark: SparkSession, input: str, output: str) -> None:
     """Text files to three folders: ``-chars``, ``-short-words``, ``-words``."""
-    tagged = materialize(sources.read_lines(spark, input).transform(split.split_words), "split")
-    frames = split.outputs(tagged, [split.CHARS, split.SHORT, split.LONG])
-    sinks.write_lines(frames[split.CHARS].select(F.col("n").cast("string").alias("value")), f"{output}-chars")
+    stats = materialize(sources.read_lines(spark, input).transform(split.word_stats), "split")
+    frames = split.split_words(stats)
+    chars = frames[split.CHARS].select(F.col(split.CHARS).cast("string").alias("value"))
+    sinks.write_lines(chars, f"{output}-chars")
     sinks.write_lines(frames[split.SHORT].transform(counting.format_counts), f"{output}-short-words")
     sinks.write_lines(frames[split.LONG].transform(counting.format_counts), f"{output}-words")
 

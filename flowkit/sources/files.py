@@ -70,6 +70,16 @@ def read_table(
     return df.select(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()])
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer splits than the cluster has cores over all of them.
+
+    For costly work on rows that come from a few files Spark cannot split. A
+    scan with enough splits stays as it is, so large inputs are not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
