@@ -86,13 +86,14 @@ def models_from_files(spark, model_path: str, names: Sequence[str], suffix: str
     """
     for name in names:
         spark.sparkContext.addFile(f"{model_path}{name}{suffix}")
+    prefix = model_path.rsplit("/", 1)[-1]
 
     def load(name: str):
         import pickle
 
         from pyspark import SparkFiles
 
-        with open(SparkFiles.get(name + suffix), "rb") as file:
+        with open(SparkFiles.get(prefix + name + suffix), "rb") as file:
             model = pickle.load(file)
         return model.predict if hasattr(model, "predict") else model
 

@@ -92,15 +92,11 @@ def draw(
     listed = dense_index(values).select(
         F.col("value").alias("__value"), F.col("idx").alias("__at"), _upto(salts - 1).alias("__copy")
     )
-    checked = F.when(F.col("__size") > 0, F.col("__size")).otherwise(
-        F.raise_error(F.lit("no candidate to draw from")).cast("bigint")
-    )
     picks = (
-        groups.withColumn("__size", size)
-        .withColumn("__idx", F.pmod(draw_number(F.col(group), seed), checked))
+        groups.withColumn("__size", F.greatest(size, F.lit(1)))
+        .withColumn("__idx", F.pmod(draw_number(F.col(group), seed), F.col("__size")))
         .withColumn("__salt", F.pmod(F.xxhash64(F.col(group)), salts))
     )
     on = (F.col("__idx") == F.col("__at")) & (F.col("__salt") == F.col("__copy"))
-    return picks.join(listed, on, "left").select(
-        *[c for c in groups.columns if c != name], F.col("__value").alias(name)
-    )
+    found = F.coalesce(F.col("__value"), F.raise_error(F.lit("no candidate to draw from")).cast("string"))
+    return picks.join(listed, on, "left").select(*[c for c in groups.columns if c != name], found.alias(name))

@@ -1,0 +1,96 @@
+"""Model calls."""
+
+import pickle
+
+import pytest
+
+from flowkit.operators import masking, scoring
+from flowkit.plans import model_jobs
+from tests.conftest import rows
+
+ROUTES = {"both": ["a", "b"], "one": ["a"]}
+DATA = [(1.0, 2.0, "x"), (3.0, None, "y"), (4.0, float("nan"), "z"), (None, 5.0, "lost")]
+
+
+def frame_of(spark):
+    return spark.createDataFrame(DATA, "a double, b double, name string")
+
+
+def factory():
+    return scoring.linear_models({"both": {"a": 10.0, "b": 1.0}, "one": {"a": 100.0}}, {"both": 0.5, "one": 0.0})
+
+
+def test_route_and_score(spark):
+    scored = scoring.route_and_score(frame_of(spark), ROUTES, factory())
+    assert rows(scored.rows.select("name", "route", "prediction")) == [
+        ("x", "both", 12.5),
+        ("y", "one", 300.0),
+        ("z", "one", 400.0),
+    ]
+    assert [r.name for r in scored.rejects.collect()] == ["lost"]
+    with pytest.raises(Exception, match="no model takes"):
+        scoring.route_and_score(frame_of(spark), ROUTES, factory(), strict=True).rows.collect()
+
+
+class Doubler:
+    def predict(self, frame):
+        return frame["a"] * 2
+
+
+def test_models_from_files(spark, tmp_path):
+    import tests.test_scoring
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(tests.test_scoring)
+    for name in ROUTES:
+        (tmp_path / f"m_{name}.pickle").write_bytes(cloudpickle.dumps(Doubler()))
+    load = scoring.models_from_files(spark, f"{tmp_path}/m_", list(ROUTES))
+    scored = scoring.route_and_score(frame_of(spark), ROUTES, load)
+    assert rows(scored.rows.select("name", "prediction")) == [("x", 2.0), ("y", 6.0), ("z", 8.0)]
+
+
+def test_batch_infer_bounds_its_batches(spark):
+    def load():
+        return lambda texts: [f"{t}/{len(texts)}" for t in texts]
+
+    frame = spark.range(0, 10, 1, 1).selectExpr("id AS key", "concat('t', id) AS text")
+    found = rows(scoring.batch_infer(frame, "text", load, "string", max_batch=1))
+    assert found == [(i, f"t{i}", f"t{i}/1") for i in range(10)]
+    whole = scoring.batch_infer(frame, "text", load, "string")
+    assert {r.inference.split("/")[1] for r in whole.collect()} == {"10"}
+    fours = scoring.batch_infer(frame, "text", load, "string", max_batch=4)
+    assert {r.inference.split("/")[1] for r in fours.collect()} == {"4", "2"}
+
+
+def test_masked_prediction(lines):
+    model = masking.best_next_word(masking.bigram_counts(lines(["the sun is up", "The sun is down", "is up", "a"])))
+    assert dict(rows(model)) == {"the": "sun", "sun": "is", "is": "up"}
+    found = masking.predict_masked(lines(["The moon is red .", "sun sets .", "  ", "word"]), "value", model)
+    assert rows(found.select("masked", "predicted", "report")) == [
+        ("The moon is [MASK] .", "up", "The moon is red .;up"),
+        ("[MASK] word", "", "word;"),
+        ("sun [MASK] .", "is", "sun sets .;is"),
+    ]
+
+
+def test_bigrams_break_ties_and_keep_to_their_line(lines):
+    bigrams = masking.bigram_counts(lines(["a b", "a c", "c", ""]))
+    assert rows(bigrams) == [("a", "b", 1), ("a", "c", 1)]
+    assert rows(masking.best_next_word(bigrams)) == [("a", "c")]
+
+
+def test_price_report(spark):
+    frame = spark.createDataFrame([(100.5, 99.5), (None, 1.4)], "TradePrice double, prediction double")
+    assert rows(model_jobs.price_report(frame)) == [
+        ("True Price 100, Predicted Price 100",),
+        ("True Price nan, Predicted Price 1",),
+    ]
+
+
+def test_pickled_callable_needs_no_predict(spark, tmp_path):
+    import operator
+
+    (tmp_path / "neg.pickle").write_bytes(pickle.dumps(operator.methodcaller("sum", axis=1)))
+    load = scoring.models_from_files(spark, f"{tmp_path}/", ["neg"])
+    scored = scoring.route_and_score(frame_of(spark), {"neg": ["a"]}, load)
+    assert rows(scored.rows.select("prediction")) == [(1.0,), (3.0,), (4.0,)]
