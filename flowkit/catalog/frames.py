@@ -13,7 +13,7 @@ from flowkit.operators import joins, split, topk
 from flowkit.plans.text_jobs import draw_groups
 from flowkit.session import scratch_dir
 from flowkit.sinks.files import append_table, write_csv
-from flowkit.sources.files import distinct_values, read_csv, read_table
+from flowkit.sources.files import distinct_values, group_ids, read_csv, read_table
 from flowkit.streaming.windows import tumbling_count
 
 # Suppliers in debt are not listed, so some line items find no supplier.
@@ -190,23 +190,24 @@ _DRAW = """
            count(*) OVER () AS size
     FROM (SELECT DISTINCT {value} FROM {table}) WHERE {value} <> '' AND {value} <> '{ignore}'
 """
-_NUMBER = "('0x' || substr(md5('id' || o_orderkey || ':{seed}'), 1, 15))::BIGINT"
+_NUMBER = "('0x' || substr(md5('id' || i || ':{seed}'), 1, 15))::BIGINT"
 
 
 @query(f"""
     WITH corpora AS ({_DRAW.format(value="source", table="documents", ignore="src0")}),
          words AS ({_DRAW.format(value="p_name", table="part", ignore="red widget")}),
          ids AS (
-             SELECT 'id' || o_orderkey AS group_id,
-                    {_NUMBER.format(seed="7-corpus")} % (SELECT max(size) FROM corpora) AS i,
-                    {_NUMBER.format(seed="7-word")} % (SELECT max(size) FROM words) AS j
-             FROM orders
+             SELECT 'id' || i AS group_id,
+                    {_NUMBER.format(seed="7-corpus")} % (SELECT max(size) FROM corpora) AS c,
+                    {_NUMBER.format(seed="7-word")} % (SELECT max(size) FROM words) AS w
+             FROM (SELECT row_number() OVER () - 1 AS i FROM orders)
          )
     SELECT group_id, corpora.source AS corpus, p_name AS word
-    FROM ids JOIN corpora ON corpora.idx = i JOIN words ON words.idx = j
+    FROM ids JOIN corpora ON corpora.idx = c JOIN words ON words.idx = w
 """)
 def side_input_groups(spark: SparkSession, folder: str) -> DataFrame:
-    ids = table(spark, folder, "orders").select(F.concat(F.lit("id"), F.col("o_orderkey")).alias("group_id"))
+    """As many groups as there are orders."""
+    ids = group_ids(spark, table(spark, folder, "orders").count())
     corpora = distinct_values(table(spark, folder, "documents"), "source")
     words = distinct_values(table(spark, folder, "part"), "p_name")
     return draw_groups(ids, "group_id", corpora, words, "src0", "red widget", seed=7)

@@ -82,12 +82,12 @@ def value_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-    SELECT s_nationkey, coalesce(sum(s_acctbal::DECIMAL(12, 2)), 0)::DECIMAL(22, 2) AS s_acctbal
+    SELECT s_nationkey, coalesce(sum(round(s_acctbal * 100)::BIGINT), 0)::BIGINT AS cents
     FROM supplier WHERE s_nationkey IS NOT NULL GROUP BY s_nationkey
 """)
 def keyed_sum(spark: SparkSession, folder: str) -> DataFrame:
-    suppliers = table(spark, folder, "supplier").withColumn("s_acctbal", F.col("s_acctbal").cast("decimal(12,2)"))
-    return suppliers.transform(counting.keyed_sum, "s_nationkey", "s_acctbal")
+    suppliers = table(spark, folder, "supplier").withColumn("cents", F.round(F.col("s_acctbal") * 100).cast("bigint"))
+    return suppliers.transform(counting.keyed_sum, "s_nationkey", "cents")
 
 
 @query("SELECT DISTINCT source FROM documents")

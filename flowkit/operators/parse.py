@@ -24,11 +24,16 @@ def _sort_out(
         text = F.coalesce(F.col(source).cast("string"), F.lit("NULL"))
         failure = F.raise_error(F.concat(F.lit("row does not fit: "), text)).cast("boolean")
         bad = F.when(bad, failure).otherwise(False)
+    row = F.struct(bad.alias("__bad"), *[value.alias(name) for name, value in fields.items()])
     # Filters do not pass below inline: each row is parsed once, whatever is
     # asked of its fields afterwards.
-    row = F.struct(bad.alias("__bad"), *[value.alias(name) for name, value in fields.items()])
-    checked = df.select(*dict.fromkeys([source, *keep]), F.inline(F.array(row)))
-    return Parsed(checked.where(~F.col("__bad")).select(*fields, *keep), checked.where("__bad").select(source))
+    checked = df.select(F.col(source).alias("__source"), *keep, row.alias("__row")).select(
+        "__source", *keep, F.inline(F.array("__row"))
+    )
+    return Parsed(
+        checked.where(~F.col("__bad")).select(*fields, *keep),
+        checked.where("__bad").select(F.col("__source").alias(source)),
+    )
 
 
 def parse_csv_lines(

@@ -67,7 +67,7 @@ def all_present(columns: list[str]) -> Column:
     """True where no column is NULL or NaN."""
     return reduce(
         lambda a, b: a & b,
-        [F.col(c).isNotNull() & ~F.col(c).cast("string").eqNullSafe("NaN") for c in columns],
+        [F.col(c).isNotNull() & ~F.isnan(F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))) for c in columns],
     )
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from flowkit.session import materialize
+
 
 class TooLargeForOneFile(ValueError):
     pass
@@ -15,11 +17,12 @@ def write_lines(df: DataFrame, path: str, column: str = "value", single_max_rows
     """Write a text column as lines, one file per task, into a new folder.
 
     ``single_max_rows`` asks for one file. One file means one task, so this is
-    for reports whose size is known; a frame with more rows is refused before
-    anything is written.
+    for reports whose size is known; a frame with more rows is refused. The
+    rows are computed once, by all tasks, before they are counted.
     """
     lines = df.select(F.col(column).alias("value"))
     if single_max_rows is not None:
+        lines = materialize(lines, "report")
         if lines.limit(single_max_rows + 1).count() > single_max_rows:
             raise TooLargeForOneFile(f"more than {single_max_rows} lines; write a folder instead")
         lines = lines.coalesce(1)

@@ -50,13 +50,13 @@ def test_strip_and_tokens_are_those_of_str(spark, values):
 
 
 def test_masked_token(spark):
-    values = ["The sun is up .", "one", "one two", "  a\tb   c  ", "It is raining cats and dogs ."]
+    values = ["The sun is up .", "one", "one two", "  a\tb   c  ", "We left the old house early ."]
     assert apply(spark, values, "string", text.mask_token) == [
         "The sun is [MASK] .",
         "[MASK] one",
         "[MASK] two",
         "a [MASK] c",
-        "It is raining cats and [MASK] .",
+        "We left the old house [MASK] .",
     ]
     assert apply(spark, ["a b c d"], "string", lambda c: text.mask_token(c, 2)) == ["a [MASK] c d"]
 
