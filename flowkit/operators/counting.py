@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowkit.functions import text
+from flowkit.functions.numbers import known
 
 
 def explode_words(df: DataFrame, column: str = "value", pattern: str = text.UNICODE_WORD) -> DataFrame:
@@ -37,11 +38,11 @@ def format_counts(df: DataFrame, key: str = "word", count: str = "n") -> DataFra
 
 
 def keyed_sum(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Sum per key; NULL keys drop out, a key with only NULL values sums to 0."""
+    """Sum per key; NULL keys drop out, a key without a known value sums to 0."""
     return (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.coalesce(F.sum(value), F.lit(0)).alias(value))
+        .agg(F.coalesce(F.sum(known(F.col(value))), F.lit(0)).alias(value))
     )
 
 

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowkit.functions.numbers import known
+
 
 def lookup_join(
     facts: DataFrame,
@@ -54,7 +56,7 @@ def lookup_sum(
     per_key = (
         facts.where(F.col(fact_key).isNotNull())
         .groupBy(fact_key)
-        .agg(F.coalesce(F.sum(value), F.lit(0)).alias(value))
+        .agg(F.coalesce(F.sum(known(F.col(value))), F.lit(0)).alias(value))
     )
     named = lookup.where(F.col(group).isNotNull()).select(F.col(lookup_key).alias("__key"), group)
     return (

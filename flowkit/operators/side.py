@@ -63,7 +63,7 @@ def dense_index(values: DataFrame) -> DataFrame:
 
 def draw_number(key: Column, seed: str | int) -> Column:
     """A repeatable number below 2**60, evenly spread over the keys."""
-    digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
+    digest = F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}")))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowkit.functions import text
+from flowkit.functions.numbers import known
 from flowkit.operators.counting import total
 
 # Names of the outputs of the word split.
@@ -65,10 +66,7 @@ def partition_rows(df: DataFrame, conditions: Mapping[str, Column]) -> dict[str,
 
 def all_present(columns: list[str]) -> Column:
     """True where no column is NULL or NaN."""
-    return reduce(
-        lambda a, b: a & b,
-        [F.col(c).isNotNull() & ~F.isnan(F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))) for c in columns],
-    )
+    return reduce(lambda a, b: a & b, [known(F.col(c)).isNotNull() for c in columns])
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

@@ -8,9 +8,10 @@ and the k-th value follows from their counts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowkit.functions.numbers import known
 from flowkit.operators.joins import null_safe
 from flowkit.session import materialize
 
@@ -64,39 +65,37 @@ def top_hub_mean(
     Rows are aggregated per (group, hub) at once, then per (group, count):
     hubs of equal count are in or out together, so nothing is joined back.
     """
-    known = df
+    named = df
     for name in groups:
-        known = known.where(F.col(name).isNotNull())
+        named = named.where(F.col(name).isNotNull())
     ends = F.array(
-        F.struct(F.col(departure).alias("hub"), F.lit(False).alias("arrives")),
-        F.struct(F.col(arrival).alias("hub"), F.lit(True).alias("arrives")),
+        F.struct(F.col(departure).alias("__hub"), F.lit(False).alias("__arrives")),
+        F.struct(F.col(arrival).alias("__hub"), F.lit(True).alias("__arrives")),
     )
-    arrives, busy = F.col("arrives"), F.col("__busy")
+    hub, arrives, busy = F.col("__hub"), F.col("__arrives"), F.col("__busy")
     per_hub = (
-        known.select(*groups, *values, F.inline(ends))
-        .groupBy(*groups, "hub")
+        named.select(*groups, *[known(F.col(v)).alias(v) for v in values], F.inline(ends))
+        .groupBy(*groups, "__hub")
         .agg(
-            F.count(F.when(arrives, 1)).alias("arrivals"),
-            F.count(F.when(~arrives, 1)).alias("departures"),
-            *[F.sum(F.when(arrives, F.col(v))).alias(f"sum_{v}") for v in values],
-            *[F.count(F.when(arrives, F.col(v))).alias(f"n_{v}") for v in values],
+            F.count(F.when(arrives, 1)).alias("__in"),
+            F.count(F.when(~arrives, 1)).alias("__out"),
+            *[F.sum(F.when(arrives, F.col(v))).alias(f"__sum_{v}") for v in values],
+            *[F.count(F.when(arrives, F.col(v))).alias(f"__n_{v}") for v in values],
         )
     )
-    both_ways = F.col("hub").isNotNull() & (F.col("arrivals") > 0) & (F.col("departures") > 0)
+    both_ways = hub.isNotNull() & (F.col("__in") > 0) & (F.col("__out") > 0)
     per_count = (
-        per_hub.withColumn("__busy", F.when(both_ways, F.col("arrivals") + F.col("departures")))
+        per_hub.withColumn("__busy", F.when(both_ways, F.col("__in") + F.col("__out")))
         .groupBy(*groups, "__busy")
         .agg(
-            F.count(F.lit(1)).alias("hubs"),
-            *[F.sum(f"sum_{v}").alias(f"sum_{v}") for v in values],
-            *[F.sum(f"n_{v}").alias(f"n_{v}") for v in values],
+            F.count(F.lit(1)).alias("__hubs"),
+            *[F.sum(f"__sum_{v}").alias(f"__sum_{v}") for v in values],
+            *[F.sum(f"__n_{v}").alias(f"__n_{v}") for v in values],
         )
     )
 
-    def mean(v: str):
-        rows = F.sum(F.when(busy.isNotNull(), F.col(f"n_{v}")))
-        return F.try_divide(F.sum(F.when(busy.isNotNull(), F.col(f"sum_{v}"))), rows).alias(v)
+    def mean(v: str) -> Column:
+        rows = F.sum(F.when(busy.isNotNull(), F.col(f"__n_{v}")))
+        return F.try_divide(F.sum(F.when(busy.isNotNull(), F.col(f"__sum_{v}"))), rows).alias(v)
 
-    return (
-        _leading(per_count, groups, "__busy", "hubs", k).groupBy(*groups).agg(*[mean(v) for v in values])
-    )
+    return _leading(per_count, groups, "__busy", "__hubs", k).groupBy(*groups).agg(*[mean(v) for v in values])

@@ -15,15 +15,16 @@ def read_lines(spark: SparkSession, path: str, skip_header: bool = False) -> Dat
     Lines end at ``\\n``; one ``\\r`` before it is dropped. ``skip_header``
     leaves out the first line of each file. That form reads through the CSV
     source, which knows where a file starts when it splits one over many
-    tasks; it also skips empty lines.
+    tasks; it also skips lines of white
+    space only.
     """
     if skip_header:
-        # A separator and quote that text cannot hold keep the line whole.
+        # A separator that is no character of text, and no quote, keep the line whole.
         lines = (
             spark.read.schema("value string")
             .option("header", True)
             .option("enforceSchema", True)
-            .option("sep", "\u0001")
+            .option("sep", "\ufdd0")
             .option("quote", "")
             .option("lineSep", "\n")
             .csv(path)

@@ -29,10 +29,13 @@ def test_read_lines(spark, tmp_path):
 
 
 def test_read_lines_without_headers(spark, tmp_path):
+    odd = ["\\x", "a\\,b", " lead", "trail ", "#c", '"q', "\tt", "a\x01b", "é", '""', "null", "x\\"]
     for i in range(3):
-        put(tmp_path, f"{i}.csv", f'id,"name"\r\n{i},"a, ""b"""\r\n{i},\'x\n')
+        put(tmp_path, f"{i}.csv", f'id,"name"\r\n{i},"a, ""b"""\r\n{i},\'x\n' + "\n".join([*odd, "", " "]))
     found = [r[0] for r in rows(read_lines(spark, f"{tmp_path}/*.csv", skip_header=True))]
-    assert sorted(found) == sorted([f'{i},"a, ""b"""' for i in range(3)] + [f"{i},'x" for i in range(3)])
+    # Lines of white space only are skipped in this form.
+    expected = [f'{i},"a, ""b"""' for i in range(3)] + [f"{i},'x" for i in range(3)] + odd * 3
+    assert sorted(found) == sorted(expected)
 
 
 def test_word_count_job(spark, tmp_path):

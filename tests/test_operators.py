@@ -35,6 +35,8 @@ def test_count_elements_keeps_null_and_value_counts_drops_it(lines):
 def test_keyed_sum(spark):
     frame = spark.createDataFrame([("a", 1), ("a", None), ("b", None), (None, 5)], "k string, v int")
     assert rows(counting.keyed_sum(frame, "k", "v")) == [("a", 1), ("b", 0)]
+    gaps = spark.createDataFrame([("a", 1.5), ("a", float("nan")), ("b", float("nan"))], "k string, v double")
+    assert rows(counting.keyed_sum(gaps, "k", "v")) == [("a", 1.5), ("b", 0.0)]
 
 
 def test_total_of_nothing_has_no_row(lines):
@@ -161,7 +163,7 @@ def hub_means(trips, k):
         into = collections.Counter(t[2] for t in mine if t[2] is not None)
         busy = {h: out[h] + into[h] for h in out if h in into}
         least = sorted(busy.values(), reverse=True)[:k][-1] if busy else None
-        delays = [t[3] for t in mine if t[2] in busy and busy[t[2]] >= least and t[3] is not None]
+        delays = [t[3] for t in mine if t[2] in busy and busy[t[2]] >= least and t[3] is not None and t[3] == t[3]]
         found[group] = sum(delays) / len(delays) if delays else None
     return sorted(found.items(), key=repr)
 
@@ -175,6 +177,7 @@ def test_top_hub_mean(spark, seed):
         for _ in range(150)
     ]
     trips += [("only-in", "p", "q", 1.0), ("no-delay", "p", "p", None)]
+    trips += [("half", "p", "p", 1.0), ("half", "p", "p", float("nan"))]
     frame = spark.createDataFrame(trips, "g string, dep string, arr string, delay double")
     assert rows(topk.top_hub_mean(frame, ["g"], "dep", "arr", ["delay"], 3)) == hub_means(trips, 3)
 
