@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flowkit.catalog.registry import query, table
 from flowkit.functions.times import bound_text, epoch_seconds, parse_day
 from flowkit.operators import joins, split, topk
+from flowkit.plans import frame_jobs
 from flowkit.plans.text_jobs import draw_groups
 from flowkit.session import scratch_dir
 from flowkit.sinks.files import append_table, write_csv
@@ -110,34 +111,42 @@ def semi_join_members(spark: SparkSession, folder: str) -> DataFrame:
     return joins.keep_members(orders, "o_custkey", rich, "c_custkey")
 
 
-@query("""
-    WITH f AS (
-        SELECT strftime(time_bucket(INTERVAL 30 DAY, o_orderdate, TIMESTAMP '1970-01-01'), '%Y-%m-%d') AS period,
-               o_orderpriority, c_nationkey AS origin, s_nationkey AS dest,
-               date_diff('day', o_orderdate, l_shipdate) AS lag_days, l_quantity AS quantity
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
-    ),
-    a AS (SELECT period, o_orderpriority, dest AS hub, count(*) AS n FROM f GROUP BY ALL),
-    d AS (SELECT period, o_orderpriority, origin AS hub, count(*) AS n FROM f GROUP BY ALL),
+_HUB_MEANS = """
+    a AS (SELECT period, airline, dest AS hub, count(*) AS n FROM f GROUP BY ALL),
+    d AS (SELECT period, airline, origin AS hub, count(*) AS n FROM f GROUP BY ALL),
     t AS (
-        SELECT period, o_orderpriority, hub,
-               rank() OVER (PARTITION BY period, o_orderpriority ORDER BY a.n + d.n DESC) AS place
-        FROM a JOIN d USING (period, o_orderpriority, hub)
+        SELECT period, airline, hub, rank() OVER (PARTITION BY period, airline ORDER BY a.n + d.n DESC) AS place
+        FROM a JOIN d USING (period, airline, hub)
     )
-    SELECT f.period, f.o_orderpriority,
-           avg(CASE WHEN hub IS NOT NULL THEN lag_days END)::DOUBLE AS lag_days,
-           avg(CASE WHEN hub IS NOT NULL THEN quantity END)::DOUBLE AS quantity
-    FROM f LEFT JOIN t ON f.period = t.period AND f.o_orderpriority = t.o_orderpriority
-                      AND dest = hub AND place <= 10
-    GROUP BY f.period, f.o_orderpriority
-""")
-def top_hub_mean(spark: SparkSession, folder: str) -> DataFrame:
-    """Nations as hubs: an order leaves its customer's and reaches its supplier's."""
+    SELECT f.period AS {period}, f.airline AS {airline},
+           avg(CASE WHEN hub IS NOT NULL THEN x END)::DOUBLE AS {x},
+           avg(CASE WHEN hub IS NOT NULL THEN y END)::DOUBLE AS {y}
+    FROM f LEFT JOIN t ON f.period = t.period AND f.airline = t.airline AND dest = hub AND place <= 10
+    GROUP BY f.period, f.airline
+"""
+_TRIPS = """
+    lineitem JOIN orders ON l_orderkey = o_orderkey
+    JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
+"""
+
+
+def _trips(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as trips from the customer's nation to the supplier's."""
     items = table(spark, folder, "lineitem").join(table(spark, folder, "orders"), F.expr("l_orderkey = o_orderkey"))
     items = items.join(table(spark, folder, "customer"), F.expr("o_custkey = c_custkey"))
-    items = items.join(table(spark, folder, "supplier"), F.expr("l_suppkey = s_suppkey"))
-    trips = items.select(
+    return items.join(table(spark, folder, "supplier"), F.expr("l_suppkey = s_suppkey"))
+
+
+@query(f"""
+    WITH f AS (
+        SELECT strftime(time_bucket(INTERVAL 30 DAY, o_orderdate, TIMESTAMP '1970-01-01'), '%Y-%m-%d') AS period,
+               o_orderpriority AS airline, c_nationkey AS origin, s_nationkey AS dest,
+               date_diff('day', o_orderdate, l_shipdate) AS x, l_quantity AS y
+        FROM {_TRIPS}
+    ), {_HUB_MEANS.format(period="period", airline="o_orderpriority", x="lag_days", y="quantity")}
+""")
+def top_hub_mean(spark: SparkSession, folder: str) -> DataFrame:
+    trips = _trips(spark, folder).select(
         F.window("o_orderdate", "30 days").getField("start").alias("period"),
         "o_orderpriority",
         "c_nationkey",
@@ -151,6 +160,28 @@ def top_hub_mean(spark: SparkSession, folder: str) -> DataFrame:
     return means.withColumn("period", bound_text(F.col("period"), "yyyy-MM-dd"))
 
 
+@query(f"""
+    WITH f AS (
+        SELECT strftime(o_orderdate + INTERVAL 3653 DAY, '%Y-%m-%d') AS period, o_orderpriority AS airline,
+               'N' || c_nationkey AS origin, 'N' || s_nationkey AS dest,
+               l_quantity AS x, date_diff('day', o_orderdate, l_shipdate) AS y
+        FROM {_TRIPS} WHERE l_returnflag <> 'N'
+    ), {_HUB_MEANS.format(period="day", airline="airline", x="departure_delay", y="arrival_delay")}
+    HAVING f.period BETWEEN '2006-03-01' AND '2010-12-31'
+""")
+def flight_delays(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as flights ten years later; some have no departure delay."""
+    flights = _trips(spark, folder).select(
+        F.date_add("o_orderdate", 3653).alias("FlightDate"),
+        F.col("o_orderpriority").alias("IATA_CODE_Reporting_Airline"),
+        F.concat(F.lit("N"), "c_nationkey").alias("Origin"),
+        F.concat(F.lit("N"), "s_nationkey").alias("Dest"),
+        F.when(F.col("l_returnflag") != "N", F.col("l_quantity")).alias("DepDelay"),
+        F.datediff("l_shipdate", "o_orderdate").alias("ArrDelay"),
+    )
+    return frame_jobs.flight_delays(flights, "2006-03-01", "2010-12-31")
+
+
 @query("""
     SELECT strftime(time_bucket(INTERVAL 1 DAY, o_orderdate), '%Y-%m-%d') AS day,
            epoch(time_bucket(INTERVAL 1 DAY, o_orderdate))::BIGINT AS starts, o_orderpriority, count(*) AS n

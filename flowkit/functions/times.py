@@ -17,6 +17,13 @@ def event_time(value: Column) -> Column:
     return value.cast("timestamp")
 
 
+def attribute_time(text: Column) -> Column:
+    """Event time from a message attribute: milliseconds since 1970 or RFC 3339
+    text; other text gives NULL."""
+    millis = text.try_cast("bigint")
+    return F.when(millis.isNotNull(), F.timestamp_millis(millis)).otherwise(text.try_cast("timestamp"))
+
+
 def parse_day(text: Column) -> Column:
     """``YYYY-MM-DD`` text to a date; other text gives NULL."""
     return F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date")

@@ -72,13 +72,14 @@ def read_table(
 
 
 def balanced(df: DataFrame) -> DataFrame:
-    """Spread a scan with fewer splits than the cluster has cores over all of them.
+    """Spread a scan with fewer than two splits per core evenly over the cores.
 
-    For costly work on rows that come from a few files Spark cannot split. A
-    scan with enough splits stays as it is, so large inputs are not moved.
+    For costly work on rows that come from a few files, of which Spark may not
+    be able to split some. A larger scan stays as it is, so inputs that fill
+    the cluster are not moved.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.isStreaming or df.rdd.getNumPartitions() >= 2 * cores else df.repartition(cores)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -185,7 +185,7 @@ def test_group_ids(spark):
 def test_balanced_moves_only_scans_with_few_splits(spark):
     cores = spark.sparkContext.defaultParallelism
     assert balanced(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 10, 1, cores + 1)
+    wide = spark.range(0, 10, 1, 2 * cores)
     assert balanced(wide) is wide
 
 

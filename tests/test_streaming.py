@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flowkit.functions import text
 from flowkit.plans import stream_jobs
-from flowkit.sources.messages import read_messages
+from flowkit.sources.messages import read_messages, record_time
 from flowkit.streaming.replay import replay, time_slices
 from flowkit.streaming.windows import tumbling_agg, with_event_time
 from tests.conftest import rows
@@ -116,3 +116,21 @@ def test_message_source_arguments(spark):
     for wrong in ({}, {"path": "p", "topic": "t"}, {"topic": "t"}):
         with pytest.raises(ValueError):
             read_messages(spark, **wrong)
+
+
+def test_record_time_from_a_header(spark):
+    headers = [
+        [("ts", b"2024-01-01T00:00:15.25Z")],
+        [("ts", b"1704067215250")],
+        [("x", b"1"), ("ts", b"0"), ("ts", b"1704067215250")],
+        [("ts", b"soon")],
+        [("x", b"1")],
+        None,
+    ]
+    frame = spark.createDataFrame(
+        [(START, h) for h in headers], "timestamp timestamp, headers array<struct<key string, value binary>>"
+    )
+    moment = START + timedelta(seconds=15, milliseconds=250)
+    found = [r[0] for r in frame.select(record_time("ts").cast("timestamp_ntz")).collect()]
+    assert found == [moment, moment, moment, None, None, None]
+    assert frame.select(record_time()).first()[0] == frame.first()[0]
