@@ -103,7 +103,8 @@ def mask_last_word(spark: SparkSession, folder: str) -> DataFrame:
     FROM ({_MASKED}) LEFT JOIN best ON size >= 3 AND lower(tok[size - 2]) = prev
 """)
 def masked_predict(spark: SparkSession, folder: str) -> DataFrame:
-    lines = balanced(table(spark, folder, "documents").select("text")).select(F.explode(text.lines_of(F.col("text"))).alias("value"))
+    texts = balanced(table(spark, folder, "documents").select("text"))
+    lines = texts.select(F.explode(text.lines_of(F.col("text"))).alias("value"))
     model = model_jobs.train_next_word(lines)
     talk = table(spark, folder, "conversations").select("conv_id", "turn", "text")
     return masking.predict_masked(talk, "text", model).drop("text")

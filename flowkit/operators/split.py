@@ -25,7 +25,10 @@ def word_stats(df: DataFrame, column: str = "value") -> DataFrame:
     line = F.col(column)
     return (
         df.where(line.isNotNull())
-        .select(F.length(line).alias("size"), F.posexplode_outer(text.words(line, text.ASCII_WORD)).alias("pos", "word"))
+        .select(
+            F.length(line).alias("size"),
+            F.posexplode_outer(text.words(line, text.ASCII_WORD)).alias("pos", "word"),
+        )
         .groupBy("word")
         .agg(
             F.count("word").alias("n"),

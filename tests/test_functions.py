@@ -74,7 +74,8 @@ def test_whole_number_without_a_number(spark):
 
 
 def test_length_counts_code_points(spark):
-    assert apply(spark, ["abc", "gráf", "\U0001f600\U0001f600\U0001f600"], "string", text.is_short) == [True, False, True]
+    values = ["abc", "gráf", "\U0001f600" * 3]
+    assert apply(spark, values, "string", text.is_short) == [True, False, True]
 
 
 csv_texts = st.lists(st.text(st.sampled_from('ab,," \'\té'), max_size=14), min_size=1, max_size=60)
@@ -116,7 +117,7 @@ def test_json_int(spark):
 
 
 def test_json_text(spark):
-    values = ['{"n": "a"}', '{"n": null}', '{"n": 3}', '{"n": true}', '{"n": false}', '{"m": 1}', "no json", '{"n": ""}']
+    values = ['{"n": "a"}', '{"n": null}', '{"n": 3}', '{"n": true}', '{"n": false}', '{"m": 1}', "no json"]
     found = apply(spark, values, "string", lambda c: json_text(F.try_parse_json(c), "n"))
     assert found == [python_text(v) for v in values]
 

@@ -89,7 +89,8 @@ def test_borough_job(spark, tmp_path):
     rides = "passenger_count,DOLocationID,congestion_surcharge\n" + "".join(f"{c},{d},\n" for c, d in zip(count, drop))
     for i in range(100):
         put(tmp_path, f"rides{i}.csv", rides)
-    zones = '"LocationID","Borough"\n7,"Queens"\n193,"Queens"\n229,"Manhattan"\n236,"Manhattan"\n239,"Manhattan"\n246,"Manhattan"\n'
+    boroughs = {7: "Queens", 193: "Queens", 229: "Manhattan", 236: "Manhattan", 239: "Manhattan", 246: "Manhattan"}
+    zones = '"LocationID","Borough"\n' + "".join(f'{i},"{b}"\n' for i, b in boroughs.items())
     lookup = put(tmp_path, "lookup.csv", zones)
     frame_jobs.run_passengers_per_borough(spark, f"{tmp_path}/rides*.csv", lookup, f"{tmp_path}/out")
     found = lines_in(f"{tmp_path}/out")
@@ -111,7 +112,11 @@ def flights(spark):
 
 def test_flight_delays(spark, tmp_path):
     found = frame_jobs.flight_delays(flights(spark), "2012-12-22", "2012-12-23")
-    assert rows(found) == [("2012-12-22", "AA", 20.0, 30.0), ("2012-12-22", "BB", None, None), ("2012-12-23", "AA", 5.0, 6.0)]
+    assert rows(found) == [
+        ("2012-12-22", "AA", 20.0, 30.0),
+        ("2012-12-22", "BB", None, None),
+        ("2012-12-23", "AA", 5.0, 6.0),
+    ]
     with pytest.raises(ValueError):
         frame_jobs.flight_delays(flights(spark), "2012-12-22", "2013-01-01")
     frame_jobs.run_flight_delays(flights(spark), f"{tmp_path}/out", "2012-12-23", "2012-12-24")

@@ -45,7 +45,8 @@ def test_total_of_nothing_has_no_row(lines):
 
 
 def test_split_words(lines):
-    frames = split.split_words(lines(["A whole new world", "A new fantastic point of view"]).transform(split.word_stats))
+    stats = lines(["A whole new world", "A new fantastic point of view"]).transform(split.word_stats)
+    frames = split.split_words(stats)
     assert rows(frames[split.SHORT]) == [("A", 2), ("new", 2), ("of", 1)]
     assert rows(frames[split.LONG]) == [(w, 1) for w in ("fantastic", "point", "view", "whole", "world")]
     assert rows(frames[split.CHARS]) == [(46,)]
@@ -144,7 +145,10 @@ def test_single_value(spark):
 
 
 @settings(max_examples=10, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.none() | st.integers(0, 6)), max_size=40), st.integers(1, 5))
+@given(
+    st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.none() | st.integers(0, 6)), max_size=40),
+    st.integers(1, 5),
+)
 def test_top_k_ties_is_nlargest(spark, values, k):
     frame = spark.createDataFrame(values, "g string, v int")
     expected = []
@@ -212,7 +216,9 @@ def test_json_rows_with_rejects(lines):
 def test_sql_transform_drops_null_status(spark):
     frame = spark.createDataFrame([("up", 2), ("up", 3), ("enroute", 1), (None, 9)], "status string, n int")
     found = sqlframe.sql_transform(
-        frame, "SELECT status, count(*) AS c, sum(n) AS t FROM {rows} WHERE NOT status = :skip GROUP BY status", skip="enroute"
+        frame,
+        "SELECT status, count(*) AS c, sum(n) AS t FROM {rows} WHERE NOT status = :skip GROUP BY status",
+        skip="enroute",
     )
     assert rows(found) == [("up", 2, 5)]
     assert rows(sqlframe.sql_transform(frame, "SELECT count(*) FROM {rides}", name="rides")) == [(4,)]

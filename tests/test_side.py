@@ -24,7 +24,10 @@ def test_forced_draw(spark):
 
 def test_draw_is_even_repeatable_and_leaves_out(spark):
     values = [f"w{i}" for i in range(6)] + ["", None]
-    draw = lambda seed: side.draw(group_ids(spark, 6000), "group_id", frame_of(spark, values), "f", "w0", seed)
+
+    def draw(seed):
+        return side.draw(group_ids(spark, 6000), "group_id", frame_of(spark, values), "f", "w0", seed)
+
     found = rows(draw(1))
     counts = collections.Counter(v for _, v in found)
     assert set(counts) == {f"w{i}" for i in range(1, 6)}

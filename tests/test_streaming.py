@@ -79,7 +79,8 @@ def test_filtered_rows_advance_the_watermark(spark, messages):
 
 
 def test_ride_totals_of_a_table(spark, messages):
-    found = stream_jobs.ride_totals(messages([(0, ride("pickup", 2)), (16, ride("dropoff", 1)), (17, ride("enroute", 1))]))
+    rides = messages([(0, ride("pickup", 2)), (16, ride("dropoff", 1)), (17, ride("enroute", 1))])
+    found = stream_jobs.ride_totals(rides)
     assert rows(found.select("ride_status", "num_rides", "window_start")) == [
         ("dropoff", 1, "2024-01-01T00:00:15Z"),
         ("pickup", 1, "2024-01-01T00:00:00Z"),
@@ -107,7 +108,8 @@ def test_time_slices_cover_the_table(spark, messages):
 
 
 def test_tumbling_windows_start_at_the_epoch(spark):
-    frame = spark.sql("SELECT timestamp_ntz '2024-01-01 23:59:59.999999' AS ts, 1 AS v UNION ALL SELECT timestamp_ntz '2024-01-02', 2")
+    frame = spark.createDataFrame([("2024-01-01 23:59:59.999999", 1), ("2024-01-02", 2)], "ts string, v int")
+    frame = frame.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     found = tumbling_agg(with_event_time(frame, "ts"), [], "ts", "1 day", F.sum("v").alias("v"))
     assert rows(found.select("v", F.date_format("window_start", "dd"))) == [(1, "01"), (2, "02")]
 
