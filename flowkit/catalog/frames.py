@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -201,7 +199,7 @@ def daily_window_agg(spark: SparkSession, folder: str) -> DataFrame:
       AND o_custkey IS NOT NULL AND o_totalprice IS NOT NULL
 """)
 def source_projection_filter(spark: SparkSession, folder: str) -> DataFrame:
-    first, last = (F.lit(datetime(*d)).cast("timestamp_ntz") for d in ((1995, 1, 1), (1996, 12, 31)))
+    first, last = (F.lit(day).cast("timestamp_ntz") for day in ("1995-01-01", "1996-12-31"))
     return read_table(
         table(spark, folder, "orders"),
         {

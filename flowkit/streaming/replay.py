@@ -13,21 +13,13 @@ from flowkit.session import scratch_dir
 
 def time_slices(df: DataFrame, ts: str, parts: int) -> list[DataFrame]:
     """Cut a table into ``parts`` spans of equal length in time."""
-    low, high = df.agg(F.min(ts), F.max(ts)).first()
+    when = F.col(ts).cast("timestamp")
+    low, high = df.agg(F.min(F.unix_micros(when)), F.max(F.unix_micros(when))).first()
     if low is None:
         return []
-    step = (high - low) / parts
-    cuts = [low + step * i for i in range(1, parts)]
-    when = F.col(ts)
-    slices = []
-    for i in range(parts):
-        part = df
-        if i > 0:
-            part = part.where(when >= F.lit(cuts[i - 1]).cast(df.schema[ts].dataType))
-        if i < parts - 1:
-            part = part.where(when < F.lit(cuts[i]).cast(df.schema[ts].dataType))
-        slices.append(part)
-    return slices
+    cuts = [F.timestamp_micros(F.lit(low + (high - low) * i // parts)) for i in range(1, parts)]
+    after = [df, *[df.where(when >= cut) for cut in cuts]]
+    return [*[part.where(when < cut) for part, cut in zip(after, cuts)], after[-1]]
 
 
 def replay(
