@@ -20,4 +20,8 @@ def _unquote(raw: Column) -> Column:
 def csv_fields(line: Column) -> Column:
     """Fields of a line as text; an empty field is ``''``, an empty line has none."""
     raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1))
-    return F.when(line == "", F.array().cast("array<string>")).otherwise(F.transform(raw, _unquote))
+    return (
+        F.when(line == "", F.array().cast("array<string>"))
+        .when(~F.contains(line, F.lit('"')), F.split(line, ","))
+        .otherwise(F.transform(raw, _unquote))
+    )
