@@ -78,6 +78,7 @@ def draw(
 ) -> DataFrame:
     """Attach one candidate to each group, at random but repeatable by ``seed``.
 
+    Reads the candidates when called and writes their list to the scratch folder.
     The ignored, empty and NULL candidates are left out before drawing; one
     that occurs twice is drawn twice as often. Raises if groups exist and no
     candidate does. A short list would give the join few keys with very many

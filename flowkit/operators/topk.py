@@ -42,8 +42,8 @@ def kth_value(df: DataFrame, groups: list[str], value: str, k: int) -> DataFrame
 def top_k_ties(df: DataFrame, groups: list[str], value: str, k: int) -> DataFrame:
     """Rows whose value is among the k largest of their group, ties included.
 
-    Two pruned scans: one finds the k-th value per group, which is written
-    out, one keeps the rows that reach it. Few groups make the second a
+    Two pruned scans: one, when called, finds the k-th value per group and
+    writes it to the scratch folder, one keeps the rows that reach it. Few groups make the second a
     broadcast join without any shuffle of the rows.
     """
     limits = materialize(

@@ -28,19 +28,13 @@ PRICE_MODELS = {
     "stations": ["Area", "Year", "MinTimeToNearestStation", "MaxTimeToNearestStation"],
     "no_features": ["Area", "Year"],
 }
-REPORT = ("True Price ", ", Predicted Price ")
+REPORT = "True Price %s, Predicted Price %s"
 
 
 def price_report(scored: DataFrame, true_price: str = "TradePrice", predicted: str = "prediction") -> DataFrame:
     """One line ``value`` per scored row."""
-    return scored.select(
-        F.concat(
-            F.lit(REPORT[0]),
-            whole_number(F.col(true_price)),
-            F.lit(REPORT[1]),
-            whole_number(F.col(predicted)),
-        ).alias("value")
-    )
+    prices = whole_number(F.col(true_price)), whole_number(F.col(predicted))
+    return scored.select(F.format_string(REPORT, *prices).alias("value"))
 
 
 def run_price_report(

@@ -21,6 +21,8 @@ def build_session(app: str = "flowkit", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # As in Python, the last of equal keys of a JSON object counts.
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         # Window state may outgrow the memory of an executor.
         .config(

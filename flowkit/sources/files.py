@@ -75,8 +75,8 @@ def balanced(df: DataFrame) -> DataFrame:
     """Spread a scan with fewer than two splits per core evenly over the cores.
 
     For costly work on rows that come from a few files, of which Spark may not
-    be able to split some. A larger scan stays as it is, so inputs that fill
-    the cluster are not moved.
+    be able to split some. A larger scan stays as it is: what moves is never
+    more than two splits per core.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.isStreaming or df.rdd.getNumPartitions() >= 2 * cores else df.repartition(cores)

@@ -4,8 +4,13 @@ from flowkit.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", master="local[4]", spark__sql__shuffle__partitions="4")
+def spark(tmp_path_factory):
+    session = build_session(
+        "tests",
+        master="local[4]",
+        spark__sql__shuffle__partitions="4",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

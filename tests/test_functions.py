@@ -111,6 +111,7 @@ def test_json_int(spark):
         '{"n": 3}', '{"n": 2.7}', '{"n": -2.7}', '{"n": "12"}', '{"n": " 12 "}', '{"n": "2.7"}', '{"n": "x"}',
         '{"n": null}', '{"m": 1}', '{"n": true}', '{"n": [1]}', '{"n": {"a": 1}}', "no json", '{"n": 9007199254740993}',
         '{"n": 1e3}', '{"n": ""}',
+        '{"n": 1, "n": 2}',
     ]
     found = apply(spark, values, "string", lambda c: json_int(F.try_parse_json(c), "n"))
     assert found == [python_int(v) for v in values]

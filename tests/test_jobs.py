@@ -166,6 +166,9 @@ def test_append_orders_and_types_columns(spark, tmp_path):
     assert rows(spark.read.parquet(f"{tmp_path}/t")) == [(1, "a"), (2, "b")]
     with pytest.raises(ValueError):
         append_table(spark.range(1), schema)
+    for i in range(2):
+        append_table(spark.createDataFrame([(i, "x")], "id int, name string"), schema, table="appended")
+    assert rows(spark.table("appended")) == [(0, "x"), (1, "x")]
 
 
 def test_csv_sources(spark, tmp_path):

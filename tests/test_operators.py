@@ -103,7 +103,15 @@ def test_salted_join_equals_plain_join(spark, how):
         joins.lookup_join(facts, lookup, "k", "key", "full")
 
 
-def test_hot_key_join_is_split(spark):
+HOT_JOINS = {
+    "lookup": lambda facts, lookup: joins.lookup_join(facts, lookup, "k", "key"),
+    "members": lambda facts, lookup: joins.keep_members(facts, "k", lookup, "key"),
+    "top": lambda facts, lookup: topk.top_k_ties(facts, ["k"], "id", 100_000),
+}
+
+
+@pytest.mark.parametrize("kind", HOT_JOINS)
+def test_hot_key_join_is_split(spark, kind):
     """A shuffle join whose one key holds a third of the rows reads it in parts."""
     names = [
         "spark.sql.autoBroadcastJoinThreshold",
@@ -119,8 +127,7 @@ def test_hot_key_join_is_split(spark):
             F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 1000).alias("k"), "id"
         )
         lookup = spark.range(1000).select(F.col("id").alias("key"), F.col("id").cast("string").alias("name"))
-        joined = joins.lookup_join(facts, lookup, "k", "key")
-        assert joined.count() == 90000
+        joined = HOT_JOINS[kind](facts, lookup)
         assert len(joined.collect()) == 90000
         assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:

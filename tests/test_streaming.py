@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowkit.functions import text
 from flowkit.plans import stream_jobs
+from flowkit.sinks.messages import start_publish
 from flowkit.sources.messages import read_messages, record_time
 from flowkit.streaming.replay import replay, time_slices
 from flowkit.streaming.windows import tumbling_agg, with_event_time
@@ -78,6 +79,11 @@ def test_filtered_rows_advance_the_watermark(spark, messages):
     ]
 
 
+def test_rows_without_words_advance_the_watermark(spark, messages):
+    path = run(spark, [messages([(0, "a")]), messages([(20, " ... ")])], stream_jobs.start_word_count)
+    assert published(spark, path) == ["a: 1"]
+
+
 def test_ride_totals_of_a_table(spark, messages):
     rides = messages([(0, ride("pickup", 2)), (16, ride("dropoff", 1)), (17, ride("enroute", 1))])
     found = stream_jobs.ride_totals(rides)
@@ -120,6 +126,12 @@ def test_message_source_arguments(spark):
             read_messages(spark, **wrong)
 
 
+def test_message_sink_arguments(spark):
+    for wrong in ({}, {"path": "p", "topic": "t"}, {"topic": "t"}):
+        with pytest.raises(ValueError):
+            start_publish(spark.range(1), F.lit("x"), "state", **wrong)
+
+
 def test_record_time_from_a_header(spark):
     headers = [
         [("ts", b"2024-01-01T00:00:15.25Z")],
