@@ -2,7 +2,8 @@
 
 The stream queries replay the events in time order and restart from the
 checkpoint in between. A stream gives a window out once the watermark has
-passed its end, so their SQL keeps the windows that end by the last event.
+passed its end, so but for ``stream_all_windows`` their SQL keeps the windows
+that end by the last event.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from flowkit.functions import text
 from flowkit.functions.jsonrow import to_json_text
 from flowkit.plans import stream_jobs
 from flowkit.sources.messages import read_messages
-from flowkit.streaming.replay import replay, time_slices
+from flowkit.streaming.replay import closing_message, replay, time_slices
 from flowkit.streaming.windows import bounds_as_text
 
 _SLICES = 2
@@ -88,14 +89,24 @@ def stream_wordcount(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("value binary").parquet(out).select(text.decode(F.col("value")).alias("value"))
 
 
-@query(_WORD_TABLE.format(kept=_CLOSED))
-def stream_word_table(spark: SparkSession, folder: str) -> DataFrame:
-    slices = time_slices(_text_messages(spark, folder), "ts", _SLICES)
+def _word_table(spark: SparkSession, slices: list[DataFrame]) -> DataFrame:
     out = _run(spark, slices, stream_jobs.start_word_table)
     schema = "word string, count bigint, window_start timestamp, window_end timestamp"
     return spark.read.schema(schema).parquet(out).transform(bounds_as_text)
 
 
+@query(_WORD_TABLE.format(kept=_CLOSED))
+def stream_word_table(spark: SparkSession, folder: str) -> DataFrame:
+    return _word_table(spark, time_slices(_text_messages(spark, folder), "ts", _SLICES))
+
+
+@query(_WORD_TABLE.format(kept="true"))
+def stream_all_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """A last message closes the windows still open."""
+    messages = _text_messages(spark, folder)
+    return _word_table(spark, [messages, closing_message(messages, "2 minutes")])
+
+
 @query(_RIDES.format(kept=_CLOSED))
 def stream_sql_window(spark: SparkSession, folder: str) -> DataFrame:
     slices = time_slices(_ride_messages(spark, folder), "ts", _SLICES)
@@ -109,6 +120,4 @@ def stream_sql_window(spark: SparkSession, folder: str) -> DataFrame:
 def stream_late_drop(spark: SparkSession, folder: str) -> DataFrame:
     """The first half of the events comes once more at the end, too late to count."""
     slices = time_slices(_text_messages(spark, folder), "ts", _SLICES)
-    out = _run(spark, [*slices, slices[0]], stream_jobs.start_word_table)
-    schema = "word string, count bigint, window_start timestamp, window_end timestamp"
-    return spark.read.schema(schema).parquet(out).transform(bounds_as_text)
+    return _word_table(spark, [*slices, slices[0]])

@@ -40,9 +40,8 @@ def has_text(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """White-space separated tokens; a blank text gives an empty array."""
-    return F.when(has_text(text), F.split(strip(text), f"(?U){SPACE}+")).otherwise(
-        F.array().cast("array<string>")
-    )
+    # Only white space at either end leaves an empty piece.
+    return F.array_remove(F.split(text, f"(?U){SPACE}+"), "")
 
 
 def mask_token(text: Column, keep_last: int = 1, mask: str = MASK) -> Column:

@@ -9,7 +9,7 @@ from flowkit.functions import text
 from flowkit.plans import stream_jobs
 from flowkit.sinks.messages import start_publish
 from flowkit.sources.messages import read_messages, record_time
-from flowkit.streaming.replay import replay, time_slices
+from flowkit.streaming.replay import closing_message, replay, time_slices
 from flowkit.streaming.windows import tumbling_agg, with_event_time
 from tests.conftest import rows
 
@@ -63,6 +63,15 @@ def test_delay_waits_for_late_rows(spark, messages):
     assert published(spark, path) == ["a: 2", "b: 2"]
 
 
+def test_closing_message_gives_out_all_windows(spark, messages):
+    table = messages([(0, "a b"), (16, "a"), (44, "c")])
+    path = run(spark, [table, closing_message(table, "15 seconds")], stream_jobs.start_word_count)
+    assert published(spark, path) == ["a: 1", "a: 1", "b: 1", "c: 1"]
+    rides = messages([(0, ride("pickup", 2))])
+    path = run(spark, [rides, closing_message(rides, "15 seconds")], stream_jobs.start_ride_totals)
+    assert len(published(spark, path)) == 1
+
+
 def ride(status, count):
     return f'{{"ride_status": "{status}", "passenger_count": {count}}}'
 
