@@ -31,7 +31,9 @@ def read_lines(spark: SparkSession, path: str, skip_header: bool = False) -> Dat
         )
     else:
         lines = spark.read.option("lineSep", "\n").text(path).select("value")
-    return lines.withColumn("value", F.regexp_replace("value", r"\r\z", ""))
+    value = F.col("value")
+    cut = F.substring(value, F.lit(1), F.length(value) - 1)
+    return lines.select(F.when(value.endswith("\r"), cut).otherwise(value).alias("value"))
 
 
 def read_csv(
