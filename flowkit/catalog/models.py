@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,14 +16,8 @@ from flowkit.session import scratch_dir
 from flowkit.sinks.files import write_csv
 from flowkit.sources.files import balanced, read_csv_list
 
-# Linear price models over the columns the parts are given below.
-_COEFFICIENTS = {
-    "all_features": {"Area": 10.0, "Year": 0.5, "TotalFloorArea": 2.0, "Breadth": 3.0},
-    "floor_area": {"Area": 12.0, "Year": 0.25, "TotalFloorArea": 4.0},
-    "stations": {"Area": 8.0, "Year": 1.0, "MinTimeToNearestStation": -2.0, "MaxTimeToNearestStation": -1.0},
-    "no_features": {"Area": 16.0, "Year": 0.75},
-}
-_INTERCEPTS = {"all_features": 100.0, "floor_area": 50.5, "stations": 25.0, "no_features": 0.0}
+# Linear price models, one file each.
+_MODEL_FOLDER = Path(__file__).parent / "price_models"
 # Parts as properties: columns are missing by brand and type.
 _PROPERTIES = {
     "Area": "p_size",
@@ -44,7 +41,8 @@ _MASKED = f"""
 
 
 def _formula(name: str) -> str:
-    return " + ".join([str(_INTERCEPTS[name]), *[f"({w}) * {c}" for c, w in _COEFFICIENTS[name].items()]])
+    model = json.loads((_MODEL_FOLDER / f"{name}.json").read_text())
+    return " + ".join([str(model["intercept"]), *[f"({w}) * {c}" for c, w in model["coefficients"].items()]])
 
 
 def _routed(value) -> str:
@@ -63,7 +61,7 @@ def _routed(value) -> str:
     )
 """)
 def route_and_score(spark: SparkSession, folder: str) -> DataFrame:
-    """Properties in two lists of CSV files, scored and reported."""
+    """Properties in two lists of CSV files, scored by models from files and reported."""
     rows = table(spark, folder, "part").selectExpr(*[f"{e} AS {c}" for c, e in _PROPERTIES.items()])
     paths = [scratch_dir(spark, "properties") for _ in range(2)]
     cheap = F.col("TradePrice") < 1000
@@ -71,7 +69,10 @@ def route_and_score(spark: SparkSession, folder: str) -> DataFrame:
         write_csv(part, path)
     schema = ", ".join(f"{c} double" for c in _PROPERTIES)
     loaded = read_csv_list(spark, ",".join(paths), schema)
-    factory = scoring.linear_models(_COEFFICIENTS, _INTERCEPTS)
+    names = list(model_jobs.PRICE_MODELS)
+    factory = scoring.models_from_files(
+        spark, f"{_MODEL_FOLDER}/", names, ".json", scoring.linear_model_reader()
+    )
     scored = scoring.route_and_score(loaded, model_jobs.PRICE_MODELS, factory).rows
     return model_jobs.price_report(scored)
 

@@ -5,10 +5,11 @@ stay in the JVM beside them. A model is loaded once per task.
 """
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowkit.operators.parse import Parsed
@@ -78,11 +79,18 @@ def batch_infer(
     return df.withColumn(prediction, F.pandas_udf(infer, result_type)(F.col(column)))
 
 
-def models_from_files(spark, model_path: str, names: Sequence[str], suffix: str = ".pickle"):
+def models_from_files(
+    spark: SparkSession,
+    model_path: str,
+    names: Sequence[str],
+    suffix: str = ".pickle",
+    read: Callable[[BinaryIO], object] | None = None,
+) -> Callable[[str], Model]:
     """A model factory for files ``model_path + name + suffix``.
 
-    Spark ships the files to every executor. Unpickling runs code from the
-    file: load only models you trust.
+    Spark ships the files to every executor. ``read`` makes a model of an open
+    file; without it the file is unpickled, which runs code from the file: load
+    only models you trust. A model is a function of a frame or has ``predict``.
     """
     for name in names:
         spark.sparkContext.addFile(f"{model_path}{name}{suffix}")
@@ -94,21 +102,20 @@ def models_from_files(spark, model_path: str, names: Sequence[str], suffix: str
         from pyspark import SparkFiles
 
         with open(SparkFiles.get(prefix + name + suffix), "rb") as file:
-            model = pickle.load(file)
-        return model.predict if hasattr(model, "predict") else model
+            model = read(file) if read else pickle.load(file)
+        return getattr(model, "predict", model)
 
     return load
 
 
-def linear_models(coefficients: Mapping[str, Mapping[str, float]], intercepts: Mapping[str, float]):
-    """A model factory for linear models given by their coefficients."""
-    weights = {name: dict(values) for name, values in coefficients.items()}
-    offsets = dict(intercepts)
+def linear_model_reader() -> Callable[[BinaryIO], Model]:
+    """Reads a linear model from JSON with ``intercept`` and ``coefficients``."""
 
-    def load(name: str):
-        def model(rows: pd.DataFrame):
-            return offsets[name] + sum(rows[c].to_numpy() * w for c, w in weights[name].items())
+    def read(file):
+        import json
 
-        return model
+        spec = json.load(file)
+        weights = spec["coefficients"].items()
+        return lambda rows: spec["intercept"] + sum(rows[c].to_numpy() * w for c, w in weights)
 
-    return load
+    return read

@@ -4,7 +4,7 @@ import glob
 
 import pytest
 
-from flowkit.operators import masking, scoring
+from flowkit.operators import masking
 from flowkit.plans import frame_jobs, model_jobs, text_jobs
 from flowkit.session import materialize, scratch_dir
 from flowkit.sinks.files import TooLargeForOneFile, append_table, write_csv, write_lines
@@ -128,7 +128,11 @@ def test_price_job(spark, tmp_path):
     a = put(tmp_path, "a.csv", header + "\n10,2000,1,2,3,4,5,6,1000\n10,2000,,,3,,,,2000\n")
     b = put(tmp_path, "b.csv", header + "\n10,2000,1,2,,,,,3000.5\n10,2000,,,,,,,\n,2000,,,,,,,5000\n")
     names = list(model_jobs.PRICE_MODELS)
-    factory = scoring.linear_models({n: {"Area": float(i)} for i, n in enumerate(names)}, dict.fromkeys(names, 0.5))
+
+    def factory(name):
+        place = names.index(name)
+        return lambda rows: 0.5 + place * rows["Area"]
+
     scored = model_jobs.run_price_report(spark, f"{a},{b}", f"{tmp_path}/out", factory, single_max_rows=10)
     assert lines_in(f"{tmp_path}/out") == [
         "True Price 1000, Predicted Price 0",

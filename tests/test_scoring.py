@@ -17,7 +17,10 @@ def frame_of(spark):
 
 
 def factory():
-    return scoring.linear_models({"both": {"a": 10.0, "b": 1.0}, "one": {"a": 100.0}}, {"both": 0.5, "one": 0.0})
+    def load(name):
+        return {"both": lambda rows: 0.5 + 10 * rows["a"] + rows["b"], "one": lambda rows: 100 * rows["a"]}[name]
+
+    return load
 
 
 def test_route_and_score(spark):
@@ -49,6 +52,14 @@ def test_models_from_files(spark, tmp_path):
     assert rows(scored.rows.select("name", "prediction")) == [("x", 2.0), ("y", 6.0), ("z", 8.0)]
 
 
+def test_linear_models_from_json(spark, tmp_path):
+    (tmp_path / "both.json").write_text('{"intercept": 0.5, "coefficients": {"a": 10, "b": 1}}')
+    (tmp_path / "one.json").write_text('{"intercept": 0, "coefficients": {"a": 100}}')
+    load = scoring.models_from_files(spark, f"{tmp_path}/", list(ROUTES), ".json", scoring.linear_model_reader())
+    scored = scoring.route_and_score(frame_of(spark), ROUTES, load)
+    assert rows(scored.rows.select("name", "prediction")) == [("x", 12.5), ("y", 300.0), ("z", 400.0)]
+
+
 def test_batch_infer_bounds_its_batches(spark):
     def load():
         return lambda texts: [f"{t}/{len(texts)}" for t in texts]
