@@ -64,7 +64,7 @@ def route_and_score(spark: SparkSession, folder: str) -> DataFrame:
     """Properties in two lists of CSV files, scored by models from files and reported."""
     rows = table(spark, folder, "part").selectExpr(*[f"{e} AS {c}" for c, e in _PROPERTIES.items()])
     paths = [scratch_dir(spark, "properties") for _ in range(2)]
-    cheap = F.col("TradePrice") < 1000
+    cheap = F.coalesce(F.col("TradePrice") < 1000, F.lit(False))
     for path, part in zip(paths, (rows.where(cheap), rows.where(~cheap))):
         write_csv(part, path)
     schema = ", ".join(f"{c} double" for c in _PROPERTIES)
