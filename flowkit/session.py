@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,18 +47,35 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Folders handed out by ``scratch_dir``, by the application that asked.
+_HANDED_OUT: dict[str, list[str]] = {}
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder name that every executor can reach.
 
-    It lies in the folder ``spark.checkpoint.dir`` names. Only a local session
-    may leave that unset; it then gets a temporary folder.
+    It lies in the folder ``spark.checkpoint.dir`` names, else in a folder
+    ``scratch`` of the warehouse, whatever the master is.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="flowkit-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _HANDED_OUT.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders of this application; frames read from them end here.
+
+    Returns how many there were.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    dropped = 0
+    for path in _HANDED_OUT.pop(spark.sparkContext.applicationId, []):
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        dropped += bool(folder.getFileSystem(conf).delete(folder, True))
+    return dropped
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
