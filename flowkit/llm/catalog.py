@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowkit.llm.contamination import find_leaks
+from flowkit.llm.pieces import piece_digests
+from flowkit.llm.quality import judge_documents
+from flowkit.llm.secrets import scan_secrets
+from flowkit.llm.simhash import near_duplicates
 from flowkit.llm.substrings import substring_dedup
 from flowkit.llm.suffixes import suffix_dedup
+from flowkit.llm.tokens import token_files
+from flowkit.llm.urls import judge_urls
+from flowkit.llm.warc import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,3 +106,165 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@_query(
+    """
+    WITH p AS (
+      SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest
+      FROM pages),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY digest, n) AS least FROM p)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+      CASE WHEN n >= 100 AND page_id > least THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN n >= 100 AND page_id > least THEN least END AS refers_to, TRUE AS digest_ok
+    FROM f
+    """
+)
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages written as WARC records and read back by their chain of boundaries."""
+    return archive_pages(_table(spark, folder, "pages"))
+
+
+# The rules on hosts and paths.
+_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+@_query(
+    """
+    WITH cut AS (
+      SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+      FROM pages),
+    parts AS (
+      SELECT page_id, lower(regexp_extract(rest, '^([^/?#]*)', 1)) AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+    rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+      ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+    fit AS (
+      SELECT page_id, arg_max(h || p, len(h || p)) AS rule, arg_max(verdict, len(h || p)) AS verdict
+      FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id),
+    seen AS (
+      SELECT host, CASE WHEN toxic = 1 OR quality = 0 THEN 1 WHEN toxic = 0 AND quality = 1 THEN 0 END AS bad
+      FROM parts LEFT JOIN labels ON doc_id = page_id),
+    hosts AS (
+      SELECT host, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS bad,
+        regexp_extract(host, '([^.]*\\.)?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix
+      FROM seen GROUP BY host),
+    domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix),
+    suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY suffix),
+    total AS (SELECT sum(n) AS n, sum(bad) AS bad FROM suffixes),
+    pairs AS (
+      SELECT 1 AS level, s.n, s.bad, t.bad / t.n AS p FROM suffixes s, total t WHERE s.n > 0
+      UNION ALL SELECT 2, d.n, d.bad, s.bad / s.n FROM domains d JOIN suffixes s USING (suffix) WHERE d.n > 0
+      UNION ALL SELECT 3, h.n, h.bad, d.bad / d.n FROM hosts h JOIN domains d USING (domain) WHERE h.n > 0),
+    sums AS (
+      SELECT level, sum(n * (bad / n - p) ** 2) - sum(p * (1 - p)) AS over, sum((n - 1) * p * (1 - p)) AS room
+      FROM pairs GROUP BY level),
+    strong AS (
+      SELECT level, 1 / least(0.999, greatest(1e-3, CASE WHEN room <> 0 THEN over / room ELSE 0 END)) - 1 AS s FROM sums),
+    r0 AS (SELECT (bad + 0.5) / (n + 1.0) AS rate FROM total),
+    r1 AS (SELECT suffix, (bad + s * rate) / (n + s) AS rate FROM suffixes, r0, strong WHERE level = 1),
+    r2 AS (
+      SELECT domain, (d.bad + s * r1.rate) / (d.n + s) AS rate
+      FROM domains d JOIN r1 USING (suffix), strong WHERE level = 2),
+    r3 AS (
+      SELECT host, (h.bad + s * r2.rate) / (h.n + s) AS rate, h.n + s + 1 AS size
+      FROM hosts h JOIN r2 USING (domain), strong WHERE level = 3),
+    bad_hosts AS (SELECT host FROM r3 WHERE rate - 1.645 * sqrt(rate * (1 - rate) / size) > 0.5)
+    SELECT page_id, host, path, rule, coalesce(fit.verdict, CASE WHEN b.host IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+    FROM parts LEFT JOIN fit USING (page_id) LEFT JOIN bad_hosts b USING (host)
+    """
+)
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts on pages by rules, else by the reputation of their hosts.
+
+    The label of a page is the row of ``labels`` with its number: bad if toxic
+    or of low quality.
+    """
+    bad = F.when((F.col("toxic") == 1) | (F.col("quality") == 0), 1).when(
+        (F.col("toxic") == 0) & (F.col("quality") == 1), 0
+    )
+    labels = _table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return judge_urls(_table(spark, folder, "pages"), labels, _RULES)
+
+
+@_query()
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids written as wavelet matrices and read back."""
+    return token_files(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query()
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of near-duplicates of each document."""
+    return near_duplicates(_table(spark, folder, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+@_query(
+    """
+    WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+    w AS (
+      SELECT *, list_filter(string_split_regex(text, '[ \\t-\\r]+'), lambda x: x <> '') AS words,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS lines
+      FROM t),
+    wins AS (
+      SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS win
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w)),
+    twice AS (SELECT doc_id, win FROM wins GROUP BY doc_id, win HAVING count(*) > 1),
+    rep AS (
+      SELECT doc_id, count(DISTINCT i + k) AS n
+      FROM (SELECT doc_id, i, unnest(range(0, 5)) AS k FROM wins SEMI JOIN twice USING (doc_id, win)) GROUP BY doc_id),
+    m AS (
+      SELECT w.doc_id, source, CAST(len(words) AS BIGINT) AS n_words,
+        CAST(len(array_to_string(words, '')) AS BIGINT) AS word_chars,
+        CAST(len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN rep USING (doc_id)),
+    j AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
+    h AS (
+      SELECT source, CAST(count(*) AS DOUBLE) AS n, CAST(sum(CAST(base_failed AS INT)) AS DOUBLE) AS f
+      FROM j WHERE source IS NOT NULL GROUP BY source),
+    s AS (SELECT count(*) AS k, sum(n) AS n, sum(f) / sum(n) AS p, sum(n * n) AS q FROM h),
+    v AS (
+      SELECT any_value(p) AS p,
+        (sum(h.n * (f / h.n - p) ** 2) - (any_value(k) - 1) * any_value(p * (1 - p))) / any_value(s.n - q / s.n) AS b
+      FROM h, s),
+    prior AS (SELECT p, CASE WHEN b > 0 THEN least(1e6, greatest(1e-3, p * (1 - p) / b - 1)) ELSE 1e6 END AS a FROM v),
+    rates AS (SELECT source, (f + p * a) / (n + a) AS r, n + a + 1 AS size FROM h, prior),
+    bad AS (SELECT source FROM rates WHERE r - 2 * sqrt(r * (1 - r) / size) > 0.9)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+      NOT base_failed AND bad.source IS NULL AS kept
+    FROM j LEFT JOIN bad USING (source)
+    """
+)
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Measures of each document, and whether it is kept."""
+    return judge_documents(_table(spark, folder, "documents"))
+
+
+@_query()
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in each document: matches of the base patterns, and what the network adds."""
+    return scan_secrets(_table(spark, folder, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
+@_query()
+def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents encoded to pieces and decoded again."""
+    return piece_digests(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query()
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with the test items they hold, within a twentieth of edits."""
+    return find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
