@@ -167,15 +167,17 @@ _RULES = [
       FROM pairs GROUP BY level),
     strong AS (
       SELECT level, 1 / least(0.999, greatest(1e-3, CASE WHEN room <> 0 THEN over / room ELSE 0 END)) - 1 AS s FROM sums),
-    r0 AS (SELECT (bad + 0.5) / (n + 1.0) AS rate FROM total),
-    r1 AS (SELECT suffix, (bad + s * rate) / (n + s) AS rate FROM suffixes, r0, strong WHERE level = 1),
+    r0 AS (SELECT (bad + 0.5) / (n + 1.0) AS rate, n + 1.0 AS size FROM total),
+    r1 AS (
+      SELECT suffix, (bad + least(s, size) * rate) / (n + least(s, size)) AS rate, n + least(s, size) AS size
+      FROM suffixes, r0, strong WHERE level = 1),
     r2 AS (
-      SELECT domain, (d.bad + s * r1.rate) / (d.n + s) AS rate
+      SELECT domain, (d.bad + least(s, size) * rate) / (d.n + least(s, size)) AS rate, d.n + least(s, size) AS size
       FROM domains d JOIN r1 USING (suffix), strong WHERE level = 2),
     r3 AS (
-      SELECT host, (h.bad + s * r2.rate) / (h.n + s) AS rate, h.n + s + 1 AS size
+      SELECT host, (h.bad + least(s, size) * rate) / (h.n + least(s, size)) AS rate, h.n + least(s, size) AS size
       FROM hosts h JOIN r2 USING (domain), strong WHERE level = 3),
-    bad_hosts AS (SELECT host FROM r3 WHERE rate - 1.645 * sqrt(rate * (1 - rate) / size) > 0.5)
+    bad_hosts AS (SELECT host FROM r3 WHERE rate - 1.645 * sqrt(rate * (1 - rate) / (size + 1)) > 0.5)
     SELECT page_id, host, path, rule, coalesce(fit.verdict, CASE WHEN b.host IS NULL THEN 'allow' ELSE 'block' END) AS verdict
     FROM parts LEFT JOIN fit USING (page_id) LEFT JOIN bad_hosts b USING (host)
     """

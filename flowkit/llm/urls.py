@@ -63,7 +63,8 @@ def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
 
     The rate of a host is drawn towards that of its registered domain (its
     last two labels), that towards its suffix (its last label), that towards
-    all. How strongly is estimated from the counts at each level. Returns
+    all. How strongly is estimated from the counts at each level, and never
+    more than the labels behind the parent's rate warrant. Returns
     ``host``, ``n``, ``bad``, ``rate`` and ``low``, the bound that the rate is
     above with the certainty ``z`` stands for. A host without labels gets its
     domain's rate, and a wide bound.
@@ -88,14 +89,17 @@ def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     }
 
     def drawn(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-        s = strong[key]
-        near = parents.select(key, F.col("rate").alias("prior"))
-        return children.join(near, key).withColumn("rate", (F.col("bad") + s * F.col("prior")) / (F.col("n") + s))
+        near = parents.select(key, F.col("rate").alias("prior"), F.least("size", F.lit(strong[key])).alias("weight"))
+        return (
+            children.join(near, key)
+            .withColumn("rate", (F.col("bad") + F.col("weight") * F.col("prior")) / (F.col("n") + F.col("weight")))
+            .withColumn("size", F.col("n") + F.col("weight"))
+            .drop("prior", "weight")
+        )
 
-    top = everything.withColumn("rate", (F.col("bad") + 0.5) / (F.col("n") + 1.0))
+    top = everything.withColumn("rate", (F.col("bad") + 0.5) / (F.col("n") + 1.0)).withColumn("size", F.col("n") + 1.0)
     rated = drawn(hosts, drawn(domains, drawn(suffixes, top, "all"), "suffix"), "domain")
-    size = F.col("n") + strong["domain"] + 1
-    low = F.col("rate") - z * F.sqrt(F.col("rate") * (1 - F.col("rate")) / size)
+    low = F.col("rate") - z * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("size") + 1))
     return rated.select("host", "n", "bad", "rate", low.alias("low"))
 
 

@@ -1,0 +1,94 @@
+"""The ten queries and the pipeline on the smallest tables."""
+
+import re
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from flowkit.llm.catalog import QUERIES, SQL
+from flowkit.llm.contamination import normal
+from tests.compare import connect, difference
+from tests.llm.helpers import frame
+from tests.llm.test_quality import plain as measures
+from tests.llm.test_secrets import plain as secrets
+from tests.llm.test_simhash import close_pairs, groups, plain_print
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_each_operator_has_one_query():
+    names = [n for n in entry_points.queries() if re.match(r"op\d+_", n)]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert entry_points.queries()["pipeline"] is corpus_pipeline.run
+
+
+@pytest.mark.parametrize("name", list(SQL))
+def test_query_matches_sql(spark, name):
+    assert difference(QUERIES[name](spark, FOLDER), connect(FOLDER), SQL[name]) is None
+
+
+def documents(spark):
+    return [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+
+
+def test_simhash_query(spark):
+    rows = documents(spark)
+    prints = {i: plain_print(t) for i, t in rows}
+    root = groups(sorted(set(prints.values())), close_pairs(sorted(set(prints.values()))))
+    least = {}
+    for i, p in prints.items():
+        least[root[p]] = min(least.get(root[p], i), i)
+    got = {(r.doc_id, r.fingerprint, r.component_id) for r in QUERIES["op6_simhash"](spark, FOLDER).collect()}
+    assert got == {(i, f"{p:016x}", least[root[p]]) for i, p in prints.items()}
+
+
+def test_pipeline(spark):
+    """Every stage against a plain version of it, on what the stage before kept."""
+    spark_docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    items = [normal(r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    kept = dict(documents(spark))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        spark_docs = stage(spark, spark_docs, FOLDER)
+        assert spark_docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
+        got = {r.doc_id: r.text for r in spark_docs.collect()}
+        if name == "quality rules":
+            m = {i: measures(t) for i, t in kept.items()}
+            want = {i: t for i, t in kept.items() if m[i][0] >= 10 and 100 * m[i][4] <= 20 * m[i][0]}
+        elif name == "SimHash near-dedup":
+            prints = {i: plain_print(t) for i, t in kept.items()}
+            root = groups(sorted(set(prints.values())), close_pairs(sorted(set(prints.values()))))
+            first = {}
+            for i in sorted(kept):
+                first.setdefault(root[prints[i]], i)
+            want = {i: kept[i] for i in first.values()}
+        elif name == "benchmark decontamination":
+            want = {i: t for i, t in kept.items() if not any(x in normal(t) for x in items)}
+        else:
+            want = got
+            assert got.keys() == kept.keys()
+            assert not any(secrets(t) for t in got.values())
+            assert all(got[i] == t for i, t in kept.items() if not secrets(t))
+        assert got == want, name
+        kept = got
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    rows = corpus_pipeline.run(spark, FOLDER).collect()
+    assert {r.doc_id: r.ids for r in rows} == {i: model.encode(t, add_bos=True, add_eos=True) for i, t in kept.items()}
+    assert {r.doc_id: r.text for r in rows} == kept
+
+
+def test_stages_take_odd_rows(spark):
+    passage = "words of a document that is long enough to be kept by every rule there is"
+    rows = [(1, passage), (1, passage), (2, None), (None, passage + " and more"), (3, ""), (4, passage * 3), (None, None)]
+    docs = frame(spark, rows).withColumn("kept", F.lit(1)).withColumn("row", F.lit("x"))
+    for name, stage in corpus_pipeline.STAGES:
+        for some in (docs, docs.limit(0)):
+            out = stage(spark, some, FOLDER)
+            assert out.count() <= len(rows), name
+            assert name.startswith("SentencePiece") or out.columns == docs.columns
+    got = Counter(r.doc_id for r in corpus_pipeline.STAGES[0][1](spark, docs, FOLDER).collect())
+    assert got == {1: 2, None: 1, 4: 1}
