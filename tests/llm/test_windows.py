@@ -38,7 +38,7 @@ def found(frame):
 
 
 # Small blocks, shards and bounds take every branch.
-SMALL = [{}, {"block_bytes": 600, "shard_symbols": 500}, {"block_bytes": 300, "hot": 3, "shard_symbols": 200}]
+SMALL = [{}, {"block_bytes": 600, "bucket_bytes": 500}, {"block_bytes": 300, "hot": 3, "bucket_bytes": 2000}]
 
 
 @pytest.mark.parametrize("options", SMALL)
@@ -52,6 +52,7 @@ def test_words(spark, seed, options):
 @pytest.mark.parametrize("seed", [3, 4])
 def test_bytes(spark, seed, options):
     rows = corpus(seed)
+    options = {**options, "shard_symbols": 300} if options else options
     assert found(suffix_dedup(frame(spark, rows), 50, 16, **options)) == plain(rows, 50, False)
 
 
@@ -92,7 +93,7 @@ def test_every_window_has_its_anchor_wherever_it_stands():
     texts = [np.concatenate([r.integers(97, 100, n).astype(np.uint64), shared]) for n in (0, 13, 250)]
     keys = []
     for t in texts:
-        starts, ends, own = anchors(t, unit)
+        starts, ends, own, _ = anchors(t, unit, np.array([0]), np.array([len(t)]))
         per_window = np.repeat(own, ends - starts + 1)
         assert len(per_window) == len(t) - 49
         keys.append(per_window[-(400 - 49) :])
@@ -138,3 +139,9 @@ def test_matching_statistics():
             places = [i for i in range(len(text)) if text[i : i + got] == query[e - got : e].tolist()]
             assert b - a == len(places)
             assert index.earliest(np.array([a]), np.array([b]))[0] == min(places)
+    inside = np.flatnonzero(np.arange(len(codes)) % 31 >= 8)
+    for own in (False, True):
+        length, low, high = index.statistics(codes, inside, 8, own=own)
+        assert (length == 8).all()
+        early = index.earliest(low, high).tolist()
+        assert early == [next(i for i in range(len(text)) if text[i : i + 8] == text[e - 8 : e]) for e in inside] or own
