@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from flowkit.catalog.registry import query, table
-from flowkit.functions.times import bound_text, epoch_seconds, parse_day
+from flowkit.functions.times import epoch_seconds, parse_day
 from flowkit.operators import joins, split, topk
 from flowkit.plans import frame_jobs
 from flowkit.plans.text_jobs import draw_groups
@@ -50,14 +51,19 @@ def lookup_enrich_sum(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_LOOKUP_SUM)
 def csv_lookup_enrich_sum(spark: SparkSession, folder: str) -> DataFrame:
-    """The same from CSV files with inferred types, as rides and zones come."""
+    """The same from CSV files, as rides and zones come."""
     items, suppliers = scratch_dir(spark, "items"), scratch_dir(spark, "suppliers")
     lines = table(spark, folder, "lineitem").select("l_suppkey", F.col("l_quantity").cast("bigint"))
     write_csv(lines, items)
     write_csv(_suppliers(spark, folder).select("s_suppkey", "s_nationkey"), suppliers)
     return joins.lookup_sum(
-        read_csv(spark, items), read_csv(spark, suppliers), "l_suppkey", "s_suppkey", "s_nationkey", "l_quantity"
-    ).withColumn("s_nationkey", F.col("s_nationkey").cast("int"))
+        read_csv(spark, items, "l_suppkey bigint, l_quantity bigint"),
+        read_csv(spark, suppliers, "s_suppkey bigint, s_nationkey int"),
+        "l_suppkey",
+        "s_suppkey",
+        "s_nationkey",
+        "l_quantity",
+    )
 
 
 @query(_LOOKUP_SUM)
@@ -67,6 +73,42 @@ def sink_roundtrip_csv(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path, "s_nationkey int, l_quantity bigint")
 
 
+@query("""
+    SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN ''
+      ELSE repeat(' ', (doc_id % 3)::INT) || text || repeat(' ', (doc_id % 2)::INT) END AS text
+    FROM documents
+""")
+def csv_roundtrip_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with line ends, blanks around them, empty and missing ones, through exact CSV files."""
+    blanks = lambda n: F.expr(f"repeat(' ', CAST(doc_id % {n} AS INT))")
+    odd = F.when(F.col("doc_id") % 7 == 0, None).when(F.col("doc_id") % 7 == 1, "")
+    path = scratch_dir(spark, "exact")
+    texts = table(spark, folder, "documents").select(
+        "doc_id", odd.otherwise(F.concat(blanks(3), "text", blanks(2))).alias("text")
+    )
+    write_csv(texts, path, exact=True)
+    return read_csv(spark, path, "doc_id bigint, text string", exact=True)
+
+
+@query("""
+    SELECT o_orderkey::VARCHAR AS id, o_orderpriority[1:1] AS level FROM orders
+    WHERE o_orderkey IS NOT NULL AND o_orderpriority IS NOT NULL AND TRY_CAST(o_orderpriority[1:1] AS INT) IS NULL
+    UNION ALL
+    SELECT 'x' || o_orderkey, o_orderpriority[1:1] FROM orders
+    WHERE o_orderkey % 5 = 0 AND TRY_CAST(o_orderpriority[1:1] AS INT) IS NOT NULL
+""")
+def append_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of which a fifth has a key that is no number: what does not fit the table comes back."""
+    level = F.substring("o_orderpriority", 1, 1)
+    key = F.col("o_orderkey").cast("string")
+    broken = (F.col("o_orderkey") % 5 == 0) & level.try_cast("int").isNotNull()
+    orders = table(spark, folder, "orders").select(
+        F.when(broken, F.concat(F.lit("x"), key)).otherwise(key).alias("id"), level.alias("level")
+    )
+    schema = StructType.fromDDL("id bigint, level int")
+    return append_table(orders, schema, path=scratch_dir(spark, "orders"), strict=False)
+
+
 @query("SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
 def sink_append_table(spark: SparkSession, folder: str) -> DataFrame:
     """Customers of two market groups, appended one after the other."""
@@ -155,7 +197,7 @@ def top_hub_mean(spark: SparkSession, folder: str) -> DataFrame:
     means = topk.top_hub_mean(
         trips, ["period", "o_orderpriority"], "c_nationkey", "s_nationkey", ["lag_days", "quantity"], 10
     )
-    return means.withColumn("period", bound_text(F.col("period"), "yyyy-MM-dd"))
+    return means.withColumn("period", F.col("period").cast("date").cast("string"))
 
 
 @query(f"""
@@ -187,7 +229,7 @@ def flight_delays(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def daily_window_agg(spark: SparkSession, folder: str) -> DataFrame:
     daily = tumbling_count(table(spark, folder, "orders"), "o_orderpriority", "o_orderdate", "1 day")
-    day = bound_text(F.col("window_start"), "yyyy-MM-dd")
+    day = F.col("window_start").cast("date").cast("string")
     return daily.select(day.alias("day"), epoch_seconds(parse_day(day)).alias("starts"), "o_orderpriority", "n")
 
 
@@ -269,8 +311,6 @@ def union_all(spark: SparkSession, folder: str) -> DataFrame:
     FROM part
 """)
 def partition_by_features(spark: SparkSession, folder: str) -> DataFrame:
-    parts = split.partition_rows(
-        table(spark, folder, "part"),
-        {"large": F.expr("p_size > 40"), "dear": F.expr("p_retailprice >= 1000"), "plain": F.lit(True)},
-    )
-    return split.union_all(*[frame.select("p_partkey", F.lit(kind).alias("kind")) for kind, frame in parts.items()])
+    """Parts with the first condition they meet, in one pass over them."""
+    kinds = {"large": F.expr("p_size > 40"), "dear": F.expr("p_retailprice >= 1000"), "plain": F.lit(True)}
+    return table(spark, folder, "part").transform(split.with_route, kinds, "kind").select("p_partkey", "kind")

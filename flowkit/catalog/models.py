@@ -14,7 +14,7 @@ from flowkit.operators import masking, scoring
 from flowkit.plans import model_jobs
 from flowkit.session import scratch_dir
 from flowkit.sinks.files import write_csv
-from flowkit.sources.files import balanced, read_csv_list
+from flowkit.sources.files import read_csv_list
 
 # Linear price models, one file each.
 _MODEL_FOLDER = Path(__file__).parent / "price_models"
@@ -70,9 +70,7 @@ def route_and_score(spark: SparkSession, folder: str) -> DataFrame:
     schema = ", ".join(f"{c} double" for c in _PROPERTIES)
     loaded = read_csv_list(spark, ",".join(paths), schema)
     names = list(model_jobs.PRICE_MODELS)
-    factory = scoring.models_from_files(
-        spark, f"{_MODEL_FOLDER}/", names, ".json", scoring.linear_model_reader()
-    )
+    factory = scoring.models_from_files(f"{_MODEL_FOLDER}/", names, ".json", scoring.linear_model_reader())
     scored = scoring.route_and_score(loaded, model_jobs.PRICE_MODELS, factory).rows
     return model_jobs.price_report(scored)
 
@@ -104,20 +102,23 @@ def mask_last_word(spark: SparkSession, folder: str) -> DataFrame:
     FROM ({_MASKED}) LEFT JOIN best ON size >= 3 AND lower(tok[size - 2]) = prev
 """)
 def masked_predict(spark: SparkSession, folder: str) -> DataFrame:
-    texts = balanced(table(spark, folder, "documents").select("text"))
+    texts = table(spark, folder, "documents").select("text")
     lines = texts.select(F.explode(text.lines_of(F.col("text"))).alias("value"))
     model = model_jobs.train_next_word(lines)
     talk = table(spark, folder, "conversations").select("conv_id", "turn", "text")
     return masking.predict_masked(talk, "text", model).drop("text")
 
 
-@query(f"SELECT conv_id, turn, CASE WHEN size % 2 = 0 THEN 'even' ELSE 'odd' END AS inference FROM ({_MASKED})")
-def keyed_batch_infer(spark: SparkSession, folder: str) -> DataFrame:
-    """A model that sees up to 64 texts a call; the keys stay beside them."""
-    talk = table(spark, folder, "conversations").where(text.has_text(F.col("text")))
+def _text_formula() -> str:
+    model = json.loads((_MODEL_FOLDER / "text_length.json").read_text())
+    counts = [f"{w} * (length(text) - length(replace(text, '{p}', '')))" for p, w in model["counts"].items()]
+    return " + ".join([str(model["intercept"]), f"{model['per_character']} * length(text)", *counts])
 
-    def load():
-        return lambda texts: ["odd" if len(t.split()) % 2 else "even" for t in texts]
 
-    scored = scoring.batch_infer(talk, "text", load, "string", max_batch=64)
+@query(f"SELECT conv_id, turn, ({_text_formula()})::DOUBLE AS inference FROM ({_MASKED})")
+def keyed_batch_infer(spark: SparkSession, folder: str) -> DataFrame:
+    """A model from a file that sees up to 64 texts a call; the keys stay beside them."""
+    talk = table(spark, folder, "conversations").where(text.has_text(F.col("text")))
+    factory = scoring.models_from_files(f"{_MODEL_FOLDER}/", ["text_length"], ".json", scoring.text_model_reader())
+    scored = scoring.batch_infer(talk, "text", lambda: factory("text_length"), "double", max_batch=64)
     return scored.select("conv_id", "turn", "inference")

@@ -1,9 +1,10 @@
 """Windows over events, as a table and as a stream.
 
-The stream queries replay the events in time order and restart from the
-checkpoint in between. A stream gives a window out once the watermark has
-passed its end, so but for ``stream_all_windows`` their SQL keeps the windows
-that end by the last event.
+A stream gives a window out once the watermark has passed its end. The stream
+queries take what a finite run has written, and add the windows that were
+still open when it ended; only ``stream_late_drop`` keeps to closed windows.
+It and ``stream_all_windows`` replay the events in time order and restart from
+the checkpoint in between.
 """
 
 from __future__ import annotations
@@ -16,9 +17,10 @@ from pyspark.sql import functions as F
 from flowkit.catalog.registry import query, table
 from flowkit.functions import text
 from flowkit.functions.jsonrow import to_json_text
+from flowkit.functions.times import RFC3339
 from flowkit.plans import stream_jobs
 from flowkit.sources.messages import read_messages
-from flowkit.streaming.replay import closing_message, replay, time_slices
+from flowkit.streaming.replay import replay, time_slices
 from flowkit.streaming.windows import bounds_as_text
 
 _SLICES = 2
@@ -82,11 +84,13 @@ def sql_window_agg(spark: SparkSession, folder: str) -> DataFrame:
     return stream_jobs.ride_totals(_ride_messages(spark, folder))
 
 
-@query(f"SELECT word || ': ' || count(*) AS value FROM ({_WORDS_15S}) WHERE {_CLOSED} GROUP BY word, opens")
+@query(f"SELECT word || ': ' || count(*) AS value FROM ({_WORDS_15S}) GROUP BY word, opens")
 def stream_wordcount(spark: SparkSession, folder: str) -> DataFrame:
-    slices = time_slices(_text_messages(spark, folder), "ts", _SLICES)
-    out = _run(spark, slices, stream_jobs.start_word_count)
-    return spark.read.schema("value binary").parquet(out).select(text.decode(F.col("value")).alias("value"))
+    messages = _text_messages(spark, folder)
+    out = _run(spark, [messages], stream_jobs.start_word_count)
+    closed = spark.read.schema("value binary").parquet(out).select(text.decode(F.col("value")).alias("value"))
+    left = stream_jobs.still_open(stream_jobs.word_counts(messages), messages)
+    return closed.union(left.select(stream_jobs.word_line()))
 
 
 def _word_table(spark: SparkSession, slices: list[DataFrame]) -> DataFrame:
@@ -95,25 +99,32 @@ def _word_table(spark: SparkSession, slices: list[DataFrame]) -> DataFrame:
     return spark.read.schema(schema).parquet(out).transform(bounds_as_text)
 
 
-@query(_WORD_TABLE.format(kept=_CLOSED))
+def _with_open(spark: SparkSession, folder: str, slices: list[DataFrame]) -> DataFrame:
+    messages = _text_messages(spark, folder)
+    left = stream_jobs.still_open(stream_jobs.word_count_rows(messages), messages)
+    return _word_table(spark, slices).unionByName(left.transform(bounds_as_text))
+
+
+@query(_WORD_TABLE.format(kept="true"))
 def stream_word_table(spark: SparkSession, folder: str) -> DataFrame:
-    return _word_table(spark, time_slices(_text_messages(spark, folder), "ts", _SLICES))
+    return _with_open(spark, folder, [_text_messages(spark, folder)])
 
 
 @query(_WORD_TABLE.format(kept="true"))
 def stream_all_windows(spark: SparkSession, folder: str) -> DataFrame:
-    """A last message closes the windows still open."""
-    messages = _text_messages(spark, folder)
-    return _word_table(spark, [messages, closing_message(messages, "2 minutes")])
+    """The same from two runs, the second from the first one's checkpoint."""
+    return _with_open(spark, folder, time_slices(_text_messages(spark, folder), "ts", _SLICES))
 
 
-@query(_RIDES.format(kept=_CLOSED))
+@query(_RIDES.format(kept="true"))
 def stream_sql_window(spark: SparkSession, folder: str) -> DataFrame:
-    slices = time_slices(_ride_messages(spark, folder), "ts", _SLICES)
-    out = _run(spark, slices, stream_jobs.start_ride_totals)
+    rides = _ride_messages(spark, folder)
+    out = _run(spark, [rides], stream_jobs.start_ride_totals)
     fields = "ride_status string, num_rides bigint, total_passengers bigint, window_start string, window_end string"
     messages = spark.read.schema("value binary").parquet(out)
-    return messages.select(F.inline(F.array(F.from_json(text.decode(F.col("value")), fields))))
+    closed = messages.select(F.inline(F.array(F.from_json(text.decode(F.col("value")), fields))))
+    left = stream_jobs.still_open(stream_jobs.ride_windows(rides), rides)
+    return closed.unionByName(left.transform(bounds_as_text, RFC3339))
 
 
 @query(_WORD_TABLE.format(kept=_CLOSED))

@@ -19,7 +19,7 @@ _LINES = "SELECT unnest(string_split(text, chr(10))) AS line FROM documents"
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return sources.balanced(table(spark, folder, "documents").select("text"))
+    return table(spark, folder, "documents").select("text")
 
 
 def _document_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,8 +103,9 @@ def sink_roundtrip_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("SELECT source || ': ' || count(*) AS value FROM documents GROUP BY source")
-def sink_single_file(spark: SparkSession, folder: str) -> DataFrame:
+def sink_report(spark: SparkSession, folder: str) -> DataFrame:
+    """A report of few lines, as a folder like any other output."""
     path = scratch_dir(spark, "source-lines")
     counts = table(spark, folder, "documents").transform(counting.count_elements, "source")
-    write_lines(counts.transform(counting.format_counts, "source"), path, single_max_rows=100_000)
+    write_lines(counts.transform(counting.format_counts, "source"), path)
     return read_lines(spark, path)

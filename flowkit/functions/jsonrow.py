@@ -23,10 +23,11 @@ def json_text(doc: Column, key: str) -> Column:
 
 def json_int(doc: Column, key: str) -> Column:
     """The field as a whole number: numbers lose their fraction, text must be a
-    whole number. Anything else, and a missing key, gives NULL."""
+    whole number, with single ``_`` between digits. Anything else, a number of
+    more than 64 bits and a missing key give NULL."""
     kind = _kind(doc, key)
-    text = F.regexp_extract(_field(doc, key, "string"), r"(?U)^\s*([+-]?\d+)\s*$", 1)
-    return F.when(kind == "STRING", text.try_cast("bigint")).when(
+    text = F.regexp_extract(_field(doc, key, "string"), r"(?U)^\s*([+-]?\d+(?:_\d+)*)\s*$", 1)
+    return F.when(kind == "STRING", F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint")).when(
         kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)"), _field(doc, key, "bigint")
     )
 

@@ -58,8 +58,8 @@ def mask_token(text: Column, keep_last: int = 1, mask: str = MASK) -> Column:
 
 
 def count_line(word: Column, count: Column) -> Column:
-    """``word: count`` as text."""
-    return F.concat_ws(": ", word, count.cast("string"))
+    """``word: count`` as text; a missing word is ``None``."""
+    return F.concat(F.coalesce(word.cast("string"), F.lit("None")), F.lit(": "), count.cast("string"))
 
 
 def whole_number(value: Column) -> Column:

@@ -39,7 +39,8 @@ def lookup_join(
         # From the row itself, so that a task run again after a lost executor
         # sends each row to where it went before.
         facts = facts.withColumn("__salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
-        right = right.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        # Spark takes the copies for as small as the lookup; the hint keeps it from broadcasting them.
+        right = right.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
         on = on & (F.col("__salt") == F.col("__copy"))
     return facts.join(right, on, how).drop("__key", "__salt", "__copy")
 

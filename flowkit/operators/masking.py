@@ -44,7 +44,8 @@ def predict_masked(df: DataFrame, column: str, model: DataFrame, keep_last: int
     masked = df.where(text.has_text(F.col(column))).select(
         "*",
         text.mask_token(F.col(column), keep_last).alias("masked"),
-        F.lower(before).alias("__before"),
+        # A text without a word there matches nothing; keys of their own keep such texts apart.
+        F.coalesce(F.lower(before), F.concat(F.lit("\0"), F.xxhash64(column).cast("string"))).alias("__before"),
     )
     return (
         masked.transform(lookup_join, model, "__before", "prev")

@@ -9,7 +9,7 @@ from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowkit.operators.parse import Parsed
@@ -79,8 +79,15 @@ def batch_infer(
     return df.withColumn(prediction, F.pandas_udf(infer, result_type)(F.col(column)))
 
 
+def open_file(path: str) -> BinaryIO:
+    """Open a file by its path or URI, in whatever file system that names."""
+    from pyarrow import fs
+
+    system, place = fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
+    return system.open_input_file(place)
+
+
 def models_from_files(
-    spark: SparkSession,
     model_path: str,
     names: Sequence[str],
     suffix: str = ".pickle",
@@ -88,26 +95,44 @@ def models_from_files(
 ) -> Callable[[str], Model]:
     """A model factory for files ``model_path + name + suffix``.
 
-    Spark ships the files to every executor. ``read`` makes a model of an open
+    The path, or URI, lies in a file system that every executor reaches; a
+    task opens the file when it first needs the model. ``read`` makes a model of an open
     file; without it the file is unpickled, which runs code from the file: load
     only models you trust. A model is a function of a frame or has ``predict``.
     """
-    for name in names:
-        spark.sparkContext.addFile(f"{model_path}{name}{suffix}")
-    prefix = model_path.rsplit("/", 1)[-1]
+    known = frozenset(names)
 
     def load(name: str):
         import pickle
 
-        from pyspark import SparkFiles
-
-        with open(SparkFiles.get(prefix + name + suffix), "rb") as file:
+        if name not in known:
+            raise KeyError(name)
+        with open_file(f"{model_path}{name}{suffix}") as file:
             model = read(file) if read else pickle.load(file)
         return getattr(model, "predict", model)
 
     return load
 
 
+def text_model_reader() -> Callable[[BinaryIO], Callable[[pd.Series], np.ndarray]]:
+    """Reads a model of texts from JSON: ``intercept``, ``per_character``, and weights of ``counts`` of strings."""
+
+    def read(file):
+        import json
+
+        spec = json.load(file)
+
+        def predict(texts: pd.Series) -> np.ndarray:
+            score = spec["intercept"] + spec["per_character"] * texts.str.len().to_numpy(dtype="float64")
+            for part, weight in spec["counts"].items():
+                score += weight * texts.str.count(part).to_numpy(dtype="float64")
+            return score
+
+        return predict
+
+    return read
+
+
 def linear_model_reader() -> Callable[[BinaryIO], Model]:
     """Reads a linear model from JSON with ``intercept`` and ``coefficients``."""
 

@@ -87,9 +87,8 @@ def draw(
     """
     name = name or column
     values = materialize(value_list(candidates, column, ignore), "values")
-    count = F.coalesce(F.sum("copies"), F.lit(0))
-    size = values.agg(count).scalar()
-    salts = values.agg(F.ceil(F.lit(SPREAD) / F.greatest(count, F.lit(1)))).scalar()
+    size = values.agg(F.coalesce(F.sum("copies"), F.lit(0))).scalar()
+    salts = F.ceil(F.lit(SPREAD) / F.greatest(size, F.lit(1)))
     listed = dense_index(values).select(
         F.col("value").alias("__value"), F.col("idx").alias("__at"), _upto(salts - 1).alias("__copy")
     )
@@ -100,4 +99,5 @@ def draw(
     )
     on = (F.col("__idx") == F.col("__at")) & (F.col("__salt") == F.col("__copy"))
     found = F.coalesce(F.col("__value"), F.raise_error(F.lit("no candidate to draw from")).cast("string"))
-    return picks.join(listed, on, "left").select(*[c for c in groups.columns if c != name], found.alias(name))
+    # The copies are made in the plan, which takes them for as few as the values: no broadcast.
+    return picks.join(listed.hint("merge"), on, "left").select(*[c for c in groups.columns if c != name], found.alias(name))

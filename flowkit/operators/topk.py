@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from flowkit.functions.numbers import known
 from flowkit.operators.joins import null_safe
-from flowkit.session import materialize
 
 
 def _leading(per_value: DataFrame, groups: list[str], value: str, count: str, k: int) -> DataFrame:
@@ -42,13 +41,10 @@ def kth_value(df: DataFrame, groups: list[str], value: str, k: int) -> DataFrame
 def top_k_ties(df: DataFrame, groups: list[str], value: str, k: int) -> DataFrame:
     """Rows whose value is among the k largest of their group, ties included.
 
-    Two pruned scans: one, when called, finds the k-th value per group and
-    writes it to the scratch folder, one keeps the rows that reach it. Few groups make the second a
-    broadcast join without any shuffle of the rows.
+    Two pruned scans: one finds the k-th value per group, one keeps the rows
+    that reach it.
     """
-    limits = materialize(
-        df.transform(kth_value, groups, value, k).toDF(*[f"__{g}" for g in groups], "__kth"), "kth"
-    )
+    limits = df.transform(kth_value, groups, value, k).toDF(*[f"__{g}" for g in groups], "__kth")
     on = null_safe(df, limits, [(g, f"__{g}") for g in groups])
     return df.join(limits, on).where(F.col(value) >= F.col("__kth")).select(*df.columns)
 

@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from flowkit.functions.times import bound_text, check_day, event_time
+from flowkit.functions.times import check_day, event_time, utc_day
 from flowkit.operators.joins import lookup_sum
 from flowkit.operators.topk import top_hub_mean
-from flowkit.session import use_utc
 from flowkit.sinks.files import write_csv
 from flowkit.sources.files import read_csv, read_table
 
@@ -37,9 +36,19 @@ def run_passengers_per_borough(
     ride_schema: StructType | str | None = None,
     zone_schema: StructType | str | None = None,
 ) -> None:
-    """Ride files and a zone file to passengers dropped off per borough."""
+    """Ride files and a zone file to passengers dropped off per borough.
+
+    Without a schema the key and the borough are text, the passengers numbers of any kind.
+    """
     rides, zones = read_csv(spark, input, ride_schema), read_csv(spark, zone_lookup, zone_schema)
-    write_csv(lookup_sum(rides, zones, "DOLocationID", "LocationID", "Borough", "passenger_count"), output)
+    count = F.col("passenger_count")
+    if ride_schema is None:
+        rides = rides.withColumn("passenger_count", count.cast("double"))
+    sums = lookup_sum(rides, zones, "DOLocationID", "LocationID", "Borough", "passenger_count")
+    if ride_schema is None:
+        whole = F.when(count == F.floor(count), F.floor(count).cast("string")).otherwise(count.cast("string"))
+        sums = sums.withColumn("passenger_count", whole)
+    write_csv(sums, output)
 
 
 def flight_delays(flights: DataFrame, start_date: str, end_date: str) -> DataFrame:
@@ -49,7 +58,6 @@ def flight_delays(flights: DataFrame, start_date: str, end_date: str) -> DataFra
     """
     for day in (start_date, end_date):
         check_day(day, FIRST_DAY, LAST_DAY)
-    use_utc(flights.sparkSession)
     chosen = read_table(
         flights,
         FLIGHT_COLUMNS,
@@ -59,13 +67,13 @@ def flight_delays(flights: DataFrame, start_date: str, end_date: str) -> DataFra
     # A missing name becomes the text None, as casting it to text does there.
     names = {c: F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in list(FLIGHT_COLUMNS)[1:4]}
     delays = {c: F.col(c).cast("double") for c in ("departure_delay", "arrival_delay")}
-    daily = chosen.withColumns({**names, **delays}).withColumn(
-        "day", F.window(event_time(F.col("date")), "1 day").getField("start")
-    )
+    zoned = dict(chosen.dtypes)["date"] == "timestamp"
+    day = utc_day(event_time(F.col("date"))) if zoned else F.col("date").cast("date")
+    daily = chosen.withColumns({**names, **delays}).withColumn("day", day)
     means = top_hub_mean(
         daily, ["day", "airline"], "departure_airport", "arrival_airport", list(delays), TOP_AIRPORTS
     )
-    return means.withColumn("day", bound_text(F.col("day"), "yyyy-MM-dd"))
+    return means.withColumn("day", F.col("day").cast("string"))
 
 
 def run_flight_delays(

@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowkit.functions import text
 from flowkit.functions.text import whole_number
 from flowkit.operators import masking, parse, scoring
 from flowkit.session import materialize
@@ -44,7 +45,6 @@ def run_price_report(
     model_factory: Callable | None = None,
     model_path: str | None = None,
     schema: str | None = None,
-    single_max_rows: int | None = None,
 ) -> parse.Parsed:
     """Comma-separated list of CSV files to report lines.
 
@@ -54,9 +54,9 @@ def run_price_report(
     if (model_factory is None) == (model_path is None):
         raise ValueError("give exactly one of model_factory and model_path")
     if model_path is not None:
-        model_factory = scoring.models_from_files(spark, model_path, list(PRICE_MODELS))
+        model_factory = scoring.models_from_files(model_path, list(PRICE_MODELS))
     scored = scoring.route_and_score(read_csv_list(spark, input, schema), PRICE_MODELS, model_factory)
-    write_lines(price_report(scored.rows), output, single_max_rows=single_max_rows)
+    write_lines(price_report(scored.rows), output)
     return scored
 
 
@@ -66,8 +66,26 @@ def train_next_word(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def run_masked_words(
-    spark: SparkSession, input: str, output: str, model: DataFrame, single_max_rows: int | None = None
+    spark: SparkSession,
+    input: str,
+    output: str,
+    model: DataFrame | None = None,
+    model_factory: Callable | None = None,
+    max_batch: int | None = None,
 ) -> None:
-    """Text files to ``text;word`` lines, the word being predicted for the mask."""
-    report = masking.predict_masked(read_lines(spark, input), "value", model)
-    write_lines(report, output, column="report", single_max_rows=single_max_rows)
+    """Text files to ``text;word`` lines, the word being predicted for the mask.
+
+    ``model`` is a table of successors; ``model_factory`` loads, in a task, a
+    function from masked texts to words instead, called with up to
+    ``max_batch`` texts.
+    """
+    if (model is None) == (model_factory is None):
+        raise ValueError("give exactly one of model and model_factory")
+    lines = read_lines(spark, input)
+    if model is not None:
+        report = masking.predict_masked(lines, "value", model)
+    else:
+        masked = lines.where(text.has_text(F.col("value"))).withColumn("masked", text.mask_token(F.col("value")))
+        words = scoring.batch_infer(masked, "masked", model_factory, "string", max_batch, "predicted")
+        report = words.select(F.concat("value", F.lit(";"), F.coalesce("predicted", F.lit(""))).alias("report"))
+    write_lines(report, output, column="report")

@@ -38,9 +38,9 @@ def run_split_words(spark: SparkSession, input: str, output: str) -> None:
 
 
 def run_count_lines(spark: SparkSession, input: str, output: str, factor: int = 1) -> None:
-    """Text files to a CSV of each distinct line and ``factor`` times its count."""
+    """Text files to an exact CSV of each distinct line and ``factor`` times its count."""
     counts = sources.read_lines(spark, input).transform(counting.count_elements, "value", factor)
-    sinks.write_csv(counts, output)
+    sinks.write_csv(counts, output, exact=True)
 
 
 def draw_groups(

@@ -2,49 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from flowkit.session import materialize
+from flowkit.sources.files import EXACT_NULL
 
 
-class TooLargeForOneFile(ValueError):
-    pass
+def write_lines(df: DataFrame, path: str, column: str = "value") -> None:
+    """Write a text column as lines, one file per task, into a new folder."""
+    df.select(F.col(column).alias("value")).write.text(path, lineSep="\n")
 
 
-def write_lines(df: DataFrame, path: str, column: str = "value", single_max_rows: int | None = None) -> None:
-    """Write a text column as lines, one file per task, into a new folder.
+def _texts(df: DataFrame) -> dict[str, Column]:
+    return {f.name: F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() == "string"}
 
-    ``single_max_rows`` asks for one file. One file means one task, so this is
-    for reports whose size is known; a frame with more rows is refused. The
-    rows are computed once, by all tasks, before they are counted.
-    """
-    lines = df.select(F.col(column).alias("value"))
-    if single_max_rows is not None:
-        lines = materialize(lines, "report")
-        if lines.limit(single_max_rows + 1).count() > single_max_rows:
-            raise TooLargeForOneFile(f"more than {single_max_rows} lines; write a folder instead")
-        lines = lines.coalesce(1)
-    lines.write.text(path, lineSep="\n")
 
+def write_csv(df: DataFrame, path: str, exact: bool = False) -> None:
+    """CSV with a header line in every file; blanks around values are kept.
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header line in every file."""
-    df.write.option("header", True).option("escape", '"').csv(path)
+    NULL and empty text are both read back as NULL, and a value with a line
+    end, which would be read back as two rows, fails the job. ``exact``
+    writes every value so that ``read_csv`` with ``exact`` gives it back.
+    """
+    writer_options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    if exact:
+        marked = {n: F.when(c.startswith("\\"), F.concat(F.lit("\\"), c)).otherwise(c) for n, c in _texts(df).items()}
+        writer_options |= {"quoteAll": True, "nullValue": EXACT_NULL, "emptyValue": "", "lineSep": "\n"}
+    else:
+        failure = F.raise_error(F.lit("a value has a line end; write it with exact=True")).cast("string")
+        marked = {n: F.when(c.rlike(r"[\r\n]"), failure).otherwise(c) for n, c in _texts(df).items()}
+    (df.withColumns(marked) if marked else df).write.options(**writer_options).csv(path)
 
 
-def append_table(df: DataFrame, schema: StructType, path: str | None = None, table: str | None = None) -> None:
+def append_table(
+    df: DataFrame, schema: StructType, path: str | None = None, table: str | None = None, strict: bool = True
+) -> DataFrame:
     """Append to a parquet folder or a catalog table, creating it when missing.
 
-    The columns are put into the order and types of ``schema`` first; text
-    that does not fit its type becomes NULL, so check it while parsing.
+    The columns are put into the order and types of ``schema`` first. A value
+    that does not fit its type fails the job; without ``strict`` its row is
+    left out, and the rows left out are returned as they came.
     """
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path and table")
-    typed = df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
-    writer = typed.write.mode("append").format("parquet")
+    typed, bad = {}, F.lit(False)
+    for f in schema.fields:
+        own = F.col(f.name)
+        cast = own.try_cast(f.dataType)
+        unfit = own.isNotNull() & cast.isNull()
+        bad = bad | unfit
+        text = F.concat(F.lit(f"no {f.dataType.simpleString()} for {f.name}: "), own.cast("string"))
+        typed[f.name] = F.when(unfit, F.raise_error(text).cast(f.dataType)).otherwise(cast) if strict else cast
+    rows = df if strict else df.where(~bad)
+    writer = rows.select(*[c.alias(n) for n, c in typed.items()]).write.mode("append").format("parquet")
     if path is not None:
         writer.save(path)
     else:
         writer.saveAsTable(table)
+    return df.where(bad)

@@ -13,45 +13,59 @@ def read_lines(spark: SparkSession, path: str, skip_header: bool = False) -> Dat
     """One row ``value`` per line of the files a path or glob names.
 
     Lines end at ``\\n``; one ``\\r`` before it is dropped. ``skip_header``
-    leaves out the first line of each file. That form reads through the CSV
-    source, which knows where a file starts when it splits one over many
-    tasks; it also skips lines of white
-    space only.
+    leaves out the first line of each file, whether or not Spark splits the
+    file over many tasks; all other lines stay, blank ones too.
     """
+    lines = spark.read.option("lineSep", "\n").text(path)
     if skip_header:
-        # A separator that is no character of text, and no quote, keep the line whole.
-        lines = (
-            spark.read.schema("value string")
-            .option("header", True)
-            .option("enforceSchema", True)
-            .option("sep", "\ufdd0")
-            .option("quote", "")
-            .option("lineSep", "\n")
-            .csv(path)
+        # Row numbers rise in the order of reading, so the least of a file's
+        # first block is that of its first line.
+        numbered = lines.select(
+            "value",
+            F.monotonically_increasing_id().alias("__row"),
+            F.col("_metadata.file_path").alias("__file"),
+            F.col("_metadata.file_block_start").alias("__block"),
         )
-    else:
-        lines = spark.read.option("lineSep", "\n").text(path).select("value")
+        headers = numbered.where("__block = 0").groupBy("__file").agg(F.min("__row").alias("__row"))
+        lines = numbered.join(headers, ["__file", "__row"], "left_anti")
     value = F.col("value")
     cut = F.substring(value, F.lit(1), F.length(value) - 1)
     return lines.select(F.when(value.endswith("\r"), cut).otherwise(value).alias("value"))
 
 
 def read_csv(
-    spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: StructType | str | None = None,
+    infer: bool = False,
+    exact: bool = False,
 ) -> DataFrame:
     """CSV files with a header line each.
 
-    Without a schema the types are inferred, at the price of one more pass
-    over the files; give the schema for large inputs.
+    Columns are text without a schema; ``infer`` guesses their types, at the
+    price of one more pass over the files. An empty field is NULL. ``exact``
+    reads what ``sinks.files.write_csv`` wrote with it: values with line ends,
+    and empty text apart from NULL; such files are not split over tasks.
     """
     reader = spark.read.option("header", True).option("escape", '"')
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if exact:
+        reader = reader.option("multiLine", True).option("lineSep", "\n").option("nullValue", EXACT_NULL)
+    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", infer)
+    rows = reader.csv(path)
+    if not exact:
+        return rows
+    texts = {f.name: F.col(f"`{f.name}`") for f in rows.schema.fields if f.dataType.typeName() == "string"}
+    bare = {n: F.when(c.startswith("\\"), F.substring(c, 2, 2**31 - 1)).otherwise(c) for n, c in texts.items()}
+    return rows.withColumns(bare) if bare else rows
+
+
+#: NULL in exact CSV files. Text that begins with a backslash gets another in front, so no text equals it.
+EXACT_NULL = "\\N"
 
 
 def read_csv_list(spark: SparkSession, paths: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV files named by a comma-separated list."""
-    return read_csv(spark, [p.strip() for p in paths.split(",") if p.strip()], schema)
+    """CSV files named by a comma-separated list; types are inferred without a schema."""
+    return read_csv(spark, [p.strip() for p in paths.split(",") if p.strip()], schema, infer=True)
 
 
 def read_table(
@@ -73,17 +87,6 @@ def read_table(
     return df.select(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()])
 
 
-def balanced(df: DataFrame) -> DataFrame:
-    """Spread a scan with fewer than two splits per core evenly over the cores.
-
-    For costly work on rows that come from a few files, of which Spark may not
-    be able to split some. A larger scan stays as it is: what moves is never
-    more than two splits per core.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.isStreaming or df.rdd.getNumPartitions() >= 2 * cores else df.repartition(cores)
-
-
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 

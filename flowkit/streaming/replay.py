@@ -22,19 +22,6 @@ def time_slices(df: DataFrame, ts: str, parts: int) -> list[DataFrame]:
     return [*[part.where(when < cut) for part, cut in zip(after, cuts)], after[-1]]
 
 
-def closing_message(messages: DataFrame, after: str) -> DataFrame:
-    """An empty message ``after`` the last one, as the last slice of a replay.
-
-    It holds no word and no JSON, so it counts for nothing, but it moves the
-    watermark past the end of every window if ``after`` is at least the window
-    size plus the delay: the stream then gives out all windows, as a bounded
-    input would.
-    """
-    return messages.agg(F.max("ts").alias("last")).select(
-        F.lit(b"").alias("value"), (F.col("last") + F.expr(f"INTERVAL {after}")).alias("ts")
-    )
-
-
 def replay(
     slices: Sequence[DataFrame],
     open_stream: Callable[[str], DataFrame],

@@ -3,12 +3,14 @@
 import glob
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from flowkit.operators import masking
 from flowkit.plans import frame_jobs, model_jobs, text_jobs
-from flowkit.session import materialize, scratch_dir
-from flowkit.sinks.files import TooLargeForOneFile, append_table, write_csv, write_lines
-from flowkit.sources.files import balanced, group_ids, read_csv, read_csv_list, read_lines, read_table
+from flowkit.session import drop_scratch, materialize, scratch_dir
+from flowkit.sinks.files import append_table, write_csv
+from flowkit.sources.files import group_ids, read_csv, read_csv_list, read_lines, read_table
 from tests.conftest import rows
 
 
@@ -33,8 +35,7 @@ def test_read_lines_without_headers(spark, tmp_path):
     for i in range(3):
         put(tmp_path, f"{i}.csv", f'id,"name"\r\n{i},"a, ""b"""\r\n{i},\'x\n' + "\n".join([*odd, "", " "]))
     found = [r[0] for r in rows(read_lines(spark, f"{tmp_path}/*.csv", skip_header=True))]
-    # Lines of white space only are skipped in this form.
-    expected = [f'{i},"a, ""b"""' for i in range(3)] + [f"{i},'x" for i in range(3)] + odd * 3
+    expected = [f'{i},"a, ""b"""' for i in range(3)] + [f"{i},'x" for i in range(3)] + [*odd, "", " "] * 3
     assert sorted(found) == sorted(expected)
 
 
@@ -56,9 +57,11 @@ def test_split_job(spark, tmp_path):
 
 @pytest.mark.parametrize("factor", [1, 2])
 def test_count_job(spark, tmp_path, factor):
-    source = put(tmp_path, "in.txt", "x\ny, z\nx\n")
+    source = put(tmp_path, "in.txt", "x\ny, z\nx\n  x\n\ttab\ntab\n\n\\N\na\rb\n")
     text_jobs.run_count_lines(spark, source, f"{tmp_path}/out", factor)
-    assert rows(read_csv(spark, f"{tmp_path}/out")) == [("x", 2 * factor), ("y, z", factor)]
+    found = read_csv(spark, f"{tmp_path}/out", "value string, n bigint", exact=True)
+    once = ["y, z", "  x", "\ttab", "tab", "", "\\N", "a\rb"]
+    assert rows(found) == sorted([("x", 2 * factor), *[(v, factor) for v in once]], key=repr)
 
 
 def test_draw_job(spark, tmp_path):
@@ -133,14 +136,13 @@ def test_price_job(spark, tmp_path):
         place = names.index(name)
         return lambda rows: 0.5 + place * rows["Area"]
 
-    scored = model_jobs.run_price_report(spark, f"{a},{b}", f"{tmp_path}/out", factory, single_max_rows=10)
+    scored = model_jobs.run_price_report(spark, f"{a},{b}", f"{tmp_path}/out", factory)
     assert lines_in(f"{tmp_path}/out") == [
         "True Price 1000, Predicted Price 0",
         "True Price 2000, Predicted Price 10",
         "True Price 3000, Predicted Price 20",
         "True Price nan, Predicted Price 30",
     ]
-    assert len(glob.glob(f"{tmp_path}/out/part-*")) == 1
     assert [r.TradePrice for r in scored.rejects.collect()] == [5000.0]
     with pytest.raises(ValueError):
         model_jobs.run_price_report(spark, a, f"{tmp_path}/no")
@@ -153,14 +155,13 @@ def test_masked_words_job(spark, lines, tmp_path):
     assert lines_in(f"{tmp_path}/out") == ["It is so .;paris", "The capital of France is Rome .;paris"]
     assert masking.bigram_counts(lines([])).count() == 0
 
+    def load():
+        return lambda texts: texts.str.len().astype(str)
 
-def test_one_file_only_for_few_rows(spark, tmp_path):
-    frame = spark.range(20).selectExpr("CAST(id AS string) AS value")
-    write_lines(frame.repartition(4), f"{tmp_path}/one", single_max_rows=20)
-    assert len(glob.glob(f"{tmp_path}/one/part-*")) == 1
-    with pytest.raises(TooLargeForOneFile):
-        write_lines(frame, f"{tmp_path}/two", single_max_rows=19)
-    assert not glob.glob(f"{tmp_path}/two*")
+    model_jobs.run_masked_words(spark, source, f"{tmp_path}/own", model_factory=load, max_batch=1)
+    assert lines_in(f"{tmp_path}/own") == ["It is so .;14", "The capital of France is Rome .;33"]
+    with pytest.raises(ValueError):
+        model_jobs.run_masked_words(spark, source, f"{tmp_path}/no")
 
 
 def test_append_orders_and_types_columns(spark, tmp_path):
@@ -178,7 +179,8 @@ def test_append_orders_and_types_columns(spark, tmp_path):
 def test_csv_sources(spark, tmp_path):
     frame = spark.createDataFrame([(1, 'a "q", b'), (2, None)], "id int, name string")
     write_csv(frame, f"{tmp_path}/x")
-    assert rows(read_csv(spark, f"{tmp_path}/x")) == rows(frame)
+    assert rows(read_csv(spark, f"{tmp_path}/x", infer=True)) == rows(frame)
+    assert rows(read_csv(spark, f"{tmp_path}/x")) == rows(frame.selectExpr("CAST(id AS string) AS id", "name"))
     both = read_csv_list(spark, f"{tmp_path}/x, {tmp_path}/x", "id int, name string")
     assert both.count() == 4
 
@@ -194,15 +196,61 @@ def test_group_ids(spark):
     assert rows(group_ids(spark, 3)) == [("id0",), ("id1",), ("id2",)]
 
 
-def test_balanced_moves_only_scans_with_few_splits(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert balanced(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 10, 1, 2 * cores)
-    assert balanced(wide) is wide
-
-
 def test_scratch_names_are_new_and_shared(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
     base = spark.conf.get("spark.checkpoint.dir", None)
     assert not base or scratch_dir(spark, "x").startswith(base)
     assert rows(materialize(spark.range(2), "m")) == [(0,), (1,)]
+
+
+def test_append_takes_no_unfit_value(spark, tmp_path):
+    schema = spark.createDataFrame([], "id int, name string").schema
+    mixed = spark.createDataFrame([("1", "a"), ("abc", "x"), (None, "y")], "id string, name string")
+    with pytest.raises(Exception, match="no int for id: abc"):
+        append_table(mixed, schema, path=f"{tmp_path}/strict")
+    left = append_table(mixed, schema, path=f"{tmp_path}/some", strict=False)
+    assert rows(left) == [("abc", "x")]
+    assert rows(spark.read.parquet(f"{tmp_path}/some")) == sorted([(1, "a"), (None, "y")], key=repr)
+
+
+def test_dropped_scratch_leaves_nothing(spark, tmp_path):
+    frame = materialize(spark.range(3), "gone")
+    folder = frame.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert glob.glob(f"{folder}/part-*")
+    assert drop_scratch(spark) > 0
+    assert not glob.glob(folder)
+
+
+def test_headers_go_where_files_are_split(spark, tmp_path):
+    for i in range(3):
+        put(tmp_path, f"{i}.csv", f"head {i}\n" + "".join(f"{i} {n}\n" for n in range(500)))
+    put(tmp_path, "only.csv", "head only")
+    put(tmp_path, "empty.csv", "")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("500", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found = rows(read_lines(spark, f"{tmp_path}/*.csv", skip_header=True))
+            assert found == sorted([(f"{i} {n}",) for i in range(3) for n in range(500)], key=repr)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+ODD = st.one_of(st.none(), st.text(alphabet=" \t\r\n\"\\N,ab\u00e9", max_size=8))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(ODD, ODD), min_size=1, max_size=12))
+def test_exact_csv_gives_back_what_it_got(spark, tmp_path_factory, values):
+    path = str(tmp_path_factory.mktemp("exact") / "out")
+    frame = spark.createDataFrame([(i, *v) for i, v in enumerate(values)], "i int, a string, b string").coalesce(1)
+    write_csv(frame, path, exact=True)
+    assert rows(read_csv(spark, path, "i int, a string, b string", exact=True)) == rows(frame)
+
+
+def test_plain_csv_keeps_blanks_and_refuses_line_ends(spark, tmp_path):
+    frame = spark.createDataFrame([("  x ", "\ty"), ("", None)], "a string, b string")
+    write_csv(frame, f"{tmp_path}/x")
+    assert rows(read_csv(spark, f"{tmp_path}/x")) == sorted([("  x ", "\ty"), (None, None)], key=repr)
+    with pytest.raises(Exception, match="line end"):
+        write_csv(spark.createDataFrame([("a\nb",)], "a string"), f"{tmp_path}/y")

@@ -47,7 +47,7 @@ def test_models_from_files(spark, tmp_path):
     cloudpickle.register_pickle_by_value(tests.test_scoring)
     for name in ROUTES:
         (tmp_path / f"m_{name}.pickle").write_bytes(cloudpickle.dumps(Doubler()))
-    load = scoring.models_from_files(spark, f"{tmp_path}/m_", list(ROUTES))
+    load = scoring.models_from_files(f"{tmp_path}/m_", list(ROUTES))
     scored = scoring.route_and_score(frame_of(spark), ROUTES, load)
     assert rows(scored.rows.select("name", "prediction")) == [("x", 2.0), ("y", 6.0), ("z", 8.0)]
 
@@ -55,7 +55,7 @@ def test_models_from_files(spark, tmp_path):
 def test_linear_models_from_json(spark, tmp_path):
     (tmp_path / "both.json").write_text('{"intercept": 0.5, "coefficients": {"a": 10, "b": 1}}')
     (tmp_path / "one.json").write_text('{"intercept": 0, "coefficients": {"a": 100}}')
-    load = scoring.models_from_files(spark, f"{tmp_path}/", list(ROUTES), ".json", scoring.linear_model_reader())
+    load = scoring.models_from_files(f"{tmp_path}/", list(ROUTES), ".json", scoring.linear_model_reader())
     scored = scoring.route_and_score(frame_of(spark), ROUTES, load)
     assert rows(scored.rows.select("name", "prediction")) == [("x", 12.5), ("y", 300.0), ("z", 400.0)]
 
@@ -102,6 +102,26 @@ def test_pickled_callable_needs_no_predict(spark, tmp_path):
     import operator
 
     (tmp_path / "neg.pickle").write_bytes(pickle.dumps(operator.methodcaller("sum", axis=1)))
-    load = scoring.models_from_files(spark, f"{tmp_path}/", ["neg"])
+    load = scoring.models_from_files(f"{tmp_path}/", ["neg"])
     scored = scoring.route_and_score(frame_of(spark), {"neg": ["a"]}, load)
     assert rows(scored.rows.select("prediction")) == [(1.0,), (3.0,), (4.0,)]
+
+
+def test_folders_with_equal_names_in_one_session(spark, tmp_path):
+    for folder, weight in (("one", 1), ("two", 5)):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "m.json").write_text(f'{{"intercept": 0, "coefficients": {{"a": {weight}}}}}')
+    for folder, expected in (("one", [1.0, 3.0, 4.0]), ("two", [5.0, 15.0, 20.0])):
+        path = f"{tmp_path}/{folder}/" if folder == "one" else f"file://{tmp_path}/{folder}/"
+        load = scoring.models_from_files(path, ["m"], ".json", scoring.linear_model_reader())
+        scored = scoring.route_and_score(frame_of(spark), {"m": ["a"]}, load)
+        assert [r[0] for r in rows(scored.rows.select("prediction"))] == sorted(expected, key=lambda x: repr((x,)))
+    with pytest.raises(KeyError):
+        load("other")
+
+
+def test_keys_without_a_word_do_not_meet(spark, lines):
+    model = masking.best_next_word(masking.bigram_counts(lines(["a b"])))
+    frame = lines([f"w{i}" for i in range(50)])
+    found = masking.predict_masked(frame, "value", model)
+    assert found.where("predicted = ''").count() == 50

@@ -1,5 +1,6 @@
 """Windows on tables and streams."""
 
+import json
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,8 +10,9 @@ from flowkit.functions import text
 from flowkit.plans import stream_jobs
 from flowkit.sinks.messages import start_publish
 from flowkit.sources.messages import read_messages, record_time
-from flowkit.streaming.replay import closing_message, replay, time_slices
-from flowkit.streaming.windows import tumbling_agg, with_event_time
+from flowkit.session import materialize
+from flowkit.streaming.replay import replay, time_slices
+from flowkit.streaming.windows import bounds_as_text, tumbling_agg, with_event_time
 from tests.conftest import rows
 
 START = datetime(2024, 1, 1)
@@ -63,13 +65,51 @@ def test_delay_waits_for_late_rows(spark, messages):
     assert published(spark, path) == ["a: 2", "b: 2"]
 
 
-def test_closing_message_gives_out_all_windows(spark, messages):
+def test_open_windows_complete_a_finite_run(spark, messages):
     table = messages([(0, "a b"), (16, "a"), (44, "c")])
-    path = run(spark, [table, closing_message(table, "15 seconds")], stream_jobs.start_word_count)
-    assert published(spark, path) == ["a: 1", "a: 1", "b: 1", "c: 1"]
-    rides = messages([(0, ride("pickup", 2))])
-    path = run(spark, [rides, closing_message(rides, "15 seconds")], stream_jobs.start_ride_totals)
-    assert len(published(spark, path)) == 1
+    path = run(spark, [table], stream_jobs.start_word_count)
+    left = stream_jobs.still_open(stream_jobs.word_counts(table), table)
+    lines = [r[0] for r in left.select(stream_jobs.word_line()).collect()]
+    assert sorted(published(spark, path) + lines) == ["a: 1", "a: 1", "b: 1", "c: 1"]
+    assert lines == ["c: 1"]
+    # The watermark is where the rows left it: what comes next is not late.
+    path = run(spark, [table, messages([(44, "d"), (61, "e")])], stream_jobs.start_word_count)
+    assert published(spark, path) == ["a: 1", "a: 1", "b: 1", "c: 1", "d: 1"]
+
+
+def test_a_message_that_is_no_ride(spark, messages):
+    rides = messages([(0, ride("pickup", 2)), (1, "no json"), (2, ride("pickup", '"1_000"')), (20, ride("x", 2**70))])
+    with pytest.raises(Exception, match="row does not fit"):
+        run(spark, [rides], stream_jobs.start_ride_totals)
+    with pytest.raises(Exception, match="row does not fit"):
+        stream_jobs.ride_totals(rides).collect()
+    totals = stream_jobs.ride_totals(rides, strict=False).collect()
+    assert [(r.num_rides, r.total_passengers) for r in totals] == [(2, 1002)]
+    path = run(spark, [rides], stream_jobs.start_ride_rejects)
+    assert published(spark, path) == sorted(["no json", ride("x", 2**70)])
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_bounds_are_utc_in_any_session(spark, messages, zone):
+    # Around both changes of the clocks in New York.
+    starts = [datetime(2024, 3, 10, 1, 59, 50), datetime(2024, 3, 10, 6, 59, 50), datetime(2024, 11, 3, 5, 59, 50)]
+    pairs = [((s - START).total_seconds() + d, ride("x", 1)) for s in starts for d in range(0, 7300, 600)]
+    table = materialize(messages(pairs), "zones")
+    want = rows(stream_jobs.ride_totals(table))
+    words = rows(stream_jobs.word_count_rows(table).transform(bounds_as_text))
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        assert rows(stream_jobs.ride_totals(table)) == want
+        assert rows(stream_jobs.word_count_rows(table).transform(bounds_as_text)) == words
+        path = run(spark, [table], stream_jobs.start_ride_totals)
+        lines = published(spark, path)
+        assert len(lines) == len(want) - 1 and all("T" in x and "Z" in x for x in lines)
+        starts = {json.loads(x)["window_start"] for x in lines}
+        assert starts < {r[-2] for r in want}
+        assert spark.conf.get("spark.sql.session.timeZone") == zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert any("2024-03-10T02:" in r[-2] for r in want)
 
 
 def ride(status, count):
@@ -81,7 +121,7 @@ def test_filtered_rows_advance_the_watermark(spark, messages):
         messages([(0, ride("pickup", 2)), (1, ride("pickup", 3)), (2, ride("enroute", 9)), (3, "no json")]),
         messages([(20, ride("enroute", 1))]),
     ]
-    path = run(spark, batches, stream_jobs.start_ride_totals)
+    path = run(spark, batches, stream_jobs.start_ride_totals, strict=False)
     assert published(spark, path) == [
         '{"ride_status":"pickup","num_rides":2,"total_passengers":5,'
         '"window_start":"2024-01-01T00:00:00Z","window_end":"2024-01-01T00:00:15Z"}'
