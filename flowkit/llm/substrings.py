@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 from pyspark.sql import DataFrame
 
 from flowkit.llm.suffixes import suffix_array
-from flowkit.llm.windows import BLOCK_BYTES, HOT, SHARD_SYMBOLS, Unit, remove_later_copies
+from flowkit.llm.windows import BLOCK_BYTES, BUCKET_BYTES, HOT, Unit, remove_later_copies
 
 #: An index covers fewer than 2**20 words; a word takes two bytes at least.
 _INDEX_BYTES = 3 << 18
@@ -43,17 +45,25 @@ class WaveletTree:
         below = self.planes[level][word] & ((np.uint64(1) << bit) - np.uint64(1))
         return self.ones[level][word] + np.bitwise_count(below)
 
+    def _down(self, values: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Follow places from plane to plane along the bits of their values."""
+        for level in range(self.bits):
+            one = (values >> (self.bits - 1 - level)) & 1 == 1
+            ones = self._rank(level, at)
+            at = np.where(one, self.zeros[level] + ones, at - ones)
+        return at
+
+    @cached_property
+    def _begin(self) -> np.ndarray:
+        """Where each value starts behind the last plane."""
+        values = np.arange(1 << self.bits)
+        return self._down(values, np.zeros(len(values), np.int64))
+
     def rank(self, values: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How often each value stands before ``low`` and before ``high``."""
-        start = np.zeros(len(values), np.int64)
-        both = np.concatenate([low, high, start])
-        n = len(values)
-        for level in range(self.bits):
-            one = ((values >> (self.bits - 1 - level)) & 1).astype(bool)
-            one = np.concatenate([one, one, one])
-            ones = self._rank(level, both)
-            both = np.where(one, self.zeros[level] + ones, both - ones)
-        return both[:n] - both[2 * n :], both[n : 2 * n] - both[2 * n :]
+        down = self._down(np.concatenate([values, values]), np.concatenate([low, high]))
+        begin = self._begin[values]
+        return down[: len(values)] - begin, down[len(values) :] - begin
 
 
 class FMIndex:
@@ -79,11 +89,15 @@ class FMIndex:
             last = self.least[-1]
             self.least.append(np.minimum(last[:-step], last[step:]))
 
-    def statistics(self, codes: np.ndarray, ends: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def statistics(
+        self, codes: np.ndarray, ends: np.ndarray, limit: int, own: bool = False
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For the words before each end, the longest run (up to ``limit``) that the index holds.
 
         Returns its length and its interval of suffixes, found by backward
-        search for all ends side by side.
+        search for all ends side by side. ``own`` says that the index was
+        made of these very words, at least ``limit`` before each end: an
+        interval of one is then the words themselves, and stays one.
         """
         low, high = np.zeros(len(ends), np.int64), np.full(len(ends), self.size, np.int64)
         length = np.zeros(len(ends), np.int64)
@@ -93,12 +107,18 @@ class FMIndex:
             if not len(going):
                 break
             word = codes[ends[going] - 1 - step]
-            first, last = self.tree.rank(word, low[going], high[going])
-            first, last = self.before[word] + first, self.before[word] + last
+            if step:
+                first, last = self.tree.rank(word, low[going], high[going])
+                first, last = self.before[word] + first, self.before[word] + last
+            else:
+                first, last = self.before[word], self.before[word + 1]
             found = (first < last) & (word > 0)
+            low[going[found]], high[going[found]] = first[found], last[found]
+            length[going[found]] = step + 1
+            if own:
+                length[going[found & (last - first == 1)]] = limit
+                found &= last - first > 1
             going = going[found]
-            low[going], high[going] = first[found], last[found]
-            length[going] = step + 1
         return length, low, high
 
     def earliest(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -114,13 +134,11 @@ class FMIndex:
 def fm_resolver(window: int):
     """Earliest documents of windows of words by an FM-index of all segments given."""
 
-    def resolve(segments: list[bytes], ids: list[int], keys: list[int]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
-        for first, last in _whole_keys(segments, keys):
-            out += earliest(segments[first:last], ids[first:last])
-        return out
+    def resolve(segments: list[bytes], ids: list[int], keys: list[int]) -> np.ndarray:
+        parts = _whole_keys(segments, keys)
+        return np.concatenate([earliest(segments[first:last], ids[first:last]) for first, last in parts])
 
-    def earliest(segments: list[bytes], ids: list[int]) -> list[np.ndarray]:
+    def earliest(segments: list[bytes], ids: list[int]) -> np.ndarray:
         number: dict[bytes, int] = {}
         words: list[int] = []
         sizes = []
@@ -136,10 +154,10 @@ def fm_resolver(window: int):
         starts = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
         within = np.arange(len(codes)) - starts[owner]
         ends = np.flatnonzero((within >= window) & (within <= size[owner]))
-        length, low, high = index.statistics(codes, ends, window)
+        length, low, high = index.statistics(codes, ends, window, own=True)
         hit = length >= window
         assert hit.all(), "a window is not found in its own index"
-        return np.split(index.earliest(low, high), np.cumsum(size - window + 1)[:-1])
+        return index.earliest(low, high)
 
     return resolve
 
@@ -161,16 +179,16 @@ def substring_dedup(
     gram: int = 4,
     hot: int = HOT,
     block_bytes: int = BLOCK_BYTES,
-    shard_symbols: int = 2 * SHARD_SYMBOLS,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """Remove each word covered by a run of ``window`` words that also starts in an earlier document.
 
     Words are runs of other bytes than ASCII white space. See
     ``windows.remove_later_copies`` for the columns and for NULLs. Runs that
-    may be shared meet in shards; an FM-index of each shard (wavelet tree over
-    its Burrows-Wheeler transform) gives the matching statistics of the
-    shard's texts, and those of ``window`` words and more are reported with
-    the earliest document of their interval.
+    may be shared meet in buckets; an FM-index of each (wavelet tree over its
+    Burrows-Wheeler transform) gives the matching statistics of the bucket's
+    texts, and those of ``window`` words and more are reported with the
+    earliest document of their interval.
     """
     unit = Unit(words=True, length=window, gram=gram)
-    return remove_later_copies(docs, unit, fm_resolver(window), hot, block_bytes, shard_symbols)
+    return remove_later_copies(docs, unit, fm_resolver(window), hot, block_bytes, bucket_bytes)

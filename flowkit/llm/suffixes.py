@@ -7,10 +7,12 @@ from itertools import combinations, groupby
 import numpy as np
 from pyspark.sql import DataFrame
 
-from flowkit.llm.windows import BLOCK_BYTES, HOT, SHARD_SYMBOLS, Unit, remove_later_copies
+from flowkit.llm.windows import BLOCK_BYTES, BUCKET_BYTES, HOT, SHARD_SYMBOLS, Unit, remove_later_copies
 
 #: Codes that the first sort looks at.
 _FIRST = 4
+#: Codes that are compared at once.
+_STRIDE = 7
 _BITS = np.uint64(20)
 _LOW = np.uint64((1 << 20) - 1)
 
@@ -72,30 +74,41 @@ def common_prefixes(codes: np.ndarray, order: np.ndarray, starts: np.ndarray, de
     n = len(codes)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
-    padded = np.concatenate([codes.astype(np.int64), np.full(depth + 1, -1)])
+    # Seven codes to a number; behind the end stands a code that no text has.
+    padded = np.concatenate([codes.astype(np.uint64), np.full(depth + _STRIDE, 511, np.uint64)])
+    words = np.zeros(n + depth, np.uint64)
+    for k in range(_STRIDE):
+        words = (words << np.uint64(9)) | padded[k : k + n + depth]
     shared = np.zeros(n, np.int64)
-    at = starts.astype(np.int64).copy()
+    at = starts.astype(np.int64)
     ends = np.append(starts[1:], n)
     have = np.zeros(len(starts), np.int64)
-    lanes = np.arange(len(starts))
-    while len(lanes):
-        i = at[lanes]
-        j = before[i]
-        length = np.maximum(have[lanes] - 1, 0)
-        going = np.flatnonzero((j >= 0) & (length < depth))
+    while len(at):
+        mine, other = at, before[at]
+        length = np.where(other >= 0, np.maximum(have - 1, 0), depth)
+        going = np.flatnonzero(length < depth)
+        a, b = (mine + length)[going], (other + length)[going]
         while len(going):
-            same = padded[i[going] + length[going]] == padded[j[going] + length[going]]
-            going = going[same]
-            length[going] += 1
-            going = going[length[going] < depth]
-        length[j < 0] = 0
-        shared[i] = length
-        have[lanes] = length
-        at[lanes] += 1
-        lanes = lanes[at[lanes] < ends[lanes]]
+            same = _equal_codes(words[a] ^ words[b])
+            length[going] += same
+            more = np.flatnonzero((same == _STRIDE) & (length[going] < depth))
+            going, a, b = going[more], a[more] + _STRIDE, b[more] + _STRIDE
+        have = np.where(other >= 0, np.minimum(length, depth), 0)
+        shared[at] = have
+        at = at + 1
+        left = at < ends
+        if not left.all():
+            at, ends, have = at[left], ends[left], have[left]
     return shared[order]
 
 
+def _equal_codes(differ: np.ndarray) -> np.ndarray:
+    """Codes of nine bits that agree from the top, from what differs."""
+    for shift in (1, 2, 4, 8, 16, 32):
+        differ = differ | (differ >> np.uint64(shift))
+    return (63 - np.bitwise_count(differ).astype(np.int64)) // 9
+
+
 class _Shard:
     """The suffix array of some segments: their windows in order, and the earliest document of each."""
 
@@ -140,16 +153,15 @@ class _Shard:
         rows = np.lib.stride_tricks.sliding_window_view(self.text, self.window)[self.heads[groups]]
         return np.ascontiguousarray(rows).view(f"S{self.window}").ravel(), groups
 
-    def firsts(self) -> list[np.ndarray]:
-        by_place = np.full(len(self.text), -1, np.int64)
-        by_place[self.order] = self.early[self.group]
-        return [by_place[s : s + n - self.window + 1] for s, n in zip(self.starts, self.sizes)]
+    def firsts(self) -> np.ndarray:
+        """The earliest document of every window, by place."""
+        return self.early[self.group][np.argsort(self.order)]
 
 
 def suffix_resolver(window: int, shard_symbols: int = SHARD_SYMBOLS):
     """Earliest documents of windows by suffix arrays; keys that straddle shards are merged by binary search."""
 
-    def resolve(segments: list[bytes], ids: list[int], keys: list[int]) -> list[np.ndarray]:
+    def resolve(segments: list[bytes], ids: list[int], keys: list[int]) -> np.ndarray:
         cuts, size = [0], 0
         for i, s in enumerate(segments):
             if size and size + len(s) + 1 > shard_symbols:
@@ -168,7 +180,7 @@ def suffix_resolver(window: int, shard_symbols: int = SHARD_SYMBOLS):
             # Each pair meets once, in order; the last to meet has heard of all.
             for (i, mine), (j, theirs) in combinations(pieces, 2):
                 shards[i].merge(shards[j], mine, theirs)
-        return [f for s in shards for f in s.firsts()]
+        return np.concatenate([s.firsts() for s in shards])
 
     return resolve
 
@@ -179,16 +191,17 @@ def suffix_dedup(
     gram: int = 16,
     hot: int = HOT,
     block_bytes: int = BLOCK_BYTES,
+    bucket_bytes: int = BUCKET_BYTES,
     shard_symbols: int = SHARD_SYMBOLS,
 ) -> DataFrame:
     """Remove each byte covered by a ``window``-byte string that also starts in an earlier document.
 
     Texts count as UTF-8; see ``windows.remove_later_copies`` for the columns
-    and for NULLs. Strings that may be shared meet in shards of at most about
-    ``shard_symbols`` bytes. In each, a suffix array (Larsson and Sadakane)
-    and common prefixes (Kasai) bring equal strings together; a key whose
-    segments straddle shards is merged by binary search of one shard's
-    strings among the other's.
+    and for NULLs. Strings that may be shared meet in buckets, each cut into
+    shards of about ``shard_symbols`` bytes. In a shard a suffix array
+    (Larsson and Sadakane) and common prefixes (Kasai) bring equal strings
+    together; where a shard ends among segments that may hold the same string,
+    the strings of one shard are looked up in the next by binary search.
     """
     unit = Unit(words=False, length=window, gram=gram)
-    return remove_later_copies(docs, unit, suffix_resolver(window, shard_symbols), hot, block_bytes, shard_symbols)
+    return remove_later_copies(docs, unit, suffix_resolver(window, shard_symbols), hot, block_bytes, bucket_bytes)

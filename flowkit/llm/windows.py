@@ -11,12 +11,13 @@ in. Three steps find what may be shared and bring it together:
    documents hold it.
 2. Anchors that several documents hold come back to their blocks, which cut
    out the text around them: a segment is a run of windows with one anchor.
-   A block sends each distinct segment once, with the places it stands at.
-3. Segments with equal anchors meet in a shard, where an index (an FM-index
-   or a suffix array) finds the earliest document of each window.
+   A block sends each distinct segment once, with the places it stands at,
+   to the bucket of its anchor.
+3. In a bucket, shards of distinct segments get an index (an FM-index or a
+   suffix array), which tells the earliest document of each window.
 
 An anchor at more than ``hot`` places would bring all their distinct
-surroundings into one shard. Its windows are sent one by one under their own
+surroundings into one bucket. Its windows are sent one by one under their own
 hash instead: what is shared then meets once per block, what is not spreads
 evenly.
 """
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +36,20 @@ from pyspark.sql import functions as F
 #: Bytes of text in a block, on average.
 BLOCK_BYTES = 8 << 20
 #: Places of an anchor above which its windows travel on their own.
-HOT = 8192
+HOT = 2048
 #: Symbols that one index covers.
-SHARD_SYMBOLS = 1 << 19
+SHARD_SYMBOLS = 1 << 18
+#: Bytes of text for which there is a bucket.
+BUCKET_BYTES = 1 << 20
 #: Windows of a document that are looked at together.
 _PART = 1 << 19
 _POSITION = np.uint64((1 << 20) - 1)
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = np.cumprod(np.full(4096, _BASE, np.uint64), dtype=np.uint64)
 
-#: For each segment (in the order given) the earliest document of its windows.
-Resolver = Callable[[list[bytes], list[int], list[int]], list[np.ndarray]]
+#: Segments sorted by anchor, the earliest document that holds each, and the anchors, to the earliest
+#: document of every window, segment by segment.
+Resolver = Callable[[list[bytes], list[int], list[int]], np.ndarray]
 
 
 @dataclass(frozen=True)
@@ -84,6 +89,43 @@ class Unit:
         """Symbols ``first`` to ``last`` (exclusive)."""
         return text[first:last] if starts is None else text[starts[first] : starts[last] - 1]
 
+    def count(self, text: bytes) -> int:
+        """Symbols of a text that ``text`` has made."""
+        return (text.count(b" ") + 1 if text else 0) if self.words else len(text)
+
+
+class Block:
+    """The documents of a block, in an order that does not depend on the run, as one run of symbols."""
+
+    def __init__(self, unit: Unit, table: pa.Table):
+        rows = sorted(zip(table.column("doc_id").to_pylist(), table.column("body").to_pylist()))
+        self.unit = unit
+        self.ids = np.array([i for i, _ in rows], np.int64)
+        self.texts = [unit.text(body) for _, body in rows]
+        self.joined = (b" " if unit.words else b"").join(t for t in self.texts if t)
+        self.ends = np.cumsum([unit.count(t) for t in self.texts], dtype=np.int64)
+        self.symbols, self.bounds = unit.symbols(self.joined)
+
+    @cached_property
+    def starts(self) -> np.ndarray:
+        return np.concatenate([[0], self.ends[:-1]])
+
+    def runs(self, content: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of windows of one document with one anchor.
+
+        Their first and last start, the anchor's hash and, if asked for, a
+        hash of the symbols they cover.
+        """
+        return anchors(self.symbols, self.unit, self.starts, self.ends, content)
+
+    def cover(self, first: np.ndarray, last: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The text of symbols ``first`` to ``last`` (exclusive), one behind the other, and the bytes of each."""
+        if self.bounds is not None:
+            first, last = self.bounds[first], self.bounds[last] - 1
+        sizes = last - first
+        places = np.arange(int(sizes.sum())) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
+        return np.frombuffer(self.joined, np.uint8)[places].tobytes(), sizes
+
 
 def distinct(values: np.ndarray) -> np.ndarray:
     values = np.sort(values)
@@ -112,7 +154,10 @@ def _hashes(symbols: np.ndarray, k: int) -> np.ndarray:
         if left:
             run = run[:-size] * np.uint64(pow(_BASE, size, 1 << 64)) + run[size:]
             size *= 2
-    out = out[: len(symbols) - k + 1].copy()
+    return _mixed(out[: len(symbols) - k + 1].copy())
+
+
+def _mixed(out: np.ndarray) -> np.ndarray:
     out ^= out >> np.uint64(33)
     out *= np.uint64(0xFF51AFD7ED558CCD)
     out ^= out >> np.uint64(33)
@@ -121,45 +166,50 @@ def _hashes(symbols: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def anchors(symbols: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: their first and last start, and the anchor's hash."""
-    starts, ends, keys = [], [], []
-    for part in range(0, max(0, len(symbols) - unit.length + 1), _PART):
-        own = symbols[part : part + _PART + unit.length - 1]
+def anchors(
+    symbols: np.ndarray, unit: Unit, starts: np.ndarray, ends: np.ndarray, content: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with one anchor, of texts that lie one behind the other; see ``Block.runs``."""
+    length, width = unit.length, unit.length - unit.gram + 1
+    # Windows that would reach into the next text.
+    marks = np.zeros(len(symbols) + 1, np.int32)
+    np.add.at(marks, np.maximum(starts, ends - length + 1), 1)
+    np.add.at(marks, ends, -1)
+    inside = np.cumsum(marks) == 0
+    found: list[tuple[np.ndarray, ...]] = []
+    for part in range(0, max(0, len(symbols) - length + 1), _PART):
+        own = symbols[part : part + _PART + length - 1]
         grams = _hashes(own, unit.gram)
-        least = (grams & ~_POSITION) | np.arange(len(grams), dtype=np.uint64)
-        width, size = unit.length - unit.gram + 1, 1
+        least, size = (grams & ~_POSITION) | np.arange(len(grams), dtype=np.uint64), 1
         while size * 2 <= width:
             least = np.minimum(least[:-size], least[size:])
             size *= 2
         if size < width:
             least = np.minimum(least[: size - width], least[width - size :])
         at = (least & _POSITION).astype(np.int64)
-        new = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
-        starts.append(new + part)
-        ends.append(np.append(new[1:] - 1, len(at) - 1) + part)
-        keys.append(grams[at[new]])
-    if not starts:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    return np.concatenate(starts), np.concatenate(ends), np.concatenate(keys)
-
-
-def _documents(table: pa.Table) -> list[tuple[int, bytes]]:
-    """The documents of a block in an order that does not depend on the run."""
-    return sorted(zip(table.column("doc_id").to_pylist(), table.column("body").to_pylist()))
+        good = inside[part : part + len(at)]
+        new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (good[1:] != good[:-1])]))
+        last = np.append(new[1:] - 1, len(at) - 1)
+        keep = good[new]
+        new, last = new[keep], last[keep]
+        covered = np.empty(0, np.uint64)
+        if content:
+            # The first and the last window hold all symbols of a run.
+            windows = _hashes(own, length)
+            covered = _mixed(windows[new] * np.uint64(_BASE) + windows[last] + (last - new).astype(np.uint64))
+        found.append((new + part, last + part, grams[at[new]], covered))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _sent_anchors(unit: Unit):
     def send(table: pa.Table) -> pa.Table:
-        block, holder, last = table.column("block")[0].as_py(), -1, None
-        keys, holders = [], []
-        for doc_id, body in _documents(table):
-            # The same document twice is one holder of its anchors.
-            holder, last = holder + (doc_id != last), doc_id
-            own = anchors(unit.symbols(unit.text(body))[0], unit)[2]
-            keys.append(own)
-            holders.append(np.full(len(own), holder, np.int32))
-        key, held = np.concatenate(keys), np.concatenate(holders)
+        block = Block(unit, table)
+        starts, _, key, _ = block.runs()
+        # The same document twice is one holder of its anchors.
+        same = np.concatenate([[0], np.cumsum(block.ids[1:] != block.ids[:-1])])
+        held = same[np.searchsorted(block.ends, starts, side="right")]
         order = np.lexsort((held, key))
         key, held = key[order], held[order]
         first = np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]
@@ -168,7 +218,7 @@ def _sent_anchors(unit: Unit):
         return pa.table(
             {
                 "key": key[at].view(np.int64),
-                "block": np.full(len(at), block, np.int64),
+                "block": np.full(len(at), table.column("block")[0].as_py(), np.int64),
                 "holders": np.add.reduceat(new, at, dtype=np.int32) if len(at) else np.empty(0, np.int32),
                 "places": np.diff(np.append(at, len(key))).astype(np.int32),
             }
@@ -207,41 +257,70 @@ def _repeated(hot: int):
     return pick
 
 
-def _sent_segments(unit: Unit):
+def _packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The stretches of an array between some cuts, as binary values."""
+    offsets = pa.py_buffer((cuts * values.itemsize).astype(np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, offsets, pa.py_buffer(values.tobytes())])
+
+
+#: Per block and bucket: distinct segments (their texts and sizes in bytes, how many places each has), then the places.
+_SEGMENTS_DDL = "bucket long, block long, texts binary, sizes binary, places binary, ids binary, rows binary, starts binary"
+_SEGMENTS = pa.schema(
+    [
+        ("bucket", pa.int64()),
+        ("block", pa.int64()),
+        *[(n, pa.binary()) for n in ("texts", "sizes", "places", "ids", "rows", "starts")],
+    ]
+)
+
+
+def _sent_segments(unit: Unit, buckets: int):
     def send(documents: pa.Table, flagged: pa.Table) -> pa.Table:
         if not documents.num_rows or not flagged.num_rows:
             return _SEGMENTS.empty_table()
-        block = documents.column("block")[0].as_py()
         keys = flagged.column("key").to_numpy().view(np.uint64)
         order = np.argsort(keys)
         keys, hot = keys[order], flagged.column("hot").to_numpy()[order]
-        places: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
-        for row, (doc_id, body) in enumerate(_documents(documents)):
-            text = unit.text(body)
-            symbols, bounds = unit.symbols(text)
-            starts, ends, own = anchors(symbols, unit)
-            at = np.searchsorted(keys, own)
-            known = keys[np.minimum(at, len(keys) - 1)] == own
-            for i in np.flatnonzero(known).tolist():
-                first, last = int(starts[i]), int(ends[i]) + unit.length
-                if hot[at[i]]:
-                    for start in range(first, last - unit.length + 1):
-                        window = unit.cut(text, bounds, start, start + unit.length)
-                        key = int(_hashes(symbols[start : start + unit.length], unit.length)[0])
-                        places.setdefault((key, window), []).append((doc_id, row, start))
-                else:
-                    segment = unit.cut(text, bounds, first, last)
-                    places.setdefault((int(own[i]), segment), []).append((doc_id, row, first))
-        sizes = [len(x) for x in places.values()]
-        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-        flat = np.array([p for x in places.values() for p in x], np.int64).reshape(-1, 3)
-        listed = [pa.ListArray.from_arrays(offsets, pa.array(flat[:, i], t)) for i, t in enumerate(_PLACE)]
+        block = Block(unit, documents)
+        first, last, key, content = block.runs(True)
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        known = keys[at] == key
+        first, last, key, content, hot = first[known], last[known], key[known], content[known], hot[at[known]]
+        if hot.any():
+            # Each window by itself, under its own hash.
+            sizes = (last - first + 1)[hot]
+            single = np.arange(int(sizes.sum())) + np.repeat(first[hot] - np.cumsum(sizes) + sizes, sizes)
+            spread = single[:, None] + np.arange(unit.length)
+            own = np.zeros(len(single), np.uint64)
+            for column in spread.T:
+                own = own * np.uint64(_BASE) + block.symbols[column]
+            own = _mixed(own)
+            first, last, key, content = (
+                np.concatenate([old[~hot], new])
+                for old, new in zip((first, last, key, content), (single, single, own, own))
+            )
+        bucket = (key % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((content, bucket))
+        first, last, content, bucket = first[order], last[order], content[order], bucket[order]
+        new = np.concatenate([[True], (content[1:] != content[:-1]) | (bucket[1:] != bucket[:-1])])[: len(bucket)]
+        heads = np.flatnonzero(new)
+        texts, sizes = block.cover(first[heads], last[heads] + unit.length)
+        cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])[: len(bucket)])
+        by_place = np.append(cuts, len(bucket))
+        by_segment = np.searchsorted(heads, by_place)
+        by_byte = np.concatenate([[0], np.cumsum(sizes)])[by_segment]
+        rows = np.searchsorted(block.ends, first, side="right")
+        places = np.diff(np.append(heads, len(bucket)))
         return pa.table(
             [
-                pa.array(np.array([k for k, _ in places], np.uint64).view(np.int64)),
-                pa.array([s for _, s in places], pa.binary()),
-                pa.array(np.full(len(places), block, np.int64)),
-                *listed,
+                pa.array(bucket[cuts]),
+                pa.array(np.full(len(cuts), documents.column("block")[0].as_py(), np.int64)),
+                _packed(np.frombuffer(texts, np.uint8), by_byte),
+                _packed(sizes.astype(np.int32), by_segment),
+                _packed(places.astype(np.int32), by_segment),
+                _packed(block.ids[rows], by_place),
+                _packed(rows.astype(np.int32), by_place),
+                _packed((first - block.starts[rows]).astype(np.int32), by_place),
             ],
             schema=_SEGMENTS,
         )
@@ -249,80 +328,58 @@ def _sent_segments(unit: Unit):
     return send
 
 
-_PLACE = (pa.int64(), pa.int32(), pa.int32())
-_SEGMENTS = pa.schema(
-    [
-        ("key", pa.int64()),
-        ("segment", pa.binary()),
-        ("block", pa.int64()),
-        ("ids", pa.list_(pa.int64())),
-        ("rows", pa.list_(pa.int32())),
-        ("starts", pa.list_(pa.int32())),
-    ]
-)
+_SPANS_DDL = "block long, row int, first int, last int"
 
 
-def _spans(unit: Unit, resolve: Resolver, shard_symbols: int):
-    """From segments sorted by key, the spans of later copies in each document."""
-
-    def work(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(held)
-        keys = table.column("key").to_pylist()
-        ids = table.column("ids").combine_chunks()
-        offsets = ids.offsets.to_numpy()
-        flat_ids = ids.values.to_numpy()
-        rows = table.column("rows").combine_chunks().values.to_numpy()
-        starts = table.column("starts").combine_chunks().values.to_numpy()
-        blocks = table.column("block").to_numpy()
-        least = np.minimum.reduceat(flat_ids, offsets[:-1])
-        number: dict[tuple[int, bytes], int] = {}
-        which = [number.setdefault(x, len(number)) for x in zip(keys, table.column("segment").to_pylist())]
+def _spans(unit: Unit, resolve: Resolver):
+    """From the segments of a bucket, the spans of later copies in each document."""
+
+    def work(table: pa.Table) -> pa.Table:
+        def numbers(name: str, kind: type) -> list[np.ndarray]:
+            return [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]
+
+        sizes, places = numbers("sizes", np.int32), numbers("places", np.int32)
+        ids, rows, starts = (np.concatenate(numbers(n, k)) for n, k in (("ids", np.int64), ("rows", np.int32), ("starts", np.int32)))
+        blocks = np.repeat(table.column("block").to_numpy(), [int(p.sum()) for p in places])
+        # Blocks may send the same segment.
+        number: dict[bytes, int] = {}
+        which: list[int] = []
+        for text, own in zip(table.column("texts").to_pylist(), sizes):
+            ends = np.cumsum(own).tolist()
+            which += [number.setdefault(text[a:b], len(number)) for a, b in zip([0, *ends], ends)]
+        which = np.repeat(np.array(which), np.concatenate(places))
         early = np.full(len(number), np.iinfo(np.int64).max)
-        np.minimum.at(early, which, least)
-        firsts = resolve([s for _, s in number], early.tolist(), [k for k, _ in number])
-        low = np.array([f.min() for f in firsts])
-        high = np.array([f.max() for f in firsts])
-        count = np.array([len(f) for f in firsts])
-        which = np.repeat(np.array(which), np.diff(offsets))
-        blocks = np.repeat(blocks, np.diff(offsets))
-        whole = high[which] < flat_ids
-        out = [blocks[whole], rows[whole], starts[whole], starts[whole] + count[which[whole]] + unit.length - 1]
+        np.minimum.at(early, which, ids)
+        segments = list(number)
+        counts = np.array([unit.count(s) for s in segments])
+        # Every segment has one anchor; equal windows lie in segments with equal anchors.
+        joined = (b" " if unit.words else b"").join(segments)
+        ends = np.cumsum(counts)
+        _, last, keys, _ = anchors(unit.symbols(joined)[0], unit, ends - counts, ends)
+        keys = keys[np.searchsorted(last, ends - unit.length)]
+        order = np.argsort(keys, kind="stable")
+        firsts = resolve([segments[i] for i in order.tolist()], early[order].tolist(), keys[order].tolist())
+        windows = (counts - unit.length + 1)[order]
+        at = np.cumsum(windows) - windows
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        low, high = np.minimum.reduceat(firsts, at), np.maximum.reduceat(firsts, at)
+        which = place[which]
+        whole = high[which] < ids
+        out = [blocks[whole], rows[whole], starts[whole], starts[whole] + windows[which[whole]] + unit.length - 1]
         more: list[tuple[int, int, int, int]] = []
-        for i in np.flatnonzero((low[which] < flat_ids) & ~whole).tolist():
-            later = np.concatenate([[False], firsts[which[i]] < flat_ids[i], [False]])
+        for i in np.flatnonzero((low[which] < ids) & ~whole).tolist():
+            own = firsts[at[which[i]] : at[which[i]] + windows[which[i]]]
+            later = np.concatenate([[False], own < ids[i], [False]])
             edges = np.flatnonzero(later[1:] != later[:-1]) + starts[i]
-            for a, b in edges.reshape(-1, 2).tolist():
-                more.append((blocks[i], rows[i], a, b + unit.length - 1))
+            more += [(blocks[i], rows[i], a, b + unit.length - 1) for a, b in edges.reshape(-1, 2).tolist()]
         extra = np.array(more, np.int64).reshape(-1, 4)
         merged = [np.concatenate([a, extra[:, i]]) for i, a in enumerate(out)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x, t) for x, t in zip(merged, (pa.int64(), pa.int32(), pa.int32(), pa.int32()))],
-            names=["block", "row", "first", "last"],
-        )
+        names = ["block", "row", "first", "last"]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+        return pa.table([pa.array(x, t) for x, t in zip(merged, kinds)], names=names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            size += batch.column("segment").nbytes
-            # Words take several bytes each; a shard of words is smaller than the bound.
-            if size < shard_symbols:
-                continue
-            keys = held[-1].column("key").to_numpy()
-            cut = int(np.argmax(keys == keys[-1]))
-            if cut == 0 and keys[0] == held[0].column("key")[0].as_py():
-                continue  # one key so far
-            if cut:
-                yield work([*held[:-1], held[-1].slice(0, cut)])
-                held = [held[-1].slice(cut)]
-                size = held[0].column("segment").nbytes
-        if held:
-            yield work(held)
-
-    return run
+    return work
 
 
 def _cleaned(unit: Unit):
@@ -334,8 +391,8 @@ def _cleaned(unit: Unit):
         rows = rows[order]
         first, last = (spans.column(c).to_numpy()[order] for c in ("first", "last"))
         out = []
-        for row, (doc_id, body) in enumerate(_documents(documents)):
-            text = unit.text(body)
+        block = Block(unit, documents)
+        for row, (doc_id, text) in enumerate(zip(block.ids.tolist(), block.texts)):
             a, b = np.searchsorted(rows, [row, row + 1])
             bounds = unit.bounds(text)
             n = len(text) if bounds is None else len(bounds) - 1
@@ -377,7 +434,7 @@ def remove_later_copies(
     resolve: Resolver,
     hot: int = HOT,
     block_bytes: int = BLOCK_BYTES,
-    shard_symbols: int = SHARD_SYMBOLS,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """Cut out every window that also starts in a document with a smaller id.
 
@@ -401,15 +458,9 @@ def remove_later_copies(
         .sortWithinPartitions("key")
         .mapInArrow(_repeated(hot), "block long, key long, hot boolean")
     )
-    segments = by_block.cogroup(repeated.groupBy("block")).applyInArrow(
-        _sent_segments(unit),
-        "key long, segment binary, block long, ids array<long>, rows array<int>, starts array<int>",
-    )
-    spans = (
-        segments.repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(_spans(unit, resolve, shard_symbols), "block long, row int, first int, last int")
-    )
+    buckets = max(1, -(-total // bucket_bytes))
+    segments = by_block.cogroup(repeated.groupBy("block")).applyInArrow(_sent_segments(unit, buckets), _SEGMENTS_DDL)
+    spans = segments.groupBy("bucket").applyInArrow(_spans(unit, resolve), _SPANS_DDL)
     cleaned = by_block.cogroup(spans.groupBy("block")).applyInArrow(_cleaned(unit), _CLEANED_DDL)
     nameless = plain.where("doc_id IS NULL").mapInArrow(_untouched(unit), _CLEANED_DDL)
     return cleaned.unionByName(nameless)
