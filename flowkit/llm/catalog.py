@@ -268,5 +268,5 @@ def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query()
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents with the test items they hold, within a twentieth of edits."""
+    """Documents with the test items they hold, within eight edits in a hundred characters."""
     return find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))

@@ -163,7 +163,7 @@ def _rounds(benchmark: DataFrame, edit_rate: float, block_bytes: int) -> Iterato
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, edit_rate: float = 0.05, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, benchmark: DataFrame, edit_rate: float = 0.08, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """Test items (``item_id``, ``text``) that documents (``doc_id``, ``text``) hold.
 
@@ -203,7 +203,7 @@ def _clean(items):
 
 
 def drop_leaks(
-    docs: DataFrame, benchmark: DataFrame, edit_rate: float = 0.05, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, benchmark: DataFrame, edit_rate: float = 0.08, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no test item; see ``find_leaks``."""
     for items in _rounds(benchmark, edit_rate, block_bytes):
