@@ -191,7 +191,7 @@ def suffix_dedup(
     gram: int = 16,
     hot: int = HOT,
     block_bytes: int = BLOCK_BYTES,
-    bucket_bytes: int = BUCKET_BYTES,
+    bucket_bytes: int = 3 * BUCKET_BYTES // 2,
     shard_symbols: int = SHARD_SYMBOLS,
 ) -> DataFrame:
     """Remove each byte covered by a ``window``-byte string that also starts in an earlier document.

@@ -4,7 +4,7 @@ The deduplicators of repeated passages (``substrings``, ``suffixes``) ask of
 every window of ``length`` symbols which is the smallest document id it starts
 in. Three steps find what may be shared and bring it together:
 
-1. Documents are dealt into blocks by a hash of their id. Of every window the
+1. Documents are dealt into blocks by a hash of id and text. Of every window the
    least k-gram, in a random order, is its anchor. Equal windows have equal
    anchors, and neighbouring windows mostly share theirs, so a block sends one
    hash for about every eighteen bytes, and each only once however many of its
@@ -30,11 +30,12 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text in a block, on average.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 5 << 20
 #: Places of an anchor above which its windows travel on their own.
 HOT = 2048
 #: Symbols that one index covers.
@@ -258,9 +259,14 @@ def _repeated(hot: int):
 
 
 def _packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
-    """The stretches of an array between some cuts, as binary values."""
-    offsets = pa.py_buffer((cuts * values.itemsize).astype(np.int32).tobytes())
-    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, offsets, pa.py_buffer(values.tobytes())])
+    """The stretches of an array between some cuts, each compressed."""
+    compress = zstandard.ZstdCompressor(level=9).compress
+    return pa.array([compress(values[a:b].tobytes()) for a, b in zip(cuts.tolist(), cuts[1:].tolist())], pa.binary())
+
+
+def _unpacked(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    expand = zstandard.ZstdDecompressor().decompress
+    return [np.frombuffer(expand(x.as_buffer()), kind) for x in column]
 
 
 #: Per block and bucket: distinct segments (their texts and sizes in bytes, how many places each has), then the places.
@@ -328,23 +334,23 @@ def _sent_segments(unit: Unit, buckets: int):
     return send
 
 
-_SPANS_DDL = "block long, row int, first int, last int"
+#: Per bucket and block: the spans, sorted by row, with their sizes.
+_SPANS_DDL = "block long, rows binary, firsts binary, sizes binary"
 
 
 def _spans(unit: Unit, resolve: Resolver):
     """From the segments of a bucket, the spans of later copies in each document."""
 
     def work(table: pa.Table) -> pa.Table:
-        def numbers(name: str, kind: type) -> list[np.ndarray]:
-            return [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]
-
-        sizes, places = numbers("sizes", np.int32), numbers("places", np.int32)
-        ids, rows, starts = (np.concatenate(numbers(n, k)) for n, k in (("ids", np.int64), ("rows", np.int32), ("starts", np.int32)))
+        sizes, places = (_unpacked(table.column(n), np.int32) for n in ("sizes", "places"))
+        kinds = {"ids": np.int64, "rows": np.int32, "starts": np.int32}
+        ids, rows, starts = (np.concatenate(_unpacked(table.column(n), k)) for n, k in kinds.items())
         blocks = np.repeat(table.column("block").to_numpy(), [int(p.sum()) for p in places])
         # Blocks may send the same segment.
         number: dict[bytes, int] = {}
         which: list[int] = []
-        for text, own in zip(table.column("texts").to_pylist(), sizes):
+        for packed, own in zip(_unpacked(table.column("texts"), np.uint8), sizes):
+            text = packed.tobytes()
             ends = np.cumsum(own).tolist()
             which += [number.setdefault(text[a:b], len(number)) for a, b in zip([0, *ends], ends)]
         which = np.repeat(np.array(which), np.concatenate(places))
@@ -374,10 +380,13 @@ def _spans(unit: Unit, resolve: Resolver):
             edges = np.flatnonzero(later[1:] != later[:-1]) + starts[i]
             more += [(blocks[i], rows[i], a, b + unit.length - 1) for a, b in edges.reshape(-1, 2).tolist()]
         extra = np.array(more, np.int64).reshape(-1, 4)
-        merged = [np.concatenate([a, extra[:, i]]) for i, a in enumerate(out)]
-        names = ["block", "row", "first", "last"]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-        return pa.table([pa.array(x, t) for x, t in zip(merged, kinds)], names=names)
+        block, row, first, last = (np.concatenate([a, extra[:, i]]) for i, a in enumerate(out))
+        order = np.lexsort((first, row, block))
+        block, row, first, last = block[order], row[order], first[order], last[order]
+        cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])[: len(block)])
+        ends = np.append(cuts, len(block))
+        columns = [_packed(x.astype(np.int32), ends) for x in (row, first, last - first)]
+        return pa.table([pa.array(block[cuts], pa.int64()), *columns], names=["block", "rows", "firsts", "sizes"])
 
     return work
 
@@ -386,10 +395,10 @@ def _cleaned(unit: Unit):
     def clean(documents: pa.Table, spans: pa.Table) -> pa.Table:
         if not documents.num_rows:
             return _CLEANED.empty_table()
-        rows = spans.column("row").to_numpy()
-        order = np.lexsort((spans.column("first").to_numpy(), rows))
-        rows = rows[order]
-        first, last = (spans.column(c).to_numpy()[order] for c in ("first", "last"))
+        none = [np.empty(0, np.int32)]
+        rows, first, sizes = (np.concatenate(none + _unpacked(spans.column(c), np.int32)) for c in ("rows", "firsts", "sizes"))
+        order = np.lexsort((first, rows))
+        rows, first, last = rows[order], first[order], (first + sizes)[order]
         out = []
         block = Block(unit, documents)
         for row, (doc_id, text) in enumerate(zip(block.ids.tolist(), block.texts)):
@@ -449,7 +458,7 @@ def remove_later_copies(
     total = plain.agg(F.sum(F.length("body"))).first()[0] or 0
     count = max(1, -(-total // block_bytes))
     known = plain.where("doc_id IS NOT NULL").select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(count)).alias("block"), "doc_id", "body"
+        F.pmod(F.xxhash64("doc_id", "body"), F.lit(count)).alias("block"), "doc_id", "body"
     )
     by_block = known.groupBy("block")
     sent = by_block.applyInArrow(_sent_anchors(unit), "key long, block long, holders int, places int")
