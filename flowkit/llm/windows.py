@@ -124,8 +124,8 @@ class Block:
         if self.bounds is not None:
             first, last = self.bounds[first], self.bounds[last] - 1
         sizes = last - first
-        places = np.arange(int(sizes.sum())) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
-        return np.frombuffer(self.joined, np.uint8)[places].tobytes(), sizes
+        spans = zip(first.tolist(), last.tolist())
+        return b"".join([self.joined[a:b] for a, b in spans]), sizes
 
 
 def distinct(values: np.ndarray) -> np.ndarray:
@@ -296,10 +296,9 @@ def _sent_segments(unit: Unit, buckets: int):
             # Each window by itself, under its own hash.
             sizes = (last - first + 1)[hot]
             single = np.arange(int(sizes.sum())) + np.repeat(first[hot] - np.cumsum(sizes) + sizes, sizes)
-            spread = single[:, None] + np.arange(unit.length)
             own = np.zeros(len(single), np.uint64)
-            for column in spread.T:
-                own = own * np.uint64(_BASE) + block.symbols[column]
+            for k in range(unit.length):
+                own = own * np.uint64(_BASE) + block.symbols[single + k]
             own = _mixed(own)
             first, last, key, content = (
                 np.concatenate([old[~hot], new])
