@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole tables, with their SQL where it can be said."""
+"""The operators as queries over whole tables, with their SQL where it can be said."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowkit.llm.contamination import find_leaks
+from flowkit.llm.negatives import mine_negatives
 from flowkit.llm.pieces import piece_digests
 from flowkit.llm.quality import judge_documents
 from flowkit.llm.secrets import scan_secrets
@@ -270,3 +271,32 @@ def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with the test items they hold, within eight edits in a hundred characters."""
     return find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@_query(
+    """
+    WITH v AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scores AS (
+      SELECT a.vec_id AS anchor_id, r.vec_id AS row_id, a.label = r.label AS same,
+        CAST(list_inner_product(a.e, r.e) AS BIGINT) AS score
+      FROM v a JOIN v r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+    positives AS (
+      SELECT anchor_id, row_id AS positive_id, score AS positive_score FROM scores WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, row_id) <= 5)
+    SELECT anchor_id, positive_id,
+      CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, row_id) AS INTEGER) AS rank,
+      row_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scores USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    QUALIFY rank <= 3
+    """
+)
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """For each anchor and positive the hardest rows of other labels; every seventh row has a label of noise."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(_table(spark, folder, "embeddings").withColumn("label", label))

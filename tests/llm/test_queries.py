@@ -23,7 +23,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_each_operator_has_one_query():
     names = [n for n in entry_points.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert entry_points.queries()["pipeline"] is corpus_pipeline.run
 
 
