@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from flowkit.llm.contamination import find_leaks
 from flowkit.llm.negatives import mine_negatives
+from flowkit.llm.phrases import find_phrases
 from flowkit.llm.pieces import piece_digests
 from flowkit.llm.quality import judge_documents
+from flowkit.llm.ranking import score_quality
 from flowkit.llm.secrets import scan_secrets
 from flowkit.llm.simhash import near_duplicates
 from flowkit.llm.substrings import substring_dedup
@@ -300,3 +302,45 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """For each anchor and positive the hardest rows of other labels; every seventh row has a label of noise."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return mine_negatives(_table(spark, folder, "embeddings").withColumn("label", label))
+
+
+@_query(
+    """
+    WITH texts AS (
+      SELECT coalesce(lang, 'und') AS lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+      FROM documents),
+    pieces AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\n-\r]')) AS piece FROM texts),
+    lists AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+    grams AS (
+      SELECT lang, k, w[i:i + k - 1] AS g
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM lists, (VALUES (1), (2), (3)) s(k))),
+    f AS (SELECT lang, k, g, CAST(count(*) AS BIGINT) AS c FROM grams GROUP BY lang, k, g),
+    total AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+    found AS (SELECT * FROM f WHERE k > 1 AND c >= 10),
+    cuts AS (
+      SELECT b.lang, b.g, b.c AS a, x.c AS l, y.c AS r, j,
+        CAST((1000000 * CAST(b.c AS HUGEINT) * b.c) // (CAST(x.c AS HUGEINT) * y.c) AS BIGINT) AS score
+      FROM (SELECT *, unnest(range(1, k)) AS j FROM found) b
+      JOIN f x ON x.lang = b.lang AND x.g = b.g[1:j] JOIN f y ON y.lang = b.lang AND y.g = b.g[j + 1:]),
+    best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+    inner_ones AS (
+      SELECT lang, g, max(c) AS most
+      FROM (SELECT lang, g[1:2] AS g, c FROM found WHERE k = 3 UNION ALL SELECT lang, g[2:3], c FROM found WHERE k = 3)
+      GROUP BY lang, g),
+    kept AS (
+      SELECT best.* FROM best LEFT JOIN inner_ones USING (lang, g) WHERE most IS NULL OR 100 * most < 50 * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank,
+      array_to_string(g, ' ') AS phrase, a, l, r, n, score
+    FROM kept JOIN total USING (lang) QUALIFY rank <= 2000
+    """
+)
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The best collocations of two and three words in each language."""
+    return find_phrases(_table(spark, folder, "documents"))
+
+
+@_query()
+def op13_quality_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of each document, learned from pairs of labelled ones."""
+    return score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
