@@ -6,7 +6,7 @@ gives the same rows from the same tables in another engine.
 
 from __future__ import annotations
 
-from flowkit.catalog import frames, models, parsing, streams, texts
+from flowkit.catalog import frames, models, parsing, skewed, streams, texts
 from flowkit.catalog.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "frames", "models", "parsing", "streams", "texts"]
+__all__ = ["QUERIES", "SQL", "frames", "models", "parsing", "skewed", "streams", "texts"]

