@@ -314,3 +314,30 @@ def partition_by_features(spark: SparkSession, folder: str) -> DataFrame:
     """Parts with the first condition they meet, in one pass over them."""
     kinds = {"large": F.expr("p_size > 40"), "dear": F.expr("p_retailprice >= 1000"), "plain": F.lit(True)}
     return table(spark, folder, "part").transform(split.with_route, kinds, "kind").select("p_partkey", "kind")
+
+
+@query("""
+    SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderkey % 2 = 0 AS even,
+           CASE WHEN o_custkey % 5 > 0 THEN o_custkey END AS customer, o_orderpriority AS priority,
+           'bigint,double,date,boolean,bigint,string,string' AS types
+    FROM orders
+""")
+def csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
+    """A hundred CSV files whose types are found while they are read; one column is empty in all of them."""
+    orders = table(spark, folder, "orders").selectExpr(
+        "o_orderkey + 3000000000 AS key", "o_totalprice AS price", "date_format(o_orderdate, 'yyyy-MM-dd') AS day",
+        "o_orderkey % 2 = 0 AS even", "IF(o_custkey % 5 > 0, o_custkey + 3000000000, NULL) AS customer",
+        "o_orderpriority AS priority", "CAST(NULL AS STRING) AS nothing",
+    )
+    path = scratch_dir(spark, "hundred")
+    write_csv(orders.repartitionByRange(100, "key"), path)
+    rows = read_csv(spark, path, infer=True)
+    return rows.select(
+        (F.col("key") - 3_000_000_000).alias("o_orderkey"),
+        F.col("price").alias("o_totalprice"),
+        F.col("day").cast("string").alias("day"),
+        "even",
+        (F.col("customer") - 3_000_000_000).alias("customer"),
+        "priority",
+        F.lit(",".join(t for _, t in rows.dtypes)).alias("types"),
+    )

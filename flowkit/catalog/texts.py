@@ -10,6 +10,7 @@ from flowkit.functions import text
 from flowkit.operators import counting, split
 from flowkit.session import materialize, scratch_dir
 from flowkit.sinks.files import write_lines
+from flowkit.sinks.shards import write_shards
 from flowkit.sources import files as sources
 from flowkit.sources.files import read_lines
 
@@ -109,3 +110,11 @@ def sink_report(spark: SparkSession, folder: str) -> DataFrame:
     counts = table(spark, folder, "documents").transform(counting.count_elements, "source")
     write_lines(counts.transform(counting.format_counts, "source"), path)
     return read_lines(spark, path)
+
+
+@query(f"SELECT word || ': ' || count(*) AS value FROM ({_WORDS}) GROUP BY word")
+def sink_named_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts as lines in numbered shards, read back by their prefix."""
+    prefix = f"{scratch_dir(spark, 'shards')}/counts"
+    write_shards(_word_count(spark, folder).transform(counting.format_counts), prefix)
+    return read_lines(spark, f"{prefix}-*-of-*")

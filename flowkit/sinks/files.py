@@ -35,17 +35,11 @@ def write_csv(df: DataFrame, path: str, exact: bool = False) -> None:
     (df.withColumns(marked) if marked else df).write.options(**writer_options).csv(path)
 
 
-def append_table(
-    df: DataFrame, schema: StructType, path: str | None = None, table: str | None = None, strict: bool = True
-) -> DataFrame:
-    """Append to a parquet folder or a catalog table, creating it when missing.
+def typed_rows(df: DataFrame, schema: StructType, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The rows with the columns in the order and types of ``schema``, and the rows that do not fit, as they came.
 
-    The columns are put into the order and types of ``schema`` first. A value
-    that does not fit its type fails the job; without ``strict`` its row is
-    left out, and the rows left out are returned as they came.
+    With ``strict`` there are no such rows: the first value that does not fit fails the job.
     """
-    if (path is None) == (table is None):
-        raise ValueError("give exactly one of path and table")
     typed, bad = {}, F.lit(False)
     for f in schema.fields:
         own = F.col(f.name)
@@ -55,9 +49,24 @@ def append_table(
         text = F.concat(F.lit(f"no {f.dataType.simpleString()} for {f.name}: "), own.cast("string"))
         typed[f.name] = F.when(unfit, F.raise_error(text).cast(f.dataType)).otherwise(cast) if strict else cast
     rows = df if strict else df.where(~bad)
-    writer = rows.select(*[c.alias(n) for n, c in typed.items()]).write.mode("append").format("parquet")
+    return rows.select(*[c.alias(n) for n, c in typed.items()]), df.where(bad)
+
+
+def append_table(
+    df: DataFrame, schema: StructType, path: str | None = None, table: str | None = None, strict: bool = True
+) -> DataFrame:
+    """Append to a parquet folder or a catalog table, creating it when missing.
+
+    The columns are put into the order and types of ``schema`` first. A value
+    that does not fit its type fails the job; without ``strict`` its row is
+    left out, and the rows left out are returned as they came.
+    """
+    if (path is None) == (table is None):
+        raise ValueError("give exactly one of path and table")
+    rows, bad = typed_rows(df, schema, strict)
+    writer = rows.write.mode("append").format("parquet")
     if path is not None:
         writer.save(path)
     else:
         writer.saveAsTable(table)
-    return df.where(bad)
+    return bad

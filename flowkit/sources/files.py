@@ -6,7 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from flowkit.sources.records import read_records
+from flowkit.sources.types import with_inferred_types
 
 
 def read_lines(spark: SparkSession, path: str, skip_header: bool = False) -> DataFrame:
@@ -39,24 +42,36 @@ def read_csv(
     schema: StructType | str | None = None,
     infer: bool = False,
     exact: bool = False,
+    quoted_lines: bool = False,
 ) -> DataFrame:
     """CSV files with a header line each.
 
-    Columns are text without a schema; ``infer`` guesses their types, at the
-    price of one more pass over the files. An empty field is NULL. ``exact``
-    reads what ``sinks.files.write_csv`` wrote with it: values with line ends,
-    and empty text apart from NULL; such files are not split over tasks.
+    Columns are text without a schema; ``infer`` gives them the narrowest type
+    that all their values fit, found while the files are read (``types``). An
+    empty field is NULL. ``quoted_lines`` keeps line ends inside quotes; files
+    are split over tasks all the same (``records``). ``exact`` reads what
+    ``sinks.files.write_csv`` wrote with it, so that empty text stays apart
+    from NULL, too. Without a schema the columns have the names in the first
+    line of the first file.
     """
     reader = spark.read.option("header", True).option("escape", '"')
+    if not exact and not quoted_lines:
+        rows = (reader.schema(schema) if schema is not None else reader).csv(path)
+        return with_inferred_types(rows) if infer and schema is None else rows
+    if schema is None:
+        schema = StructType([StructField(n, StringType()) for n in reader.csv(path).columns])
+    options = {"escape": '"', "multiLine": "true", "lineSep": "\n"}
+    if exact:
+        options["nullValue"] = EXACT_NULL
+    fields = [] if isinstance(schema, str) else schema.fields
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) or schema
+    parsed = read_records(spark, path, skip_header=True).select(F.from_csv("value", F.lit(ddl), options).alias("row"))
+    rows = parsed.select("row.*")
     if exact:
-        reader = reader.option("multiLine", True).option("lineSep", "\n").option("nullValue", EXACT_NULL)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", infer)
-    rows = reader.csv(path)
-    if not exact:
-        return rows
-    texts = {f.name: F.col(f"`{f.name}`") for f in rows.schema.fields if f.dataType.typeName() == "string"}
-    bare = {n: F.when(c.startswith("\\"), F.substring(c, 2, 2**31 - 1)).otherwise(c) for n, c in texts.items()}
-    return rows.withColumns(bare) if bare else rows
+        texts = {f.name: F.col(f"`{f.name}`") for f in rows.schema.fields if f.dataType.typeName() == "string"}
+        bare = {n: F.when(c.startswith("\\"), F.substring(c, 2, 2**31 - 1)).otherwise(c) for n, c in texts.items()}
+        rows = rows.withColumns(bare) if bare else rows
+    return with_inferred_types(rows) if infer and isinstance(schema, StructType) else rows
 
 
 #: NULL in exact CSV files. Text that begins with a backslash gets another in front, so no text equals it.
