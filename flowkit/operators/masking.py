@@ -53,3 +53,111 @@ def predict_masked(df: DataFrame, column: str, model: DataFrame, keep_last: int
         .withColumn("report", F.concat(F.col(column), F.lit(";"), F.col("predicted")))
         .drop("__before")
     )
+
+
+def two_sided_model(bigrams: DataFrame) -> DataFrame:
+    """What ``predict_between`` needs of ``(prev, next, n)``: adds how often ``next`` has a successor, and the words known.
+
+    Returns ``prev``, ``next``, ``n``, ``follows`` (pairs that begin with
+    ``next``). Every word of the vocabulary occurs as a ``next``, the ones that
+    never follow another in a row whose ``prev`` is NULL and ``n`` is 0.
+    """
+    begun = bigrams.groupBy(F.col("prev").alias("word")).agg(F.sum("n").alias("follows"))
+    known = bigrams.join(begun, F.col("next") == F.col("word"), "left").select(
+        "prev", "next", "n", F.coalesce("follows", F.lit(0)).cast("bigint").alias("follows")
+    )
+    first = begun.join(bigrams.select("next").distinct(), F.col("word") == F.col("next"), "left_anti")
+    lonely = first.select(
+        F.lit(None).cast("string").alias("prev"), F.col("word").alias("next"), F.lit(0).cast("bigint").alias("n"), "follows"
+    )
+    return known.unionByName(lonely)
+
+
+def _weight(before, after, follows, size):
+    """The product of both smoothed chances, but for what all candidates of a context share."""
+    return ((before + 1) * (after + 1)).cast("double") / (follows + size).cast("double")
+
+
+def predict_between(contexts: DataFrame, model: DataFrame) -> DataFrame:
+    """The likeliest word between two others: ``before``, ``after``, ``predicted`` for each distinct pair of them.
+
+    Of all words c of the vocabulary, the one with the greatest P(c | before)
+    times P(after | c), both from pair counts with one added to each; the
+    greater word wins a tie. ``model`` is what ``two_sided_model`` returns,
+    and is read several times. Words that the model does not know may stand on
+    either side; a NULL on either side drops out.
+
+    Not every word is tried, and no candidate that could win is left out: a
+    word that follows ``before`` or precedes ``after`` is in their lists, and
+    of all others the best is the one with the fewest successors. The list of
+    ``before`` is cut, while it is joined, by a bound: what its word would
+    score with the most frequent predecessor of ``after``.
+    """
+    asked = contexts.select("before", "after").where("before IS NOT NULL AND after IS NOT NULL").distinct()
+    size = model.agg(F.countDistinct("next").alias("size")).scalar()
+    words = model.withColumn("size", size)
+    one = F.lit(0).cast("bigint")
+
+    def best(score, *others):
+        return F.max(F.struct(score.alias("score"), F.col("next").alias("word"), *others))
+
+    # The best word that neither follows nor precedes any of the two: one row.
+    rarest = words.agg(best(_weight(one, one, F.col("follows"), F.col("size"))).alias("rare")).scalar()
+    # Per word before it: the best of its successors, whatever comes after.
+    pairs = words.where("prev IS NOT NULL")
+    ahead = pairs.groupBy(F.col("prev").alias("b")).agg(best(_weight(F.col("n"), one, F.col("follows"), F.col("size"))).alias("ahead"))
+    # Per word behind it: the best of its predecessors, and the count of the most frequent one.
+    begun = words.groupBy(F.col("next").alias("w")).agg(F.first("follows").alias("begins"))
+    behind = (
+        pairs.join(begun, F.col("prev") == F.col("w"))
+        .groupBy(F.col("next").alias("a"))
+        .agg(
+            F.max(F.struct(_weight(one, F.col("n"), F.col("begins"), F.col("size")).alias("score"), F.col("prev").alias("word"))).alias("behind"),
+            F.max("n").alias("most"),
+        )
+    )
+    known = (
+        asked.join(ahead, F.col("before") == F.col("b"), "left")
+        .join(behind, F.col("after") == F.col("a"), "left")
+        .select("before", "after", F.coalesce("most", F.lit(0)).alias("most"), F.greatest("ahead", "behind", rarest).alias("floor"))
+    )
+    follow = pairs.select(
+        F.col("prev").alias("b"), F.col("next").alias("word"), F.col("n").alias("n1"), "follows", "size"
+    )
+    bound = _weight(F.col("n1"), F.col("most"), F.col("follows"), F.col("size")) >= F.col("floor.score")
+    tried = known.join(follow, (F.col("before") == F.col("b")) & bound)
+    second = pairs.select(F.col("prev").alias("p"), F.col("next").alias("q"), F.col("n").alias("n2"))
+    scored = tried.join(second, (F.col("word") == F.col("p")) & (F.col("after") == F.col("q")), "left").select(
+        "before",
+        "after",
+        F.struct(
+            _weight(F.col("n1"), F.coalesce("n2", F.lit(0)), F.col("follows"), F.col("size")).alias("score"), "word"
+        ).alias("found"),
+    )
+    every = known.select("before", "after", F.col("floor").alias("found")).unionByName(scored)
+    return every.groupBy("before", "after").agg(F.max("found")["word"].alias("predicted"))
+
+
+def predict_masked_between(df: DataFrame, column: str, model: DataFrame) -> DataFrame:
+    """Like ``predict_masked``, with the words on both sides of the mask: the one before it and the last one, which is kept.
+
+    A text without a word before the mask gets an empty prediction.
+    """
+    parts = text.tokens(F.col(column))
+    size = F.size(parts)
+    masked = df.where(text.has_text(F.col(column))).select(
+        "*",
+        text.mask_token(F.col(column)).alias("masked"),
+        F.lower(F.get(parts, size - 3)).alias("__before"),
+        F.lower(F.get(parts, size - 1)).alias("__after"),
+    )
+    found = predict_between(masked.select(F.col("__before").alias("before"), F.col("__after").alias("after")), model)
+    # Texts without a word there match nothing; keys of their own keep them apart.
+    own = F.coalesce(F.col("__before"), F.concat(F.lit("\0"), F.xxhash64(column).cast("string")))
+    return (
+        masked.withColumn("__before", own)
+        .join(found, (F.col("__before") == F.col("before")) & (F.col("__after") == F.col("after")), "left")
+        .withColumn("predicted", F.coalesce("predicted", F.lit("")))
+        .withColumn("report", F.concat(F.col(column), F.lit(";"), F.col("predicted")))
+        .drop("__before", "__after", "before", "after")
+    )
