@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowkit.session import materialize
+from flowkit.llm.planted import findings
 
 # The base patterns and the least length of what they find.
 KINDS = ("assign", "access", "hex")
@@ -32,7 +33,7 @@ _DIGIT = np.isin(np.arange(256), np.arange(48, 58))
 _HEX = _DIGIT | np.isin(np.arange(256), np.arange(97, 103))
 #: A candidate is a run of token characters so long, with a digit; or so long without one.
 WITH_DIGIT, WITHOUT = 12, 20
-#: Bytes before a candidate, of it, and behind it that the network sees.
+#: Bytes before a stretch of a candidate, of it, and behind it that the network sees at once.
 BEFORE, INSIDE, BEHIND = 24, 40, 8
 WIDTH = BEFORE + INSIDE + BEHIND
 #: Kind of the spans that only the network finds.
@@ -54,7 +55,10 @@ def _runs(mask: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int) ->
 
 @dataclass
 class Findings:
-    """What one text holds, places in code points: base matches by kind, and candidates with their bytes."""
+    """What one text holds, places in code points: base matches by kind, and candidates.
+
+    A candidate comes with its windows and whether a base match holds all of it.
+    """
 
     base: list[tuple[int, int, int]]
     candidates: list[tuple[int, int, bytes, bool]]
@@ -66,11 +70,19 @@ class Findings:
         return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in self.base)
 
 
-def _window(text: bytes, first: int, last: int) -> bytes:
-    """The bytes the network sees, padded with zeros; the candidate begins at ``BEFORE``."""
-    before = text[max(0, first - BEFORE) : first].rjust(BEFORE, b"\0")
-    inside = text[first : min(last, first + INSIDE)].ljust(INSIDE, b"\0")
-    return before + inside + text[last : last + BEHIND].ljust(BEHIND, b"\0")
+def _windows(text: bytes, first: int, last: int) -> bytes:
+    """What the network sees of a candidate: a window for every stretch of it, one behind the other.
+
+    The last stretch ends with the candidate; what is missing is padded with zeros.
+    """
+    starts = [*range(first, max(first, last - INSIDE), INSIDE), max(first, last - INSIDE)]
+    out = []
+    for a in starts:
+        b = min(last, a + INSIDE)
+        out.append(text[max(0, a - BEFORE) : a].rjust(BEFORE, b"\0"))
+        out.append(text[a:b].ljust(INSIDE, b"\0"))
+        out.append(text[b : b + BEHIND].ljust(BEHIND, b"\0"))
+    return b"".join(out)
 
 
 #: Bytes of texts that are searched together.
@@ -120,10 +132,11 @@ def _find(texts: list[bytes]) -> list[Findings]:
             h, r = own_hex.stop - own_hex.start, own_run.stop - own_run.start
             base += [(a, 2, b) for a, b in zip(points[:h], points[h : 2 * h])]
             base.sort()
-            spans = [(a, b) for a, _, b in base]
+            begins = [a for a, _, _ in base]
+            reach = np.maximum.accumulate([b for _, _, b in base]).tolist() if base else []
             bounds = (places[2 * h :] - starts[n]).tolist()
             candidates = [
-                (a, b, _window(raw, x, y), any(p < b and a < q for p, q in spans))
+                (a, b, _windows(raw, x, y), (i := bisect_right(begins, a)) > 0 and reach[i - 1] >= b)
                 for a, b, x, y in zip(points[2 * h : 2 * h + r], points[2 * h + r :], bounds[:r], bounds[r:])
             ]
         else:
@@ -147,7 +160,9 @@ class CharNet:
     Bytes are embedded, with a mark for those of the candidate; a convolution
     is pooled over the candidate's window by its maximum and mean, and a
     linear layer gives a logit. ``scale`` and ``shift`` calibrate it to a
-    probability, ``threshold`` is the least probability of a finding.
+    probability, ``threshold`` is the least probability of a finding, and
+    ``recall`` and ``precision`` are what it had on held-out findings. A
+    candidate of several windows is as probable as the best of them.
     """
 
     def __init__(self, filters: int = 16, size: int = 8, width: int = 5, seed: int = 7):
@@ -161,6 +176,7 @@ class CharNet:
             "base": np.zeros(1, np.float32),
         }
         self.scale, self.shift, self.threshold = 1.0, 0.0, 0.5
+        self.recall, self.precision = 0.0, 0.0
 
     def _forward(self, windows: np.ndarray) -> tuple[np.ndarray, tuple]:
         w = self.weights
@@ -182,6 +198,13 @@ class CharNet:
     def probability(self, windows: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(windows) + self.shift, -30, 30)))
 
+    def probabilities(self, candidates: list[bytes]) -> np.ndarray:
+        """The probability of each candidate, given by its windows."""
+        if not candidates:
+            return np.empty(0)
+        counts = np.array([len(c) // WIDTH for c in candidates])
+        return np.maximum.reduceat(self.probability(_rows(candidates)), np.cumsum(counts) - counts)
+
     def _gradients(self, windows: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
         w = self.weights
         logit, (codes, columns, active, top, pooled) = self._forward(windows)
@@ -222,9 +245,11 @@ class CharNet:
                     mean, square = means[k] / (1 - 0.9**step), squares[k] / (1 - 0.999**step)
                     self.weights[k] -= (0.01 * mean / (np.sqrt(square) + 1e-8)).astype(np.float32)
 
-    def calibrate(self, windows: np.ndarray, labels: np.ndarray, recall: float) -> None:
-        """Fit a probability to the logits of held-out findings, and the highest threshold that keeps the recall."""
-        logits = self.logits(windows).astype(np.float64)
+    def calibrate(self, candidates: list[bytes], labels: np.ndarray, recall: float) -> None:
+        """Fit a probability to the logits of held-out findings, and take the highest threshold that keeps the recall."""
+        counts = np.array([len(c) // WIDTH for c in candidates])
+        at = np.cumsum(counts) - counts
+        logits = np.maximum.reduceat(self.logits(_rows(candidates)).astype(np.float64), at) if len(at) else np.empty(0)
         positive = int(labels.sum())
         if not 0 < positive < len(labels):
             self.threshold = 2.0  # nothing to tell apart: find nothing more
@@ -243,80 +268,70 @@ class CharNet:
             if np.abs(move).max() < 1e-9:
                 break
         self.scale, self.shift = float(max(a, 1e-3)), float(b)
-        found = np.sort(self.probability(windows)[labels > 0])
-        missed = int((1 - recall) * positive)
-        self.threshold = float(max(found[missed], 0.5))
+        own = self.probabilities(candidates)
+        secrets = np.sort(own[labels > 0])
+        # So many may be missed; a small number guards the product against rounding.
+        self.threshold = float(secrets[int((1 - recall) * positive + 1e-9)])
+        found = own >= self.threshold
+        self.recall = float(found[labels > 0].mean())
+        self.precision = float(labels[found].mean())
 
 
 def _rows(windows: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(windows), np.uint8).reshape(-1, WIDTH)
 
 
-_FOUND = "n_assign long, n_access long, n_hex long, base string, candidates array<struct<first:int,last:int,window:binary,known:boolean>>"
-
-
-def _finding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["first", "last", "window", "known"]
-    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.bool_()]
-    for batch in batches:
-        found = find(batch.column("body").to_pylist())
-        counts = np.array([f.counts() for f in found], np.int64).reshape(-1, 3)
-        offsets = np.concatenate([[0], np.cumsum([len(f.candidates) for f in found])])
-        columns = list(zip(*[c for f in found for c in f.candidates])) or [[]] * 4
-        listed = pa.ListArray.from_arrays(
-            pa.array(offsets, pa.int32()),
-            pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names),
-        )
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                *[pa.array(counts[:, i]) for i in range(3)],
-                pa.array([f.listed() for f in found]),
-                listed,
-            ],
-            names=["doc_id", "n_assign", "n_access", "n_hex", "base", "candidates"],
-        )
-
-
-def find_candidates(docs: DataFrame) -> DataFrame:
-    """Base matches and candidates of each row of ``doc_id``, ``text``, written to the shared folder."""
-    body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("body"))
-    return materialize(plain.mapInArrow(_finding, f"doc_id long, {_FOUND}"), "candidates")
+#: Made-up findings that a network learns from if no labelled ones are given.
+PLANTED = 4000
 
 
-def train_network(labelled: DataFrame, sample: int = 2000, recall: float = 0.98) -> CharNet:
-    """A network trained on labelled findings ``window``, ``known``.
+def planted_findings(count: int = PLANTED, seed: int = 5) -> list[tuple[bytes, bool]]:
+    """Windows and labels of made-up secrets of many kinds and of harmless strings; see ``planted``."""
+    return [(_windows(text, a, b), secret) for text, a, b, secret, _ in findings(count, seed)]
 
-    At most ``sample`` distinct findings of each label are taken, those with
-    the least hash; every fourth is held out for calibration.
-    """
-    chosen = []
+
+def labelled_findings(rows: DataFrame, sample: int = 2000) -> list[tuple[bytes, bool]]:
+    """At most ``sample`` distinct findings ``windows``, ``secret`` of each label, those with the least hash."""
+    out = []
     for label in (True, False):
-        rows = labelled.where(F.col("known") == label).select("window").distinct()
-        least = rows.orderBy(F.xxhash64("window"), "window").limit(sample).collect()
-        chosen += [(i, bytes(r.window), label) for i, r in enumerate(least)]
-    net = CharNet()
-    chosen = [(i, w, label) for i, w, label in chosen if len(w) == WIDTH]
-    held = np.array([i % 4 == 3 for i, _, _ in chosen], bool)
-    labels = np.array([label for _, _, label in chosen], np.float32)
-    if not chosen or not held.any():
+        some = rows.where(F.col("secret") == label).select("windows").distinct()
+        least = some.orderBy(F.xxhash64("windows"), "windows").limit(sample).collect()
+        out += [(bytes(r.windows), label) for r in least]
+    return [(w, label) for w, label in out if w and len(w) % WIDTH == 0]
+
+
+def train_network(known: list[tuple[bytes, bool]], recall: float = 0.98, precision: float = 0.0) -> CharNet:
+    """A network trained on labelled findings, windows and label, every fourth of each label held out to calibrate.
+
+    The threshold is the highest that finds ``recall`` of the held-out
+    secrets. Where fewer than ``precision`` of what it finds are secrets, the
+    network is refused: its threshold is beyond any probability, so that it
+    finds nothing. The same goes without findings of both labels.
+    """
+    net, number = CharNet(), {True: 0, False: 0}
+    held = np.zeros(len(known), bool)
+    for i, (_, label) in enumerate(known):
+        held[i] = number[label] % 4 == 3
+        number[label] += 1
+    labels = np.array([label for _, label in known], np.float32)
+    if held.any():
+        rows = [(w, label) for (w, label), out in zip(known, held) if not out]
+        counts = [len(w) // WIDTH for w, _ in rows]
+        net.train(_rows([w for w, _ in rows]), np.repeat(np.array([label for _, label in rows], np.float32), counts))
+    net.calibrate([w for (w, _), out in zip(known, held) if out], labels[held], recall)
+    if net.precision < precision:
         net.threshold = 2.0
-        return net
-    windows = _rows([w for _, w, _ in chosen])
-    net.train(windows[~held], labels[~held])
-    net.calibrate(windows[held], labels[held], recall)
     return net
 
 
 def _learned(net: CharNet, candidates: list[list[tuple[int, int, bytes, bool]]]) -> list[list[tuple[int, int]]]:
-    """The candidates of each text that no base match meets and the network takes for a secret."""
-    open_ones = [(n, a, b, w) for n, own in enumerate(candidates) for a, b, w, known in own if not known]
+    """The candidates of each text that the network takes for a secret, but for those that a base match holds."""
+    each = [(n, *c) for n, own in enumerate(candidates) for c in own]
     out: list[list[tuple[int, int]]] = [[] for _ in candidates]
-    for i in range(0, len(open_ones), 4096):
-        part = open_ones[i : i + 4096]
-        for (n, a, b, _), p in zip(part, net.probability(_rows([w for *_, w in part]))):
-            if p >= net.threshold:
+    for i in range(0, len(each), 4096):
+        part = each[i : i + 4096]
+        for (n, a, b, _, known), p in zip(part, net.probabilities([w for *_, w, _ in part])):
+            if p >= net.threshold and not known:
                 out[n].append((a, b))
     return out
 
@@ -328,36 +343,46 @@ def _spans(base: str, learned: list[tuple[int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(spans))
 
 
-def scan_secrets(docs: DataFrame, sample: int = 2000, recall: float = 0.98) -> DataFrame:
+def scan_secrets(
+    docs: DataFrame,
+    labelled: DataFrame | None = None,
+    sample: int = 2000,
+    recall: float = 0.98,
+    precision: float = 0.9,
+) -> DataFrame:
     """Secrets in each row of ``doc_id``, ``text``: ``n_assign``, ``n_access``, ``n_hex``, ``base``, ``spans``.
 
     ``base`` lists the matches of the base patterns as ``kind:start:end``, in
-    code points, by start and kind; ``spans`` adds the candidates (long runs
-    of token characters) that a character network takes for secrets. The
-    network is trained on the candidates of these documents, labelled by the
-    base patterns (see ``train_network`` for the bound of the sample), with
-    the highest threshold that finds ``recall`` of held-out secrets, one half
-    at least. Every candidate is scored. A NULL text counts as empty; rows
-    with a NULL id, and repeated ones, come back like any other. Texts are
-    read once and never moved.
+    code points, by start and kind; ``spans`` adds the candidates (runs of
+    token characters, 12 with a digit or 20 without) that a character network
+    takes for secrets and that no base match holds whole. Every candidate is
+    scored, over all its bytes. The network learns from ``labelled`` findings
+    (``windows``, ``secret``; at most ``sample`` of each label), by default
+    from made-up ones, never from what the base patterns find; see
+    ``train_network`` for ``recall`` and ``precision``. A NULL text counts as
+    empty; rows with a NULL id, and repeated ones, come back like any other.
+    Texts are read once and never moved.
     """
-    found = find_candidates(docs)
-    net = train_network(found.select(F.explode("candidates").alias("c")).select("c.window", "c.known"), sample, recall)
+    net = _network(labelled, sample, recall, precision)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [
-                [(c["first"], c["last"], c["window"], c["known"]) for c in x]
-                for x in batch.column("candidates").to_pylist()
-            ]
-            spans = [_spans(b, s) for b, s in zip(batch.column("base").to_pylist(), _learned(net, own))]
-            kept = [batch.column(c) for c in _KEPT]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(spans, pa.string())], names=[*_KEPT, "spans"])
+            found = find(batch.column("body").to_pylist())
+            counts = np.array([f.counts() for f in found], np.int64).reshape(-1, len(KINDS))
+            base = [f.listed() for f in found]
+            spans = [_spans(b, s) for b, s in zip(base, _learned(net, [f.candidates for f in found]))]
+            columns = [*(pa.array(c) for c in counts.T), pa.array(base, pa.string()), pa.array(spans, pa.string())]
+            names = ["doc_id", *(f"n_{k}" for k in KINDS), "base", "spans"]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=names)
 
-    return found.mapInArrow(score, "doc_id long, n_assign long, n_access long, n_hex long, base string, spans string")
+    body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("body"))
+    return plain.mapInArrow(scan, "doc_id long, n_assign long, n_access long, n_hex long, base string, spans string")
 
 
-_KEPT = ["doc_id", "n_assign", "n_access", "n_hex", "base"]
+def _network(labelled: DataFrame | None, sample: int, recall: float, precision: float) -> CharNet:
+    known = planted_findings() if labelled is None else labelled_findings(labelled, sample)
+    return train_network(known, recall, precision)
 
 
 def mask_text(text: str, spans: list[tuple[int, int]], mask: str) -> str:
@@ -370,13 +395,19 @@ def mask_text(text: str, spans: list[tuple[int, int]], mask: str) -> str:
     return "".join([*out, text[at:]])
 
 
-def redact_secrets(docs: DataFrame, sample: int = 2000, recall: float = 0.98, mask: str = "[secret]") -> DataFrame:
+def redact_secrets(
+    docs: DataFrame,
+    labelled: DataFrame | None = None,
+    sample: int = 2000,
+    recall: float = 0.98,
+    precision: float = 0.9,
+    mask: str = "[secret]",
+) -> DataFrame:
     """The rows of ``docs``, all columns, with the secrets in ``text`` masked and ``n_chars`` brought up to date.
 
     ``n_chars`` is only touched where a text changes. See ``scan_secrets``.
     """
-    found = find_candidates(docs)
-    net = train_network(found.select(F.explode("candidates").alias("c")).select("c.window", "c.known"), sample, recall)
+    net = _network(labelled, sample, recall, precision)
     at = docs.columns.index("text")
     size = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 

@@ -5,15 +5,19 @@ import re
 import numpy as np
 
 from flowkit.llm.secrets import (
+    INSIDE,
     WIDTH,
     CharNet,
-    _window,
+    _windows,
     find,
+    labelled_findings,
     mask_text,
+    planted_findings,
     redact_secrets,
     scan_secrets,
     train_network,
 )
+from flowkit.llm.planted import findings
 from tests.llm.helpers import clashing, frame
 
 TEXTS = [
@@ -46,8 +50,9 @@ def test_base_matches():
     for t, f in zip(texts, find([t.encode() for t in texts])):
         assert f.base == plain(t), t
         for a, b, window, known in f.candidates:
-            assert re.fullmatch(r"[A-Za-z0-9+/_=-]{12,}", t[a:b]) and len(window) == WIDTH
-            assert known == any(x < b and a < y for x, _, y in f.base)
+            assert re.fullmatch(r"[A-Za-z0-9+/_=-]{12,}", t[a:b])
+            assert len(window) == max(1, -(-(b - a) // INSIDE)) * WIDTH
+            assert known == any(x <= a and b <= y for x, _, y in f.base)
 
 
 def test_rows(spark):
@@ -75,7 +80,7 @@ def examples(n, seed):
         body = "".join(r.choice(list(hexes if secret else letters), 28 if secret else 24))
         text = (f"the key is {body} here" if secret else f"words like {body} here").encode()
         at = text.index(body.encode())
-        out.append((_window(text, at, at + len(body)), secret))
+        out.append((_windows(text, at, at + len(body)), secret))
     return out
 
 
@@ -104,20 +109,58 @@ def test_gradients_are_those_of_the_loss():
             assert abs((up - down) / 2e-5 - grads[k][at]) < 1e-3, k
 
 
-def test_held_out_findings_are_found(spark):
-    known = spark.createDataFrame(examples(800, 3), "window binary, known boolean")
-    net = train_network(known, sample=400, recall=0.98)
+def test_labelled_findings_are_learned(spark):
+    known = spark.createDataFrame(examples(800, 3), "windows binary, secret boolean")
+    net = train_network(labelled_findings(known, sample=300))
+    assert len(labelled_findings(known, sample=300)) == 600
     rows = examples(400, 4)
-    p = net.probability(np.frombuffer(b"".join(w for w, _ in rows), np.uint8).reshape(-1, WIDTH))
+    p = net.probabilities([w for w, _ in rows])
     labels = np.array([s for _, s in rows])
     assert (p[labels] >= net.threshold).mean() >= 0.95
     assert (p[~labels] >= net.threshold).mean() <= 0.02
+    text = "no name the key is 0A1B2C3D4E5F60718293A4B5C6D7 here"
+    scanned = scan_secrets(frame(spark, [(1, text)]), known).first()
+    assert (scanned.base, scanned.spans) == ("", "learned:19:47")
 
 
-def test_one_label_finds_nothing_more(spark):
-    only = spark.createDataFrame([(w, True) for w, s in examples(40, 5) if s], "window binary, known boolean")
+def test_recall_and_precision_on_secrets_that_no_pattern_finds():
+    net = train_network(planted_findings(), recall=0.98)
+    assert net.recall >= 0.98 and net.precision >= 0.95
+    found = {True: [], False: []}
+    for text, a, b, secret, _ in findings(6000, seed=77):
+        if not any(x < b and a < y for x, _, y in plain(text.decode())):
+            found[secret].append(net.probabilities([_windows(text, a, b)])[0] >= net.threshold)
+    assert len(found[True]) > 2000 and np.mean(found[True]) >= 0.97
+    assert np.mean(found[False]) <= 0.02
+
+
+def test_the_threshold_keeps_the_recall_where_nothing_tells_apart():
+    r = np.random.default_rng(6)
+    rows = [(r.integers(97, 123, WIDTH, dtype=np.uint8).tobytes(), i % 2 == 0) for i in range(800)]
+    net = train_network(rows, recall=0.98)
+    assert net.recall >= 0.98 and 0.4 < net.precision < 0.6 and net.threshold < 0.6
+    assert train_network(rows, recall=0.98, precision=0.9).threshold > 1
+
+
+def test_one_label_finds_nothing_more():
+    only = [(w, True) for w, s in examples(40, 5) if s]
     assert train_network(only).threshold > 1
-    assert train_network(only.limit(0)).threshold > 1
+    assert train_network([]).threshold > 1
+
+
+def test_a_secret_behind_many_harmless_bytes(spark):
+    """Whole candidates count, and those that a base match only touches."""
+    key = "aG9kT2xQ9zR4vB7nM1cX5kL8wE3"
+    net = train_network(planted_findings())
+    lower = "verein" * 10
+    text = f"x {lower}{key} y".encode()
+    assert net.probabilities([_windows(text, 2, len(text) - 2)])[0] >= net.threshold
+    assert net.probabilities([_windows(text, 2, 2 + len(lower))])[0] < net.threshold
+    rows = [(1, f"see {key}-0123456789abcdef0-{key} there"), (2, f"{lower} " * 3000 + key)]
+    got = {r.doc_id: r for r in scan_secrets(frame(spark, rows)).collect()}
+    assert got[1].n_hex == 1 and got[1].spans.startswith("learned:4:") and "hex:32:49" in got[1].spans
+    at = 3000 * (len(lower) + 1)
+    assert got[2].spans == f"learned:{at}:{at + len(key)}"
 
 
 def test_masking(spark):
