@@ -103,11 +103,13 @@ def _parsed(value: Column) -> list[Column]:
     length = _field(header, "Content-Length").try_cast("long")
     begin = F.octet_length(header) + len(_END)
     ended = F.octet_length(value) >= begin
-    block = F.substring(value.cast("binary"), begin + 1, length.cast("int"))
+    # Compared with the bytes at hand first: a header may say any number.
+    at_hand = F.least(F.greatest(length, F.lit(0)), F.octet_length(value)).cast("int")
+    block = F.substring(value.cast("binary"), begin + 1, at_hand)
     http = F.octet_length(F.substring_index(block.cast("string"), _END, 1)) + len(_END)
     payload = F.substring(block, http + 1, F.length(block))
     return [
-        F.when(ended, begin + length).alias("says"),
+        F.when(ended & (length >= 0), F.try_add(begin, length)).alias("says"),
         F.when(ended & (length >= 0), _field(header, "WARC-Type")).alias("record_type"),
         _field(header, "WARC-Record-ID").alias("record_id"),
         _field(header, "WARC-Refers-To").alias("refers_to"),
@@ -133,11 +135,12 @@ def _chunks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _placed(chunks: DataFrame) -> DataFrame:
-    """Adds ``start``, where the magic of a chunk stands, and ``end``, where the next one does."""
+    """Adds ``start``, where the magic of a chunk stands, ``end``, where the next one does, and ``last``, the file's end."""
     size = F.col("size") + len(_MAGIC)
     before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(size).over(before), F.lit(0)) - len(_MAGIC)
-    return chunks.withColumn("start", start).withColumn("end", F.col("start") + size)
+    placed = chunks.withColumn("start", start).withColumn("end", F.col("start") + size)
+    return placed.withColumn("last", F.max("end").over(Window.partitionBy("file")))
 
 
 def reachable(candidates: DataFrame) -> DataFrame:
@@ -186,16 +189,19 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     its successor; only candidates on the chain from the file's start are
     records, so magics inside payloads are not. A record that such a magic
     cuts is put together again from the chunks up to its successor. What
-    follows a broken header is unreachable and left out. ``digest`` and
+    follows a broken header is unreachable and left out, and so is a record
+    that a header makes longer than its file, by any number. A record is
+    shorter than 2 GB, the most that a value of Spark holds; a longer one
+    fails the read. ``digest`` and
     ``payload_bytes`` are those of the payload read, ``named_digest`` is what
     the header says.
     """
     chunks = _chunks(spark, path).select("file", "at", F.octet_length("value").alias("size"), *_parsed(F.col("value")))
     placed = materialize(_placed(materialize(chunks, "chunks")), "placed")
     first = F.col("start") + len(_MAGIC)
-    candidates = placed.where("start >= 0 AND says IS NOT NULL").withColumn(
-        "next", first + F.col("says") + len(_END)
-    )
+    following = F.try_add(first + len(_END), F.col("says"))
+    # What would end behind its file has no successor there and is no record.
+    candidates = placed.where("start >= 0").withColumn("next", following).where("next <= last").drop("last")
     found = materialize(reachable(candidates), "records")
     whole = found.where("next <= end")
     fields = ["record_type", "record_id", "refers_to", "named_digest", "digest", "payload_bytes"]

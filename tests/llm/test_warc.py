@@ -87,6 +87,25 @@ def test_what_follows_a_broken_header_is_not_reached(spark):
     assert sorted(r.record_id for r in read_warc(spark, path).collect()) == ["<urn:x-page:1>", "<urn:x-page:2>"]
 
 
+@pytest.mark.parametrize(
+    "length", [3 * 10**9, 2**63 - 1, -(2**63), 2**63, "+5", " 7 ", "", 0, "5\r\nContent-Length: 9"]
+)
+def test_any_length_inside_a_payload(spark, length):
+    evil = f"{MAGIC}Content-Length: {length}\r\n\r\n"
+    rows = [(1, "x", "before" + evil + "after"), (2, "x", evil), (3, "x", evil * 3 + "y" * 200), (4, "x", evil * 3 + "y" * 200)]
+    assert found(archive_pages(spark.createDataFrame(rows, SCHEMA))) == plain(rows)
+
+
+@pytest.mark.parametrize("length", [3 * 10**9, 2**63 - 1, -(2**63), -1, 9])
+def test_a_record_longer_than_its_file_is_none(spark, length):
+    path = scratch_dir(spark, "longer")
+    head = MAGIC + "WARC-Type: response\r\nWARC-Record-ID: <urn:x-page:{}>\r\nContent-Length: {}\r\n\r\nab\r\n\r\n"
+    text = head.format(1, 2) + head.format(2, length)
+    # The writer ends the file with its separator, which is none of the record's.
+    spark.createDataFrame([(text[:-2],)], "value string").write.option("lineSep", "\r\n").text(path)
+    assert [r.record_id for r in read_warc(spark, path).collect()] == ["<urn:x-page:1>"]
+
+
 def test_reachable_is_the_chain_from_the_start(spark):
     r = random.Random(4)
     rows, want = [], set()
