@@ -12,6 +12,8 @@ from flowkit.llm.windows import BLOCK_BYTES, BUCKET_BYTES, HOT, Unit, remove_lat
 
 #: An index covers fewer than 2**20 words; a word takes two bytes at least.
 _INDEX_BYTES = 3 << 18
+#: Places of a block of a range minimum.
+_SPAN = 32
 
 
 class WaveletTree:
@@ -66,6 +68,46 @@ class WaveletTree:
         return down[: len(values)] - begin, down[len(values) :] - begin
 
 
+class RangeMinimum:
+    """The least of any stretch of numbers.
+
+    Kept are the ranks of the numbers, the least from either end of every
+    block of 32 to each place, and a table of the least of 2**j blocks.
+    """
+
+    def __init__(self, values: np.ndarray):
+        self.values, ranks = np.unique(values, return_inverse=True)
+        size = -(-len(values) // _SPAN)
+        blocks = np.full(size * _SPAN, len(self.values), np.int32)
+        blocks[: len(values)] = ranks
+        blocks = blocks.reshape(-1, _SPAN)
+        self.ranks = blocks.ravel()
+        self.ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+        self.behind = np.ascontiguousarray(np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1]).ravel()
+        self.table = [blocks.min(1)]
+        while 2 << (len(self.table) - 1) <= size:
+            last, step = self.table[-1], 1 << (len(self.table) - 1)
+            self.table.append(np.minimum(last[:-step], last[step:]))
+
+    def least(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The least of each stretch from ``low`` to ``high`` (exclusive), which is not empty."""
+        first, last = low // _SPAN, (high - 1) // _SPAN
+        out = np.minimum(self.behind[low], self.ahead[high - 1])
+        near = np.flatnonzero(first == last)
+        if len(near):
+            out[near] = self.ranks[low[near]]
+            for step in range(1, int((high - low)[near].max())):
+                near = near[low[near] + step < high[near]]
+                out[near] = np.minimum(out[near], self.ranks[low[near] + step])
+        blocks = last - first - 1
+        level = np.frexp(np.maximum(blocks, 1).astype(np.float64))[1] - 1
+        for j in np.unique(level[blocks > 0]).tolist():
+            at = np.flatnonzero((blocks > 0) & (level == j))
+            own = np.minimum(self.table[j][first[at] + 1], self.table[j][last[at] - (1 << j)])
+            out[at] = np.minimum(out[at], own)
+        return self.values[out]
+
+
 class FMIndex:
     """Backward search in segments of words, which are numbered from 1; 0 ends a segment."""
 
@@ -82,82 +124,80 @@ class FMIndex:
         counts = np.bincount(codes, minlength=1 << bits)
         self.before = np.concatenate([[0], np.cumsum(counts)])
         self.size = n
-        # Least document of 2**j places from each place on.
-        self.least = [ids[order]]
-        while 2 * len(self.least[-1]) > n + 1 and (1 << len(self.least)) <= n:
-            step = 1 << (len(self.least) - 1)
-            last = self.least[-1]
-            self.least.append(np.minimum(last[:-step], last[step:]))
-
-    def statistics(
-        self, codes: np.ndarray, ends: np.ndarray, limit: int, own: bool = False
-    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self.documents = RangeMinimum(ids[order])
+
+    def statistics(self, codes: np.ndarray, ends: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For the words before each end, the longest run (up to ``limit``) that the index holds.
 
         Returns its length and its interval of suffixes, found by backward
-        search for all ends side by side. ``own`` says that the index was
-        made of these very words, at least ``limit`` before each end: an
-        interval of one is then the words themselves, and stays one.
+        search for all ends side by side. Numbers beyond those of the index
+        are words that it does not hold.
         """
         low, high = np.zeros(len(ends), np.int64), np.full(len(ends), self.size, np.int64)
         length = np.zeros(len(ends), np.int64)
         going = np.flatnonzero(ends > 0)
         for step in range(limit):
             going = going[ends[going] - step > 0]
+            word = codes[ends[going] - 1 - step]
+            held = (word > 0) & (word < len(self.before) - 1)
+            going, word = going[held], word[held]
             if not len(going):
                 break
-            word = codes[ends[going] - 1 - step]
             if step:
                 first, last = self.tree.rank(word, low[going], high[going])
                 first, last = self.before[word] + first, self.before[word] + last
             else:
                 first, last = self.before[word], self.before[word + 1]
-            found = (first < last) & (word > 0)
-            low[going[found]], high[going[found]] = first[found], last[found]
-            length[going[found]] = step + 1
-            if own:
-                length[going[found & (last - first == 1)]] = limit
-                found &= last - first > 1
+            found = first < last
             going = going[found]
+            low[going], high[going] = first[found], last[found]
+            length[going] = step + 1
         return length, low, high
 
     def earliest(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """The least document in each interval."""
-        level = np.frexp((high - low).astype(np.float64))[1] - 1
-        out = np.empty(len(low), np.int64)
-        for j in np.flatnonzero(np.bincount(level)) if len(level) else ():
-            at = np.flatnonzero(level == j)
-            out[at] = np.minimum(self.least[j][low[at]], self.least[j][high[at] - (1 << int(j))])
-        return out
+        return self.documents.least(low, high)
+
 
+def fm_resolver(window: int, threshold: int | None = None):
+    """Earliest documents of windows of words by FM-indexes of some segments, against which all are searched.
 
-def fm_resolver(window: int):
-    """Earliest documents of windows of words by an FM-index of all segments given."""
+    A window that a segment shares with no earlier document has the
+    segment's own one. The segment of a key that comes last, by its earliest
+    document, is none that others could have copied, so the index goes
+    without it. Matches shorter than ``threshold`` words (``window``) report
+    nothing.
+    """
+    enough = window if threshold is None else threshold
 
     def resolve(segments: list[bytes], ids: list[int], keys: list[int]) -> np.ndarray:
         parts = _whole_keys(segments, keys)
-        return np.concatenate([earliest(segments[first:last], ids[first:last]) for first, last in parts])
-
-    def earliest(segments: list[bytes], ids: list[int]) -> np.ndarray:
+        return np.concatenate([earliest(segments[a:b], ids[a:b], keys[a:b]) for a, b in parts])
+
+    def earliest(segments: list[bytes], ids: list[int], keys: list[int]) -> np.ndarray:
+        documents = np.array(ids, np.int64)
+        order = np.lexsort((documents, np.array(keys, np.uint64)))
+        sorted_keys = np.array(keys, np.uint64)[order]
+        indexed = np.zeros(len(order), bool)
+        indexed[order] = np.append(sorted_keys[1:] == sorted_keys[:-1], False)
+        # Words of the index have the lowest numbers.
         number: dict[bytes, int] = {}
-        words: list[int] = []
-        sizes = []
-        for s in segments:
-            own = [number.setdefault(w, len(number) + 1) for w in s.split(b" ")]
-            sizes.append(len(own))
-            words += own
-            words.append(0)
-        codes = np.array(words, np.int64)
-        size = np.array(sizes)
-        owner = np.repeat(np.arange(len(size)), size + 1)
-        index = FMIndex(codes, np.array(ids, np.int64)[owner])
-        starts = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
-        within = np.arange(len(codes)) - starts[owner]
-        ends = np.flatnonzero((within >= window) & (within <= size[owner]))
-        length, low, high = index.statistics(codes, ends, window, own=True)
-        hit = length >= window
-        assert hit.all(), "a window is not found in its own index"
-        return index.earliest(low, high)
+        coded: list[list[int]] = [[]] * len(segments)
+        for i in [*np.flatnonzero(indexed).tolist(), *np.flatnonzero(~indexed).tolist()]:
+            coded[i] = [number.setdefault(w, len(number) + 1) for w in segments[i].split(b" ")]
+        sizes = np.array([len(c) for c in coded])
+        codes = np.array([n for c in coded for n in (*c, 0)], np.int64)
+        owner = np.repeat(np.arange(len(sizes)), sizes + 1)
+        within = np.arange(len(codes)) - np.repeat(np.cumsum(sizes + 1) - sizes - 1, sizes + 1)
+        ends = np.flatnonzero((within >= window) & (within <= sizes[owner]))
+        out = documents[owner[ends]]
+        held = indexed[owner]
+        if held.any():
+            index = FMIndex(codes[held], documents[owner[held]])
+            length, low, high = index.statistics(codes, ends, window)
+            hit = np.flatnonzero(length >= enough)
+            out[hit] = np.minimum(out[hit], index.earliest(low[hit], high[hit]))
+        return out
 
     return resolve
 
@@ -185,10 +225,10 @@ def substring_dedup(
 
     Words are runs of other bytes than ASCII white space. See
     ``windows.remove_later_copies`` for the columns and for NULLs. Runs that
-    may be shared meet in buckets; an FM-index of each (wavelet tree over its
-    Burrows-Wheeler transform) gives the matching statistics of the bucket's
-    texts, and those of ``window`` words and more are reported with the
-    earliest document of their interval.
+    may be shared meet in buckets; an FM-index (wavelet tree over the
+    Burrows-Wheeler transform) of those that others may have copied gives the
+    matching statistics of all the bucket's texts, and those of ``window``
+    words are reported with the earliest document of their interval.
     """
     unit = Unit(words=True, length=window, gram=gram)
     return remove_later_copies(docs, unit, fm_resolver(window), hot, block_bytes, bucket_bytes)

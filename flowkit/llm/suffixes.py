@@ -34,6 +34,8 @@ def suffix_array(heads: np.ndarray, have: int) -> np.ndarray:
     n = len(heads)
     if not n:
         return np.empty(0, np.int64)
+    if n >= 1 << int(_BITS):
+        raise ValueError(f"{n} codes; a suffix array takes fewer than {1 << int(_BITS)}")
     order, new = _ranked(np.sort((heads << _BITS) | np.arange(n, dtype=np.uint64)))
     starts = np.flatnonzero(new)
     sizes = np.diff(np.append(starts, n))
@@ -159,12 +161,17 @@ class _Shard:
 
 
 def suffix_resolver(window: int, shard_symbols: int = SHARD_SYMBOLS):
-    """Earliest documents of windows by suffix arrays; keys that straddle shards are merged by binary search."""
+    """Earliest documents of windows by suffix arrays; keys that straddle shards are merged by binary search.
+
+    Shards end between keys where they can. A key has as many segments as its
+    anchor has places at most, so only few shards ever hold parts of one.
+    """
 
     def resolve(segments: list[bytes], ids: list[int], keys: list[int]) -> np.ndarray:
         cuts, size = [0], 0
         for i, s in enumerate(segments):
-            if size and size + len(s) + 1 > shard_symbols:
+            full = size + len(s) + 1 > shard_symbols
+            if size and (full or size > shard_symbols // 2 and keys[i] != keys[i - 1]):
                 cuts.append(i)
                 size = 0
             size += len(s) + 1

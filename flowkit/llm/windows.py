@@ -14,12 +14,15 @@ in. Three steps find what may be shared and bring it together:
    A block sends each distinct segment once, with the places it stands at,
    to the bucket of its anchor.
 3. In a bucket, shards of distinct segments get an index (an FM-index or a
-   suffix array), which tells the earliest document of each window.
+   suffix array), which tells the earliest document of each window. A segment
+   that is alone under its anchor, as within exact copies, needs none.
 
 An anchor at more than ``hot`` places would bring all their distinct
 surroundings into one bucket. Its windows are sent one by one under their own
 hash instead: what is shared then meets once per block, what is not spreads
 evenly.
+
+Hashes only route: texts are compared before they are taken for the same.
 """
 
 from __future__ import annotations
@@ -46,10 +49,13 @@ BUCKET_BYTES = 1 << 20
 _PART = 1 << 19
 _POSITION = np.uint64((1 << 20) - 1)
 _BASE = 0x9E3779B97F4A7C15
-_POWERS = np.cumprod(np.full(4096, _BASE, np.uint64), dtype=np.uint64)
+#: Words are hashed to another base than windows of them.
+_WORD_BASE, _WORD_LENGTH = 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
+_NEAR = 12
+_POWERS = np.cumprod(np.full(1 << _NEAR, _WORD_BASE, np.uint64), dtype=np.uint64)
 
-#: Segments sorted by anchor, the earliest document that holds each, and the anchors, to the earliest
-#: document of every window, segment by segment.
+#: Segments sorted by key, the earliest document that holds each, and the keys, to the earliest document
+#: of every window, segment by segment. Equal windows lie in segments of one key.
 Resolver = Callable[[list[bytes], list[int], list[int]], np.ndarray]
 
 
@@ -83,8 +89,14 @@ class Unit:
             return np.empty(0, np.uint64), starts
         lengths = np.diff(starts)
         within = np.arange(len(data) + 1) - np.repeat(starts[:-1], lengths)
-        values = (np.append(data, np.uint8(32)).astype(np.uint64) + np.uint64(1)) * _POWERS[within & 4095]
-        return np.add.reduceat(values, starts[:-1]), starts
+        weights = _POWERS[within & ((1 << _NEAR) - 1)]
+        beyond = int(lengths.max()) >> _NEAR
+        if beyond:
+            # Powers go on in long words, so no two places of a word weigh the same.
+            far = np.cumprod(np.full(beyond, pow(_WORD_BASE, 1 << _NEAR, 1 << 64), np.uint64), dtype=np.uint64)
+            weights = weights * np.concatenate([np.ones(1, np.uint64), far])[within >> _NEAR]
+        values = (np.append(data, np.uint8(32)).astype(np.uint64) + np.uint64(1)) * weights
+        return _mixed(np.add.reduceat(values, starts[:-1]) + lengths.astype(np.uint64) * np.uint64(_WORD_LENGTH)), starts
 
     def cut(self, text: bytes, starts: np.ndarray | None, first: int, last: int) -> bytes:
         """Symbols ``first`` to ``last`` (exclusive)."""
@@ -119,13 +131,18 @@ class Block:
         """
         return anchors(self.symbols, self.unit, self.starts, self.ends, content)
 
-    def cover(self, first: np.ndarray, last: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """The text of symbols ``first`` to ``last`` (exclusive), one behind the other, and the bytes of each."""
-        if self.bounds is not None:
-            first, last = self.bounds[first], self.bounds[last] - 1
-        sizes = last - first
-        spans = zip(first.tolist(), last.tolist())
-        return b"".join([self.joined[a:b] for a, b in spans]), sizes
+    def cover(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the text of symbols ``first`` to ``last`` (exclusive) begins and ends."""
+        return (first, last) if self.bounds is None else (self.bounds[first], self.bounds[last] - 1)
+
+    def differ(self, begin: np.ndarray, end: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Of some stretches, those whose text is not that of the stretch before them."""
+        places = places[places > 0]
+        other = end[places] - begin[places] != end[places - 1] - begin[places - 1]
+        alike = places[~other].tolist()
+        spans = [(int(begin[i]), int(end[i]), int(begin[i - 1]), int(end[i - 1])) for i in alike]
+        more = [i for i, (a, b, c, d) in zip(alike, spans) if self.joined[a:b] != self.joined[c:d]]
+        return np.concatenate([places[other], np.array(more, np.int64)])
 
 
 def distinct(values: np.ndarray) -> np.ndarray:
@@ -158,6 +175,14 @@ def _hashes(symbols: np.ndarray, k: int) -> np.ndarray:
     return _mixed(out[: len(symbols) - k + 1].copy())
 
 
+def _hashes_at(symbols: np.ndarray, k: int, places: np.ndarray) -> np.ndarray:
+    """A hash of the ``k`` symbols from some places."""
+    own = np.zeros(len(places), np.uint64)
+    for i in range(k):
+        own = own * np.uint64(_BASE) + symbols[places + i]
+    return _mixed(own)
+
+
 def _mixed(out: np.ndarray) -> np.ndarray:
     out ^= out >> np.uint64(33)
     out *= np.uint64(0xFF51AFD7ED558CCD)
@@ -269,15 +294,11 @@ def _unpacked(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
     return [np.frombuffer(expand(x.as_buffer()), kind) for x in column]
 
 
-#: Per block and bucket: distinct segments (their texts and sizes in bytes, how many places each has), then the places.
-_SEGMENTS_DDL = "bucket long, block long, texts binary, sizes binary, places binary, ids binary, rows binary, starts binary"
-_SEGMENTS = pa.schema(
-    [
-        ("bucket", pa.int64()),
-        ("block", pa.int64()),
-        *[(n, pa.binary()) for n in ("texts", "sizes", "places", "ids", "rows", "starts")],
-    ]
-)
+#: Per block and bucket: distinct segments (their texts and sizes in bytes, how many places each has, whether it is
+#: a window that travels on its own), then the places.
+_PARTS = ("texts", "sizes", "places", "single", "ids", "rows", "starts")
+_SEGMENTS_DDL = "bucket long, block long, " + ", ".join(f"{n} binary" for n in _PARTS)
+_SEGMENTS = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), *[(n, pa.binary()) for n in _PARTS]])
 
 
 def _sent_segments(unit: Unit, buckets: int):
@@ -296,20 +317,22 @@ def _sent_segments(unit: Unit, buckets: int):
             # Each window by itself, under its own hash.
             sizes = (last - first + 1)[hot]
             single = np.arange(int(sizes.sum())) + np.repeat(first[hot] - np.cumsum(sizes) + sizes, sizes)
-            own = np.zeros(len(single), np.uint64)
-            for k in range(unit.length):
-                own = own * np.uint64(_BASE) + block.symbols[single + k]
-            own = _mixed(own)
+            own = _hashes_at(block.symbols, unit.length, single)
             first, last, key, content = (
                 np.concatenate([old[~hot], new])
                 for old, new in zip((first, last, key, content), (single, single, own, own))
             )
+            hot = np.arange(len(first)) >= len(first) - len(single)
         bucket = (key % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((content, bucket))
-        first, last, content, bucket = first[order], last[order], content[order], bucket[order]
-        new = np.concatenate([[True], (content[1:] != content[:-1]) | (bucket[1:] != bucket[:-1])])[: len(bucket)]
+        order = np.lexsort((content, hot, bucket))
+        first, last, content, hot, bucket = first[order], last[order], content[order], hot[order], bucket[order]
+        new = np.concatenate([[True], (content[1:] != content[:-1]) | (hot[1:] != hot[:-1]) | (bucket[1:] != bucket[:-1])])
+        new = new[: len(bucket)]
+        begin, end = block.cover(first, last + unit.length)
+        new[block.differ(begin, end, np.flatnonzero(~new))] = True
         heads = np.flatnonzero(new)
-        texts, sizes = block.cover(first[heads], last[heads] + unit.length)
+        sizes = (end - begin)[heads]
+        texts = b"".join([block.joined[a:b] for a, b in zip(begin[heads].tolist(), end[heads].tolist())])
         cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])[: len(bucket)])
         by_place = np.append(cuts, len(bucket))
         by_segment = np.searchsorted(heads, by_place)
@@ -323,6 +346,7 @@ def _sent_segments(unit: Unit, buckets: int):
                 _packed(np.frombuffer(texts, np.uint8), by_byte),
                 _packed(sizes.astype(np.int32), by_segment),
                 _packed(places.astype(np.int32), by_segment),
+                _packed(hot[heads].astype(np.uint8), by_segment),
                 _packed(block.ids[rows], by_place),
                 _packed(rows.astype(np.int32), by_place),
                 _packed((first - block.starts[rows]).astype(np.int32), by_place),
@@ -352,19 +376,31 @@ def _spans(unit: Unit, resolve: Resolver):
             text = packed.tobytes()
             ends = np.cumsum(own).tolist()
             which += [number.setdefault(text[a:b], len(number)) for a, b in zip([0, *ends], ends)]
+        single = np.zeros(len(number), bool)
+        single[which] = np.concatenate(_unpacked(table.column("single"), np.uint8)) > 0
         which = np.repeat(np.array(which), np.concatenate(places))
         early = np.full(len(number), np.iinfo(np.int64).max)
         np.minimum.at(early, which, ids)
         segments = list(number)
         counts = np.array([unit.count(s) for s in segments])
-        # Every segment has one anchor; equal windows lie in segments with equal anchors.
+        # Every segment has one anchor; equal windows lie in segments with equal anchors, or travel on their own.
         joined = (b" " if unit.words else b"").join(segments)
         ends = np.cumsum(counts)
-        _, last, keys, _ = anchors(unit.symbols(joined)[0], unit, ends - counts, ends)
+        symbols = unit.symbols(joined)[0]
+        _, last, keys, _ = anchors(symbols, unit, ends - counts, ends)
         keys = keys[np.searchsorted(last, ends - unit.length)]
+        keys[single] = _hashes_at(symbols, unit.length, (ends - counts)[single])
         order = np.argsort(keys, kind="stable")
-        firsts = resolve([segments[i] for i in order.tolist()], early[order].tolist(), keys[order].tolist())
         windows = (counts - unit.length + 1)[order]
+        # A segment that is alone under its key has no window in common with another.
+        other = keys[order][1:] != keys[order][:-1]
+        shared = ~(np.concatenate([[True], other]) & np.concatenate([other, [True]]))
+        firsts = np.repeat(early[order], windows)
+        some = order[shared]
+        if len(some):
+            firsts[np.repeat(shared, windows)] = resolve(
+                [segments[i] for i in some.tolist()], early[some].tolist(), keys[some].tolist()
+            )
         at = np.cumsum(windows) - windows
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
