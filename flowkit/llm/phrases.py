@@ -7,12 +7,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowkit.llm.filters import Packing, counted, merged, split
-from flowkit.operators.joins import lookup_join
+from flowkit.operators.hot import spread_join
 from flowkit.session import materialize
 
 #: Bytes of text of one language that make a block.
@@ -22,10 +23,10 @@ _HELD_BYTES = 32 << 20
 #: A merge takes 2**FAN_BITS filters at most, and a filter is split by so many bits.
 FAN_BITS = 8
 #: N-grams, before they are merged, for which there is a bucket.
-BUCKET_ENTRIES = 1 << 20
+BUCKET_ENTRIES = 1 << 22
 #: Words are numbered in so many parts, side by side.
 _PARTS = 256
-#: Copies of a lookup row, against hot words; parts of a language that are ranked side by side.
+#: Parts of a language that are ranked side by side.
 _SALTS = 16
 #: The language of documents without one.
 UNKNOWN = "und"
@@ -35,18 +36,30 @@ _BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 
 
 def coded(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-    """The words of lower-cased texts as numbers from 1, with a 0 between pieces, and the words."""
+    """The words of lower-cased texts as numbers from 1, the most frequent first, with a 0 between pieces, and the words."""
     joined = b"\n".join(texts).lower().translate(_BREAKS).replace(b"\n", b" \n ")
     words = pc.split_pattern(pa.array([joined], pa.large_binary()), pattern=b" ").flatten().dictionary_encode()
     listed = words.dictionary.to_pylist()
-    number = np.zeros(len(listed), np.int32)
-    kept = [i for i, w in enumerate(listed) if w and w != b"\n"]
+    number = np.zeros(len(listed), np.uint32)
+    at = words.indices.to_numpy()
+    counts = np.bincount(at, minlength=len(listed))
+    kept = [i for i in np.argsort(-counts, kind="stable").tolist() if listed[i] and listed[i] != b"\n"]
     number[kept] = np.arange(1, len(kept) + 1)
     empty = np.array([not w for w in listed], bool)
-    at = words.indices.to_numpy()
     return number[at[~empty[at]]], [listed[i] for i in kept]
 
 
+def packed(codes: np.ndarray) -> bytes:
+    """Numbers as compressed planes of their bytes; frequent words have small numbers, so that takes little."""
+    planes = np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 _BLOCK = pa.schema(
     [
         ("block", pa.int64()),
@@ -73,7 +86,7 @@ def _blocks(block_bytes: int):
             total -= sizes.pop(lang)
             counts = np.bincount(codes, minlength=len(words) + 1)[1:]
             number += 1
-            row = [[number - 1], [lang], [[w.decode() for w in words]], [counts], [codes.astype("<i4").tobytes()]]
+            row = [[number - 1], [lang], [[w.decode() for w in words]], [counts], [packed(codes)]]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _BLOCK)], schema=_BLOCK)
 
         for batch in batches:
@@ -109,7 +122,7 @@ def _block_filters(width: int, bits: int):
     def work(block: pa.Table, numbers: pa.Table) -> pa.Table:
         out = []
         for lang, shard, codes in zip(*(block.column(c).to_pylist() for c in ("lang", "block", "codes"))):
-            own = np.frombuffer(codes, "<i4")
+            own = unpacked(codes)
             ids = np.zeros(int(own.max(initial=0)) + 1, np.int64)
             ids[numbers.column("code").to_numpy()] = numbers.column("id").to_numpy()
             ids = ids[own]
@@ -269,22 +282,22 @@ def find_phrases(
 def rank_phrases(grams: DataFrame, known: DataFrame, totals: DataFrame, inside: int, top: int) -> DataFrame:
     """The best phrases of counted n-grams, the words behind their ids and the number of words per language."""
 
-    def key(*ids: str) -> Column:
-        return F.struct("lang", *[F.col(i).alias(f"i{n}") for n, i in enumerate(ids)])
-
-    word = known.select(key("id").alias("key"), "word", "f")
-    first = word.withColumnsRenamed({"word": "w1", "f": "f1"})
-    second = word.withColumnsRenamed({"word": "w2", "f": "f2"})
+    first = known.select("lang", "id", F.col("word").alias("w1"), F.col("f").alias("f1"))
+    second = known.select("lang", "id", F.col("word").alias("w2"), F.col("f").alias("f2"))
     pairs = grams.where("n = 2").select("lang", "x", "y", "a")
-    pairs = lookup_join(pairs.withColumn("k", key("x")), first, "k", "key", "inner", _SALTS)
-    pairs = lookup_join(pairs.withColumn("k", key("y")), second, "k", "key", "inner", _SALTS).drop("k")
+    pairs = spread_join(pairs, first, ["lang", "x"], ["lang", "id"], "inner")
+    pairs = spread_join(pairs, second, ["lang", "y"], ["lang", "id"], "inner")
     pairs = materialize(pairs, "pairs")
     triples = grams.where("n = 3").select("lang", "x", "y", "z", "a")
     # Both pairs of a candidate are candidates.
-    before = pairs.select(key("x", "y").alias("key"), "w1", "f1", F.col("w2").alias("w"), F.col("a").alias("f12"))
-    behind = pairs.select(key("x", "y").alias("key"), F.col("w2").alias("w3"), F.col("f2").alias("f3"), F.col("a").alias("f23"))
-    triples = lookup_join(triples.withColumn("k", key("x", "y")), before, "k", "key", "inner", _SALTS)
-    triples = lookup_join(triples.withColumn("k", key("y", "z")), behind, "k", "key", "inner", _SALTS)
+    before = pairs.select(
+        "lang", F.col("x").alias("p"), F.col("y").alias("q"), "w1", "f1", F.col("w2").alias("w"), F.col("a").alias("f12")
+    )
+    behind = pairs.select(
+        "lang", F.col("x").alias("p"), F.col("y").alias("q"), F.col("w2").alias("w3"), F.col("f2").alias("f3"), F.col("a").alias("f23")
+    )
+    triples = spread_join(triples, before, ["lang", "x", "y"], ["lang", "p", "q"], "inner")
+    triples = spread_join(triples, behind, ["lang", "y", "z"], ["lang", "p", "q"], "inner")
     early, late = _score("a", F.col("f1"), F.col("f23")), _score("a", F.col("f12"), F.col("f3"))
     triples = triples.withColumns({"s1": early, "s2": late}).select(
         "lang",
@@ -295,9 +308,10 @@ def rank_phrases(grams: DataFrame, known: DataFrame, totals: DataFrame, inside:
         F.least("s1", "s2").alias("score"),
     )
     longer = grams.where("n = 3")
-    longer = longer.select(key("x", "y").alias("key"), "a").union(longer.select(key("y", "z"), "a"))
-    longer = longer.groupBy("key").agg(F.max("a").alias("most"))
-    kept = pairs.withColumn("k", key("x", "y")).join(longer, F.col("k") == F.col("key"), "left")
+    longer = longer.select("lang", F.col("x").alias("p"), F.col("y").alias("q"), "a").union(longer.select("lang", "y", "z", "a"))
+    longer = longer.groupBy("lang", "p", "q").agg(F.max("a").alias("most")).withColumnRenamed("lang", "in")
+    inside_of = (F.col("lang") == F.col("in")) & (F.col("x") == F.col("p")) & (F.col("y") == F.col("q"))
+    kept = pairs.join(longer, inside_of, "left")
     kept = kept.where(F.col("most").isNull() | (100 * F.col("most") < inside * F.col("a"))).select(
         "lang",
         F.concat_ws(" ", "w1", "w2").alias("phrase"),

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from flowkit.llm import filters
-from flowkit.llm.phrases import _score, coded, find_phrases
+from flowkit.llm.phrases import _score, coded, find_phrases, packed, unpacked
 from tests.llm.helpers import clashing
 
 
@@ -74,6 +74,17 @@ def test_phrases_are_the_plain_version(spark, options):
     assert found(find_phrases(docs, top=3, **options)) == plain(rows, top=3)
 
 
+def test_lookups_that_are_not_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = texts(7)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        docs = spark.createDataFrame([(t, lang) for lang, t in rows], "text string, lang string")
+        assert found(find_phrases(docs, block_bytes=400)) == plain(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_odd_rows(spark):
     rows = [("en", None), (None, None), ("en", ""), ("fr", "x y " * 30), ("fr", "a b. " * 12), ("de", "w " * 5000), (None, "q r s " * 10)]
     rows += [("en", "A b, a B; " * 10), ("en", "same same same " * 20)] * 2
@@ -98,6 +109,13 @@ def test_words_of_pieces():
     assert listed == ["a", "b", "|", "c", "é e", "|", "|", "x"]
 
 
+def test_frequent_words_have_small_numbers():
+    codes, words = coded([b"rare often often. often"])
+    assert words == [b"often", b"rare"] and codes.tolist() == [2, 1, 1, 0, 1]
+    numbers = np.random.default_rng(1).integers(0, 2**31, 1000)
+    assert unpacked(packed(numbers)).tolist() == numbers.tolist() and len(unpacked(packed(numbers[:0]))) == 0
+
+
 @pytest.mark.parametrize("n, width", [(2, 1), (2, 20), (2, 42), (3, 1), (3, 13), (3, 20), (3, 21), (3, 22), (3, 41)])
 def test_packing_can_be_undone(n, width):
     r = np.random.default_rng(n * width)
