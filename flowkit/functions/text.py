@@ -2,22 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import sys
+from functools import lru_cache
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values. UNICODE_WORD stands for Python's [\w']+ on str: Java's \w is
-# ASCII only and (?U)\w also takes combining marks. SPACE is what
-# str.isspace() accepts: Unicode white space and the four separators 1C-1F.
+# ASCII only and (?U)\w also takes combining marks; ``words`` adds what the JVM
+# does not know yet. SPACE is what str.isspace() accepts: Unicode white space
+# and the four separators 1C-1F.
 UNICODE_WORD = r"[\p{L}\p{N}_']+"
 ASCII_WORD = r"[A-Za-z']+"
+_PLAIN_WORD = r"[0-9A-Za-z_']+"
 SPACE = r"[\s\x1c-\x1f]"
 SHORT_WORD_LENGTH = 3
 MASK = "[MASK]"
 
 
+@lru_cache(maxsize=1)
+def _newer_characters() -> str:
+    """Word characters of this Python whose Unicode version the JVM does not know, as ranges of a class."""
+    known = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum())
+    session = SparkSession.getActiveSession()
+    jvm = session._jvm if session else None
+    left = jvm.java.util.regex.Pattern.compile(r"[\p{L}\p{N}]").matcher(known).replaceAll("") if jvm else ""
+    ranges: list[list[int]] = []
+    for c in map(ord, left):
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in ranges)
+
+
 def words(text: Column, pattern: str = UNICODE_WORD) -> Column:
-    """Array of the words of a text; no word gives an empty array."""
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    """Array of the words of a text; no word gives an empty array.
+
+    With ``UNICODE_WORD`` a word is a run of what Python's ``\\w`` takes, in
+    the Unicode version of the Python that makes the plan, and apostrophes.
+    """
+    if pattern != UNICODE_WORD:
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    full = UNICODE_WORD.replace("]+", f"{_newer_characters()}]+")
+    # Most texts need the short class only.
+    plain = F.regexp_extract_all(text, F.lit(_PLAIN_WORD), F.lit(0))
+    return F.when(F.octet_length(text) == F.length(text), plain).otherwise(F.regexp_extract_all(text, F.lit(full), F.lit(0)))
 
 
 def lines_of(text: Column) -> Column:

@@ -45,7 +45,7 @@ def fit_routes(df: DataFrame, routes: Mapping[str, Sequence[str]], target: str)
     without rows have no model. Columns that follow from others count nothing.
     """
     columns = list(dict.fromkeys(c for needed in routes.values() for c in needed))
-    routed = df.transform(with_route, {name: all_present(list(needed)) for name, needed in routes.items()})
+    routed = df.transform(with_route, {n: all_present(list(c)) if c else F.lit(True) for n, c in routes.items()})
     values = {c: F.col(c).cast("double") for c in (*columns, target)}
     known = {c: F.when(F.abs(v) < F.lit(float("inf")), v) for c, v in values.items()}
     plain = routed.where(F.col("route").isNotNull() & known[target].isNotNull())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,11 +56,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder name that every executor can reach.
 
     It lies in the folder ``spark.checkpoint.dir`` names, else in a folder
-    ``scratch`` of the warehouse, whatever the master is.
+    ``scratch`` of the warehouse. On a cluster one of the two has to be set:
+    the warehouse that Spark takes by default is a folder of the driver.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        own = warehouse.removeprefix("file:").replace("//", "/") == f"{os.getcwd()}/spark-warehouse"
+        if own and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        base = f"{warehouse}/scratch"
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     _HANDED_OUT.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path

@@ -1,0 +1,128 @@
+"""Models fitted per route, and words between two others."""
+
+import json
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from flowkit.operators import fitting, masking, scoring
+from tests.conftest import rows
+
+ROUTES = {"all": ["a", "b", "c"], "two": ["a", "b"], "one": ["a"], "none": []}
+SCHEMA = "a double, b double, c double, y double"
+
+
+def table(n, seed=1):
+    r = np.random.default_rng(seed)
+    out = []
+    for i in range(n):
+        a, b, c = r.normal(50, 3), r.normal(1e4, 2), r.normal()
+        y = 3 * a - 0.5 * b + 7 * c + r.normal() + 1e3
+        gone = i % 4
+        out.append((float(a), None if gone == 2 else float(b), float(c) if gone == 0 else None, float(y)))
+    return out
+
+
+def least_squares(values, columns):
+    x = np.array([[1.0, *(v["abcy".index(c)] for c in columns)] for v in values])
+    return np.linalg.lstsq(x, np.array([v[3] for v in values]), rcond=None)[0]
+
+
+def route_of(v):
+    return next(n for n, cols in ROUTES.items() if all(v["abc".index(c)] is not None for c in cols))
+
+
+def test_fitted_models_are_least_squares(spark):
+    values = table(400)
+    found = fitting.fit_routes(spark.createDataFrame(values, SCHEMA).repartition(7), ROUTES, "y")
+    assert set(found) == {"all", "two", "one"}
+    for name, model in found.items():
+        own = [v for v in values if route_of(v) == name]
+        want = least_squares(own, ROUTES[name])
+        assert model["rows"] == len(own)
+        assert np.allclose([model["intercept"], *model["coefficients"].values()], want, rtol=1e-6)
+
+
+def test_columns_that_follow_from_others_count_nothing(spark):
+    values = [(float(i), 2.0 * i + 1, 5.0, 4.0 * i - 1) for i in range(20)]
+    model = fitting.fit_routes(spark.createDataFrame(values, SCHEMA), {"all": ["a", "b", "c"]}, "y")["all"]
+    assert np.allclose([model["intercept"], *model["coefficients"].values()], [-1, 4, 0, 0])
+
+
+def test_odd_rows_teach_nothing(spark):
+    good = [(float(i), float(i * i % 7), 0.5, 2.0 * i) for i in range(10)]
+    nan, inf = float("nan"), float("inf")
+    odd = [(1.0, 2.0, 3.0, None), (nan, 1.0, 1.0, 5.0), (1.0, inf, 1.0, 5.0), (1.0, 1.0, 1.0, nan), (1.0, 1.0, 1.0, -inf), (None, None, None, 4.0)]
+    routes = {"two": ["a", "b"], "one": ["a"]}
+    plain = fitting.fit_routes(spark.createDataFrame(good, SCHEMA), routes, "y")
+    found = fitting.fit_routes(spark.createDataFrame(good + odd, SCHEMA), routes, "y")
+    assert found["two"]["rows"] == 10 and np.allclose(found["two"]["intercept"], plain["two"]["intercept"])
+    assert fitting.fit_routes(spark.createDataFrame([], SCHEMA), routes, "y") == {}
+    one = fitting.fit_routes(spark.createDataFrame(good[:1], SCHEMA), routes, "y")["two"]
+    assert one["intercept"] == 0.0 and set(one["coefficients"].values()) == {0.0}
+
+
+def test_written_models_are_loaded_by_name(spark, tmp_path):
+    values = table(200)
+    frame = spark.createDataFrame(values, SCHEMA)
+    models = fitting.fit_routes(frame, ROUTES, "y")
+    fitting.write_models(models, f"file:{tmp_path}/models/")
+    assert json.loads((tmp_path / "models" / "two.json").read_text()) == models["two"]
+    factory = scoring.models_from_files(f"file://{tmp_path}/models/", list(models), ".json", scoring.linear_model_reader())
+    scored = scoring.route_and_score(frame, {n: ROUTES[n] for n in models}, factory).rows
+    own = models["two"]["coefficients"]
+    for r in scored.where("route = 'two'").collect():
+        assert abs(r.prediction - models["two"]["intercept"] - own["a"] * r.a - own["b"] * r.b) < 1e-9
+    worst = scored.where("route = 'all'").agg(F.max(F.abs(F.col("prediction") - F.col("y")))).first()[0]
+    assert worst < 6
+
+
+def between(lines, before, after):
+    """The best of all words, one by one."""
+    pairs, words = {}, set()
+    for line in lines:
+        own = re.findall("[a-z']+", line.lower())
+        for p in zip(own, own[1:]):
+            pairs[p] = pairs.get(p, 0) + 1
+            words |= set(p)
+    follows = {w: sum(n for (p, _), n in pairs.items() if p == w) for w in words}
+
+    def score(c):
+        return (pairs.get((before, c), 0) + 1) * (pairs.get((c, after), 0) + 1) / (follows[c] + len(words))
+
+    return max(words, key=lambda c: (score(c), c), default=None)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_the_word_between_is_the_best_of_all(spark, seed):
+    r = random.Random(seed)
+    bag = ["a", "b", "cat", "dog", "e", "f", "it's", "zz", "rare"]
+    lines = [" ".join(r.choices(bag, [9, 8, 5, 5, 3, 2, 2, 1, 0.3], k=r.randint(0, 12))) for _ in range(60)]
+    model = masking.two_sided_model(masking.bigram_counts(spark.createDataFrame([(x,) for x in lines], "value string")))
+    asked = [(b, a) for b in [*bag, "unknown", None] for a in [*bag, "never", None]]
+    got = masking.predict_between(spark.createDataFrame(asked + asked[:5], "before string, after string"), model)
+    want = [(b, a, between(lines, b, a)) for b, a in asked if a and b]
+    assert rows(got) == sorted(want, key=repr)
+
+
+def test_masks_between_two_words(spark):
+    lines = spark.createDataFrame([("the cat sat",), ("the dog ran",), ("a cat ran",), ("the cat sat",)], "value string")
+    model = masking.two_sided_model(masking.bigram_counts(lines))
+    texts = spark.createDataFrame([(1, "the x sat"), (2, "See The y RAN"), (3, "one"), (4, "two words"), (5, " "), (6, None)], "i int, t string")
+    got = {r.i: (r.masked, r.predicted, r.report) for r in masking.predict_masked_between(texts, "t", model).collect()}
+    assert got[1] == ("the [MASK] sat", "cat", "the x sat;cat")
+    assert got[2][1] == "cat" and got[3][1] == "" and got[4] == ("[MASK] words", "", "two words;")
+    assert set(got) == {1, 2, 3, 4}
+    nothing = masking.two_sided_model(masking.bigram_counts(lines.limit(0)))
+    assert {r.predicted for r in masking.predict_masked_between(texts, "t", nothing).collect()} == {""}
+
+
+def test_no_cross_join(spark):
+    lines = spark.createDataFrame([("a b c",)], "value string")
+    model = masking.two_sided_model(masking.bigram_counts(lines))
+    plan = masking.predict_between(spark.createDataFrame([("a", "c")], "before string, after string"), model)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text

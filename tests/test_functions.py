@@ -3,6 +3,7 @@
 import csv
 import json
 import re
+import sys
 from datetime import date
 
 import pytest
@@ -34,6 +35,15 @@ def test_words_are_those_of_re(spark, values):
     assert apply(spark, values, "string", text.words) == [re.findall(r"[\w']+", v, re.UNICODE) for v in values]
 
 
+def test_word_characters_are_those_of_re(spark):
+    """Every code point there is, in the Unicode version of this Python."""
+    points = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF]
+    lines = [" ".join(points[i : i + 2000]) for i in range(0, len(points), 2000)]
+    found = apply(spark, lines, "string", text.words)
+    assert found == [re.findall(r"[\w']+", v) for v in lines]
+    assert sum(map(len, found)) > 138_000
+
+
 @few
 @given(texts)
 def test_ascii_words_are_those_of_re(spark, values):

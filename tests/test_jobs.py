@@ -1,6 +1,7 @@
 """Sources, sinks and whole jobs on files."""
 
 import glob
+import os
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -203,6 +204,26 @@ def test_scratch_names_are_new_and_shared(spark):
     assert rows(materialize(spark.range(2), "m")) == [(0,), (1,)]
 
 
+class Elsewhere:
+    """As much of a session on a cluster as the scratch folder asks for."""
+
+    def __init__(self, warehouse, checkpoint=None):
+        self.settings = {"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": checkpoint}
+        self.conf, self.sparkContext = self, self
+        self.master, self.applicationId = "spark://host:7077", "elsewhere"
+
+    def get(self, name, default=None):
+        return self.settings[name] or default
+
+
+def test_no_scratch_in_a_folder_of_the_driver():
+    own = f"file:{os.getcwd()}/spark-warehouse"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Elsewhere(own), "x")
+    assert scratch_dir(Elsewhere(own, "hdfs:/shared"), "x").startswith("hdfs:/shared/x-")
+    assert scratch_dir(Elsewhere("file:/shared/warehouse"), "x").startswith("file:/shared/warehouse/scratch/x-")
+
+
 def test_append_takes_no_unfit_value(spark, tmp_path):
     schema = spark.createDataFrame([], "id int, name string").schema
     mixed = spark.createDataFrame([("1", "a"), ("abc", "x"), (None, "y")], "id string, name string")
