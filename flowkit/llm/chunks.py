@@ -2,68 +2,86 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: What stands between the chunks of a text.
+CUT = "\0"
+#: Characters of texts that are encoded together.
+TOGETHER = 4 << 20
+
+
+def together(texts: Sequence[str], most: int = TOGETHER) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about ``most`` characters; a longer text is a run of its own or ends one."""
+    first, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= most or i == len(texts) - 1:
+            yield first, i + 1
+            first, size = i + 1, 0
 
 
 class ChunkTable(dict):
     """Numbers distinct chunks and keeps the ids of each.
 
-    ``encode`` gets a list of new chunks and returns a list of ids for each;
-    ``odd`` says of a chunk whether a text that holds it must be taken whole.
-    A table of more than ``limit`` chunks is started anew, which bounds its
-    memory and changes no result.
+    ``encode`` gets the new chunks and returns the ids of all of them, one
+    behind the other, and how many each has. A table of more than ``limit``
+    chunks, or of chunks and ids of more than ``limit_bytes``, is started anew
+    before the next texts, which bounds its memory and changes no result.
     """
 
     def __init__(
         self,
-        encode: Callable[[list[str]], Sequence[Sequence[int]]],
-        odd: Callable[[str], bool] | None = None,
-        limit: int = 400_000,
+        encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]],
+        limit: int = 600_000,
+        limit_bytes: int = 64 << 20,
     ):
         super().__init__()
-        self._encode, self._is_odd, self._limit = encode, odd, limit
+        self._encode, self._limit, self._limit_bytes = encode, limit, limit_bytes
         self._reset()
 
     def _reset(self) -> None:
         self.clear()
-        self._new: list[str] = []
         self._flat = np.empty(0, np.int32)
         self._starts = np.zeros(1, np.int64)
-        self._odd = np.empty(0, bool)
+        self._bytes = 0
 
-    def __missing__(self, chunk: str) -> int:
-        number = len(self)
-        self[chunk] = number
-        self._new.append(chunk)
-        return number
+    def _numbers(self, chunks: pa.Array) -> np.ndarray:
+        """The numbers of distinct chunks, after new ones have been learned."""
+        listed = chunks.to_pylist()
+        numbers = np.fromiter(map(self.get, listed, repeat(-1)), np.int64, len(listed))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            first, unknown = len(self), chunks.take(pa.array(new))
+            numbers[new] = np.arange(first, first + len(new))
+            self.update(zip([listed[i] for i in new.tolist()], range(first, first + len(new))))
+            flat, sizes = self._encode(unknown)
+            self._flat = np.concatenate([self._flat, flat.astype(np.int32)])
+            self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
+            self._bytes += unknown.nbytes + flat.nbytes
+        return numbers
 
-    def _learn(self) -> None:
-        if not self._new:
-            return
-        ids = self._encode(self._new)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for own in ids for i in own), np.int32, int(sizes.sum()))
-        self._flat = np.concatenate([self._flat, flat])
-        self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
-        odd = map(self._is_odd, self._new) if self._is_odd else [False] * len(self._new)
-        self._odd = np.concatenate([self._odd, np.fromiter(odd, bool, len(self._new))])
-        self._new = []
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one behind the other, and how many each has.
 
-    def ids(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts, given as chunks, one behind the other; how many each has; which hold an odd chunk."""
-        if len(self) > self._limit:
+        A text is its chunks with ``CUT`` between them, or empty.
+        """
+        if len(self) > self._limit or self._bytes > self._limit_bytes:
             self._reset()
-        get = self.__getitem__
-        numbers = np.fromiter((get(c) for t in texts for c in t), np.int64, sum(map(len, texts)))
-        self._learn()
+        counts = [t.count(CUT) + 1 if t else 0 for t in texts]
+        numbers = np.empty(0, np.int64)
+        if any(counts):
+            # Only the distinct chunks of these texts are looked up.
+            joined = pa.array([CUT.join(t for t in texts if t)], pa.large_string())
+            chunks = pc.split_pattern(joined, CUT).flatten().dictionary_encode()
+            numbers = self._numbers(chunks.dictionary)[chunks.indices.to_numpy()]
         sizes = self._starts[numbers + 1] - self._starts[numbers]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        # Each chunk's ids are copied to its place: where a chunk begins, less where its ids are kept.
-        places = np.arange(total) + np.repeat(self._starts[numbers] - ends + sizes, sizes)
-        cuts = np.concatenate([[0], np.cumsum(list(map(len, texts)), dtype=np.int64)])
-        before = np.concatenate([[0], ends])
-        odd = np.diff(np.concatenate([[0], np.cumsum(self._odd[numbers])])[cuts]) > 0
-        return self._flat[places], np.diff(before[cuts]), odd
+        table = pa.LargeListArray.from_arrays(pa.array(self._starts), pa.array(self._flat))
+        flat = table.take(pa.array(numbers)).flatten().to_numpy()
+        cuts = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        return flat, np.diff(before[cuts])

@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,12 +14,10 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowkit.llm.chunks import ChunkTable
+from flowkit.llm.chunks import CUT, ChunkTable, together
 
 _MARK = "▁"
 _SPACES = re.compile(r"^[^ ]+| +[^ ]*")
-#: Texts of so many characters are encoded together.
-_TOGETHER = 4 << 20
 
 
 class PieceCoder:
@@ -43,36 +42,40 @@ class PieceCoder:
         self.by_word = not crossing and kept and self.model.encode(" ") != self.model.encode("")
         self.table = ChunkTable(self._encode)
 
-    def _encode(self, words: list[str]) -> list[list[int]]:
+    def _encode(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        words = chunks.to_pylist()
         # The library puts a marker before a text, which stands for the first space.
         ids = self.model.encode([w[1:] if w[0] == " " else w for w in words], num_threads=1)
-        out = []
-        for word, own in zip(words, ids):
-            if word[0] == "\n":
-                if own[0] != self.mark:
+        for i, word in enumerate(words):
+            if word == " ":
+                ids[i] = [self.mark]
+            elif word[0] == "\n":
+                if ids[i][0] != self.mark:
                     raise ValueError("the marker before a line break is not a piece of its own")
-                own = own[1:]
-            out.append(own if word != " " else [self.mark])
-        return out
+                ids[i] = ids[i][1:]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
 
-    def _words(self, text: str) -> list[str] | None:
-        """The marked words, or None if the text is to be encoded whole."""
-        if not self.by_word or _MARK in text or "\0" in text:
+    def _words(self, text: str) -> str | None:
+        """The text cut into marked words, or None if it is to be encoded whole."""
+        if not self.by_word or _MARK in text or CUT in text:
             return None
         if not text:
-            return []
+            return ""
         text = f" {text}"
+        if "  " not in text:
+            cut = text.replace(" ", "\0 ")
+        else:
+            cut = CUT + CUT.join(_SPACES.findall(text))
         if self.lines:
-            if "  " not in text:
-                return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")[1:]
-            return [p for w in _SPACES.findall(text) for p in w.replace("\n", "\0\n").split("\0") if p]
-        return _SPACES.findall(text)
+            cut = cut.replace("\n", "\0\n")
+        return cut[1:]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, with those of its begin and end."""
         begin, end = self.model.bos_id(), self.model.eos_id()
         cut = [self._words(t) for t in texts]
-        ids, sizes, _ = self.table.ids([c or [] for c in cut])
+        ids, sizes = self.table.ids([c or "" for c in cut])
         parts = np.split(ids, np.cumsum(sizes)[:-1]) if len(texts) else []
         out = []
         for text, words, own in zip(texts, cut, parts):
@@ -90,21 +93,12 @@ def _coder(path: str) -> PieceCoder:
     return PieceCoder(path)
 
 
-def _batches(texts: list[str]) -> Iterator[tuple[int, int]]:
-    first, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= _TOGETHER or i == len(texts) - 1:
-            yield first, i + 1
-            first, size = i + 1, 0
-
-
 def _encoded(path: str, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for a, b in _batches(texts):
+            for a, b in together(texts):
                 ids = coder.encode(texts[a:b])
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(i) for i in ids])]), pa.int32())
                 flat = pa.array(np.concatenate(ids).astype(np.int32))
@@ -159,7 +153,7 @@ def piece_digests(docs: DataFrame, model: str) -> DataFrame:
         coder = _coder(model)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for a, b in _batches(texts):
+            for a, b in together(texts):
                 ids = coder.encode(texts[a:b])
                 yield pa.RecordBatch.from_arrays(
                     [

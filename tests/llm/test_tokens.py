@@ -1,6 +1,7 @@
 """Tokens against the libraries, and the wavelet matrix against plain arrays."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from flowkit.llm.chunks import ChunkTable
+from flowkit.llm.chunks import ChunkTable, together
 from flowkit.llm.pieces import PieceCoder, decode_pieces, encode_pieces, piece_digests
 from flowkit.llm.tokens import ByteCoder, WaveletMatrix, token_files
 from tests.llm.helpers import clashing, corpus, frame
@@ -38,6 +39,8 @@ TEXTS = [
     "zero\0byte",
     "line\r\nline\rline",
     "ǅ ß ﬁ İ e\u0301",
+    "line \n \n  \nbreaks\n\n x  \n",
+    "\n\nfirst \n",
     "long " * 500 + "x" * 5000,
     *[t for _, t in corpus(21, 30)],
 ]
@@ -45,10 +48,29 @@ TEXTS = [
 
 def test_byte_ids_are_those_of_the_library():
     library, coder = Tokenizer.from_file(BYTES), ByteCoder(BYTES)
-    assert coder.by_chunk
-    for _ in range(2):
-        for t, got in zip(TEXTS, coder.encode(TEXTS)):
-            assert got.tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+    assert coder.by_rank
+    for t in TEXTS:
+        assert coder.encode(t).tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+SPACES = [" ", "  ", "\n", "\t", "\r\n", "\x0b", "\x0c", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u3000", "\ufeff", "\u200b"]
+OTHERS = ["a", "Zz", "'s", "\u2019", "é", "ß", "1", "½", "ª", "#", "...", "ⅷ", "漢", "😀", "<|", "|>", "ɏ", "ʰ", "\u0301", "€", "\0", "\xad"]
+
+
+def test_byte_ids_of_any_mixture():
+    coder, r = ByteCoder(BYTES), random.Random(4)
+    for _ in range(6000):
+        t = "".join(r.choice(SPACES if r.random() < 0.5 else OTHERS) for _ in range(r.randint(1, 9)))
+        want = coder.library.encode(t, add_special_tokens=False).ids
+        assert coder.encode(t).tolist() == want == coder.merger.encode_ordinary(t), repr(t)
+
+
+@pytest.mark.parametrize("text", [" " * 5000 + "a", "\n \t" * 3000 + "b", "a " + "\n" * 1200, "x" * 30_000, "ab1 " * 9000])
+def test_long_runs(text):
+    """Runs of white space that the cutter of the merger would break down at."""
+    coder = ByteCoder(BYTES)
+    assert coder._is_plain(text) == (text[0] == "x" or text[:3] == "ab1")
+    assert coder.encode(text).tolist() == coder.library.encode(text, add_special_tokens=False).ids
 
 
 def test_pieces_are_those_of_the_library():
@@ -62,12 +84,24 @@ def test_pieces_are_those_of_the_library():
             assert back == library.decode(want)
 
 
-def test_a_full_table_starts_anew():
-    table = ChunkTable(lambda new: [[len(c), 1] for c in new], lambda c: c == "odd", limit=3)
+@pytest.mark.parametrize("limits", [{"limit": 3}, {"limit_bytes": 10}, {}])
+def test_a_full_table_starts_anew(limits):
+    def encode(new):
+        flat = [x for c in new.to_pylist() for x in (len(c), 1)]
+        return np.array(flat), np.full(len(new), 2)
+
+    table = ChunkTable(encode, **limits)
     for _ in range(5):
-        ids, sizes, odd = table.ids([["a", "bb"], [], ["ccc", "odd", "a"], ["d" * 4]])
+        ids, sizes = table.ids(["a\0bb", "", "ccc\0odd\0a", "d" * 4])
         assert ids.tolist() == [1, 1, 2, 1, 3, 1, 3, 1, 1, 1, 4, 1]
-        assert sizes.tolist() == [4, 0, 6, 2] and odd.tolist() == [False, False, True, False]
+        assert sizes.tolist() == [4, 0, 6, 2]
+    assert table.ids(["", ""])[1].tolist() == [0, 0] and len(table.ids([])[0]) == 0
+
+
+def test_runs_of_texts():
+    texts = ["a" * n for n in (3, 0, 9, 2, 2, 2, 1)]
+    assert list(together(texts, 5)) == [(0, 3), (3, 6), (6, 7)]
+    assert list(together([])) == []
 
 
 ROWS = [*[(i * 3 % 101, t) for i, t in enumerate(TEXTS)], (500, None), (None, "no id"), (500, "same id"), (500, "same id")]
