@@ -180,7 +180,15 @@ _RULES = [
     r3 AS (
       SELECT host, (h.bad + least(s, size) * rate) / (h.n + least(s, size)) AS rate, h.n + least(s, size) AS size
       FROM hosts h JOIN r2 USING (domain), strong WHERE level = 3),
-    bad_hosts AS (SELECT host FROM r3 WHERE rate - 1.645 * sqrt(rate * (1 - rate) / (size + 1)) > 0.5)
+    shapes AS (SELECT host, rate * size AS a, (1 - rate) * size AS b, 0.5 < (a + 1) / (size + 2) AS below FROM r3),
+    turned AS (SELECT host, below, CASE WHEN below THEN a ELSE b END AS a, CASE WHEN below THEN b ELSE a END AS b FROM shapes),
+    beta AS (
+      SELECT host, below, exp(lgamma(a + b) - lgamma(a) - lgamma(b) + (a + b) * ln(0.5)) / a
+        / list_reduce(list_prepend(1.0::DOUBLE, list_transform(range(600, 0, -1), lambda k: k::DOUBLE)), lambda f, k: 1 +
+          CASE WHEN k % 2 = 0 THEN k / 2 * (b - k / 2) * 0.5 / ((a + k - 1) * (a + k))
+          ELSE -(a + (k - 1) / 2) * (a + b + (k - 1) / 2) * 0.5 / ((a + k - 1) * (a + k)) END / f) AS part
+      FROM turned),
+    bad_hosts AS (SELECT host FROM beta WHERE CASE WHEN below THEN part ELSE 1 - part END <= 0.05)
     SELECT page_id, host, path, rule, coalesce(fit.verdict, CASE WHEN b.host IS NULL THEN 'allow' ELSE 'block' END) AS verdict
     FROM parts LEFT JOIN fit USING (page_id) LEFT JOIN bad_hosts b USING (host)
     """

@@ -152,11 +152,14 @@ def _with_verdict(judged: DataFrame, rejected: DataFrame) -> DataFrame:
 def keep_good_documents(docs: DataFrame, max_rate: float = 0.9, z: float = 2.0) -> DataFrame:
     """The rows of ``docs`` that ``judge_documents`` keeps, with all their columns.
 
-    The rules run twice, once for the hosts and once for the rows, so no text is moved.
+    Texts are measured once: the rows are written with what the rules say, the
+    hosts are judged from two columns of that table, and the rows are read
+    from it again. No text is moved.
     """
     failed = base_failed(_let(quality_measures(F.col("doc.text")), lambda m: m))
     rows = docs.select(F.struct("*").alias("doc")).select(
         "doc", F.col("doc.source").cast("string").alias("host"), failed.alias("failed")
     )
+    rows = materialize(rows, "measured")
     rejected = rejected_hosts(rows.select("host", "failed"), max_rate, z)
     return rows.where(~F.col("failed")).join(rejected, "host", "left_anti").select("doc.*")

@@ -113,40 +113,42 @@ def _bucket_links(prints: np.ndarray, key: int, distance: int) -> list[tuple[int
     return links
 
 
-def _links(distance: int, bucket: int | None = None, shift: int = 0):
-    """Links of the buckets of rows sorted by key; a bucket of more than ``bucket`` comes back as rows.
+#: The bucket a fingerprint is in: the variant's key, the bits of the other half that no split has looked at, and a
+#: number that stands for both and for what the splits have found.
+_BUCKETS_DDL = "route long, base long, rest long, print long"
 
-    The key proper stands above ``shift`` bits.
-    """
+
+def _links(distance: int, bucket: int | None):
+    """Links of the buckets of sorted rows; a bucket of more than ``bucket`` comes back as rows, to be split."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held, spilling = None, [], False
 
         def rows(links, key=None):
             pairs = np.array(links, np.uint64).reshape(-1, 2).view(np.int64)
+            names = [pa.array([x] * len(pairs), pa.int64()) for x in key or (None,) * 3]
             return pa.RecordBatch.from_arrays(
-                [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array([key] * len(pairs), pa.int64())],
-                names=["u", "v", "key"],
+                [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), *names], names=["u", "v", "route", "base", "rest"]
             )
 
         def back(prints, key):
             return rows(np.column_stack([prints, prints]), key)
 
         def close():
-            prints = np.concatenate(held)
-            return rows(_bucket_links(prints, held_key >> shift, distance))
+            return rows(_bucket_links(np.concatenate(held), held_key[1], distance))
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = batch.column("key").to_numpy()
+            keys = [batch.column(n).to_numpy() for n in ("route", "base", "rest")]
             prints = batch.column("print").to_numpy().view(np.uint64)
-            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            ends = np.append(starts[1:], len(keys))
+            new = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+            starts = np.flatnonzero(np.concatenate([[True], new]))
+            ends = np.append(starts[1:], len(prints))
             # Only buckets of several matter, and the last, which may go on.
-            several = np.flatnonzero((ends - starts > 1) | (ends == len(keys)) | (starts == 0))
+            several = np.flatnonzero((ends - starts > 1) | (ends == len(prints)) | (starts == 0))
             for a, b in zip(starts[several].tolist(), ends[several].tolist()):
-                key = int(keys[a])
+                key = tuple(int(k[a]) for k in keys)
                 if key != held_key:
                     if held and not spilling and sum(map(len, held)) > 1:
                         yield close()
@@ -162,20 +164,35 @@ def _links(distance: int, bucket: int | None = None, shift: int = 0):
     return run
 
 
-def _split_keys(rows: DataFrame) -> DataFrame:
-    """Deal out large buckets by a quarter of the other half as well.
+#: Parts that the rest of a half is cut into: one more than the bits that may differ there.
+_CUTS = 4
+#: Bits of the rest at which a bucket, of a thousand fingerprints at most, is not split any more.
+_FEW_BITS = 9
+
 
-    Of at most three differing bits there, one of four quarters has none, so
-    every close pair still meets. The key gains the quarter and its value.
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Deal out the rows of large buckets by parts of the other half as well.
+
+    Of at most three differing bits among the rest, one of four parts of it
+    has none, so every close pair still meets in that part's bucket.
     """
-    other = F.when(F.shiftright("key", 37).bitwiseAND(F.lit(1)) == 0, F.shiftrightunsigned("print", 32)).otherwise(
-        F.col("print").bitwiseAND(F.lit(0xFFFFFFFF))
-    )
-    quarters = F.array(*[F.shiftrightunsigned(other, 8 * q).bitwiseAND(F.lit(255)) for q in range(4)])
-    quarter = F.posexplode(quarters).alias("quarter", "value")
-    named = rows.select(F.col("u").alias("print"), "key").select("print", "key", quarter)
-    key = F.shiftleft("key", 10).bitwiseOR(F.shiftleft(F.col("quarter").cast("long"), 8)).bitwiseOR(F.col("value"))
-    return named.select(key.alias("key"), "print")
+    for batch in batches:
+        route, base, rest = (batch.column(n).to_numpy() for n in ("route", "base", "rest"))
+        prints = batch.column("u").to_numpy()
+        unsigned = prints.view(np.uint64)
+        in_high = (base >> 37) & 1 == 0
+        other = np.where(in_high, unsigned >> np.uint64(32), unsigned & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        for mask in np.unique(rest):
+            own = np.flatnonzero(rest == mask)
+            bits = [k for k in range(32) if int(mask) >> k & 1]
+            for number, part in enumerate(np.array_split(bits, _CUTS)):
+                kept = sum(1 << int(k) for k in part)
+                found = (route[own].view(np.uint64) ^ np.uint64(number + 1)) * np.uint64(0x9E3779B97F4A7C15)
+                found ^= found >> np.uint64(29)
+                found = (found ^ (other[own] & kept).astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+                found ^= found >> np.uint64(32)
+                columns = [found.view(np.int64), base[own], np.full(len(own), int(mask) & ~kept), prints[own]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["route", "base", "rest", "print"])
 
 
 def close_prints(prints: DataFrame, distance: int = 3, bucket: int = BUCKET) -> DataFrame:
@@ -183,28 +200,32 @@ def close_prints(prints: DataFrame, distance: int = 3, bucket: int = BUCKET) ->
 
     Each differs in at most ``distance`` (three or fewer) bits, and whatever a
     chain of such pairs joins they join too. A bucket gives fewer links than
-    it has members, never all its pairs.
+    it has members, never all its pairs. One of more than ``bucket`` members is
+    split by further bits, again and again, until so few bits are left that
+    they bound it.
     """
     if not 0 <= distance <= 3:
         raise ValueError("variants find pairs that differ in three bits at most")
-    found = materialize(
-        _variants(prints)
-        .repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(_links(distance, bucket), "u long, v long, key long"),
-        "close-prints",
-    )
-    links = found.where("key IS NULL").select("u", "v")
-    large = found.where("key IS NOT NULL")
-    if large.isEmpty():
-        return links
-    more = (
-        _split_keys(large)
-        .repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(_links(distance, shift=10), "u long, v long, key long")
+    first = _variants(prints).select(
+        F.col("key").alias("route"), F.col("key").alias("base"), F.lit(0xFFFFFFFF).alias("rest"), "print"
     )
-    return links.union(more.select("u", "v"))
+    out, rows, bits = None, first, 32
+    while True:
+        last = bits <= _FEW_BITS
+        found = materialize(
+            rows.repartition("route")
+            .sortWithinPartitions("route", "base", "rest")
+            .mapInArrow(_links(distance, None if last else bucket), "u long, v long, route long, base long, rest long"),
+            "close-prints",
+        )
+        links = found.where("route IS NULL").select("u", "v")
+        out = links if out is None else out.union(links)
+        large = found.where("route IS NOT NULL")
+        if last or large.isEmpty():
+            return out
+        rows = large.mapInArrow(_split, _BUCKETS_DDL)
+        # The largest part of the rest is gone from some buckets, the smallest from others.
+        bits -= bits // _CUTS
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, bucket: int = BUCKET) -> DataFrame:

@@ -63,6 +63,26 @@ def test_links_join_what_close_pairs_join(spark, bucket):
     assert groups(prints, found) == groups(prints, close_pairs(prints))
 
 
+@pytest.mark.parametrize("bucket", [2000, 100, 3])
+def test_buckets_are_split_until_they_are_small(spark, bucket):
+    """Two thousand fingerprints in a small corner, and chains through it, at any size of a bucket."""
+    r = random.Random(9)
+    corner = r.getrandbits(64)
+    places = r.sample(range(32, 64), 13)
+    prints = set()
+    while len(prints) < 2000:
+        p = corner
+        for b in places:
+            p ^= r.getrandbits(1) << b
+        prints.add(p ^ (1 << r.randrange(32)) if r.random() < 0.2 else p)
+    far = {corner ^ 0xFF00FF00 ^ (k << 40) for k in range(0, 255, 7)}
+    prints = sorted(prints | far)
+    links = close_prints(spark.createDataFrame([(signed(p),) for p in prints], "print long"), 3, bucket).collect()
+    found = [(a % (1 << 64), b % (1 << 64)) for a, b in ((x.u, x.v) for x in links)]
+    assert all((a ^ b).bit_count() <= 3 for a, b in found)
+    assert groups(prints, found) == groups(prints, close_pairs(prints))
+
+
 def test_variants_need_a_small_distance(spark):
     with pytest.raises(ValueError):
         close_prints(spark.createDataFrame([], "print long"), 4)
