@@ -9,7 +9,7 @@ from flowkit.catalog.registry import table
 from flowkit.operators import joins, topk
 
 FOLDER = "/root/testdata/sf0.001"
-IN_PYTHON = {"route_and_score", "keyed_batch_infer"}
+IN_PYTHON = {"route_and_score", "keyed_batch_infer", "fit_route_models"}
 
 
 def plan(frame):
