@@ -25,6 +25,27 @@ def together(texts: Sequence[str], most: int = TOGETHER) -> Iterator[tuple[int,
             first, size = i + 1, 0
 
 
+def cut_up(texts: Sequence[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct chunks of all texts, the number of each chunk one text after the other, and how many a text has.
+
+    A text is its chunks with ``CUT`` between them, or empty.
+    """
+    counts = np.array([t.count(CUT) + 1 if t else 0 for t in texts], np.int64)
+    if not counts.any():
+        return pa.array([], pa.large_string()), np.empty(0, np.int64), counts
+    joined = pa.array([CUT.join(t for t in texts if t)], pa.large_string())
+    chunks = pc.split_pattern(joined, CUT).flatten().dictionary_encode()
+    return chunks.dictionary, chunks.indices.to_numpy().astype(np.int64), counts
+
+
+def gather(flat: np.ndarray, starts: np.ndarray, numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts one behind the other and how many each has, from the ids of chunks and where those of each start."""
+    lists = pa.LargeListArray.from_arrays(pa.array(starts), pa.array(flat))
+    ends = np.concatenate([[0], np.cumsum(starts[numbers + 1] - starts[numbers])])
+    cuts = np.concatenate([[0], np.cumsum(counts)])
+    return lists.take(pa.array(numbers)).flatten().to_numpy(), np.diff(ends[cuts])
+
+
 class ChunkTable(dict):
     """Numbers distinct chunks and keeps the ids of each.
 
@@ -66,22 +87,10 @@ class ChunkTable(dict):
         return numbers
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one behind the other, and how many each has.
-
-        A text is its chunks with ``CUT`` between them, or empty.
-        """
+        """Ids of all texts one behind the other, and how many each has; see ``cut_up`` for the texts."""
         if len(self) > self._limit or self._bytes > self._limit_bytes:
             self._reset()
-        counts = [t.count(CUT) + 1 if t else 0 for t in texts]
-        numbers = np.empty(0, np.int64)
-        if any(counts):
-            # Only the distinct chunks of these texts are looked up.
-            joined = pa.array([CUT.join(t for t in texts if t)], pa.large_string())
-            chunks = pc.split_pattern(joined, CUT).flatten().dictionary_encode()
-            numbers = self._numbers(chunks.dictionary)[chunks.indices.to_numpy()]
-        sizes = self._starts[numbers + 1] - self._starts[numbers]
-        table = pa.LargeListArray.from_arrays(pa.array(self._starts), pa.array(self._flat))
-        flat = table.take(pa.array(numbers)).flatten().to_numpy()
-        cuts = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-        before = np.concatenate([[0], np.cumsum(sizes)])
-        return flat, np.diff(before[cuts])
+        chunks, at, counts = cut_up(texts)
+        # Only the distinct chunks of these texts are looked up.
+        numbers = self._numbers(chunks)[at]
+        return gather(self._flat, self._starts, numbers, counts)
