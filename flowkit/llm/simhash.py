@@ -206,16 +206,15 @@ def close_prints(prints: DataFrame, distance: int = 3, bucket: int = BUCKET) ->
     """
     if not 0 <= distance <= 3:
         raise ValueError("variants find pairs that differ in three bits at most")
-    first = _variants(prints).select(
+    # The first buckets are sorted by their key alone; the other columns are put beside it behind the shuffle.
+    rows = _variants(prints).repartition("key").sortWithinPartitions("key").select(
         F.col("key").alias("route"), F.col("key").alias("base"), F.lit(0xFFFFFFFF).alias("rest"), "print"
     )
-    out, rows, bits = None, first, 32
+    out, bits = None, 32
     while True:
         last = bits <= _FEW_BITS
         found = materialize(
-            rows.repartition("route")
-            .sortWithinPartitions("route", "base", "rest")
-            .mapInArrow(_links(distance, None if last else bucket), "u long, v long, route long, base long, rest long"),
+            rows.mapInArrow(_links(distance, None if last else bucket), "u long, v long, route long, base long, rest long"),
             "close-prints",
         )
         links = found.where("route IS NULL").select("u", "v")
@@ -223,7 +222,7 @@ def close_prints(prints: DataFrame, distance: int = 3, bucket: int = BUCKET) ->
         large = found.where("route IS NOT NULL")
         if last or large.isEmpty():
             return out
-        rows = large.mapInArrow(_split, _BUCKETS_DDL)
+        rows = large.mapInArrow(_split, _BUCKETS_DDL).repartition("route").sortWithinPartitions("route", "base", "rest")
         # The largest part of the rest is gone from some buckets, the smallest from others.
         bits -= bits // _CUTS
 
