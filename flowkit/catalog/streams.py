@@ -21,10 +21,9 @@ from flowkit.functions.jsonrow import to_json_text
 from flowkit.functions.times import RFC3339
 from flowkit.plans import stream_jobs
 from flowkit.session import scratch_dir
-from flowkit.sinks.messages import start_append
 from flowkit.sources.messagelog import publish_messages, read_message_log
 from flowkit.sources.messages import read_messages
-from flowkit.streaming.late import CLOSED, count_with_late
+from flowkit.streaming.late import CLOSED, start_count_with_late
 from flowkit.streaming.ledger import read_table_folder, start_table_append
 from flowkit.streaming.replay import replay, time_slices
 from flowkit.streaming.windows import bounds_as_text
@@ -188,16 +187,22 @@ def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select(
         text.encode(F.col("event_type")).alias("value"), F.col("ts").cast("timestamp").alias("ts")
     )
-    first, last = time_slices(events, "ts", _SLICES)
-    # The closing message has no type, so it is counted apart from them.
-    slices = [first, _closed(last, ""), first]
+    # Events without a time are in no window and no day.
+    whole = F.lit(1).cast("bigint").alias("n")
+    untimed = events.where("ts IS NULL").select(
+        text.decode(F.col("value")).alias("key"), F.col("ts").alias("opens"), whole, F.lit(CLOSED).alias("kind")
+    )
 
     def start(stream, path, state):
         rows = stream.select(text.decode(F.col("value")).alias("type"), "ts")
-        return start_append(count_with_late(rows, "type", "ts", "1 day"), path, state, available_now=True)
-
-    out = replay(slices, partial(read_messages, spark), start)
-    found = spark.read.schema("key string, opens timestamp, n bigint, kind string").parquet(out).where("key <> ''")
+        return start_count_with_late(rows, "type", "ts", "1 day", path, state, available_now=True)
+
+    found, slices = untimed, time_slices(events, "ts", _SLICES)
+    if slices:
+        first, last = slices
+        # The window of the closing message stays open, so it is not among the rows.
+        out = replay([first, _closed(last, ""), first], partial(read_messages, spark), start)
+        found = spark.read.schema("key string, opens timestamp, n bigint, kind string").parquet(out).unionByName(untimed)
     own = lambda kind: F.coalesce(F.sum(F.when(kind, F.col("n"))), F.lit(0))
     return found.groupBy(F.col("key").alias("event_type"), F.col("opens").cast("date").cast("string").alias("day")).agg(
         own(F.col("kind") == CLOSED).alias("closed"), own(F.col("kind") != CLOSED).alias("late")

@@ -7,8 +7,11 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from flowkit.session import state_in_rocksdb
+from flowkit.sinks.messages import start_append
 from flowkit.streaming.windows import with_event_time
 
 #: Kinds of rows that come out.
@@ -58,7 +61,9 @@ def count_with_late(df: DataFrame, key: str, ts: str, size: str, delay: str = "0
     batch has brought; a window none of whose rows was in time has only late
     ones. So the sum of ``n`` is the number of rows, but for windows still
     open. Keys are text, window bounds whole milliseconds; rows without an
-    event time are left out. The count of one window and key is the state.
+    event time are left out. The count of one window and key is the state;
+    it has a timer, so the stream has to start in a session that keeps state
+    in RocksDB, as ``start_count_with_late`` sees to.
     """
     dated = with_event_time(df, ts, delay)
     window = F.window(ts, size)
@@ -68,3 +73,18 @@ def count_with_late(df: DataFrame, key: str, ts: str, size: str, delay: str = "0
     return rows.groupBy("key", "start", "end").transformWithStateInPandas(
         statefulProcessor=_WindowCounts(), outputStructType=_OUT, outputMode="Append", timeMode="EventTime"
     )
+
+
+def start_count_with_late(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    size: str,
+    path: str,
+    checkpoint: str,
+    delay: str = "0 seconds",
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Append what ``count_with_late`` gives out to a parquet folder, in a session of any settings."""
+    with state_in_rocksdb(df.sparkSession):
+        return start_append(count_with_late(df, key, ts, size, delay), path, checkpoint, available_now)

@@ -4,11 +4,13 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from flowkit.catalog import QUERIES, SQL
 from flowkit.functions import text
 from flowkit.sinks.messages import start_append
 from flowkit.sources.messages import read_messages
 from flowkit.streaming.late import CLOSED, LATE, count_with_late
 from flowkit.streaming.replay import replay
+from tests.compare import connect, difference
 
 START = datetime(2024, 1, 1)
 
@@ -49,3 +51,28 @@ def test_a_delay_waits(spark):
 def test_rows_without_time_or_key(spark):
     got = run(spark, [[(None, "a"), (1, None), (1, "")], [(50, "z")]])
     assert sum(n for k, _, n, _ in got if k != "z") == 2
+
+
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def test_late_rows_in_a_session_of_other_settings(spark, tmp_path):
+    before = spark.conf.get(PROVIDER)
+    memory = before.replace("RocksDBStateStore", "HDFSBackedStateStore")
+    days = [0, 0.5, 0.5, 1.2, 3, None, 8.5, 9.25, None, 10]
+    types = ["a", None, "", "a", None, "a", "", "b", None, "a"]
+    # The last event is at midnight.
+    stamped = [(t, None if d is None else START + timedelta(days=d)) for t, d in zip(types, days)]
+    try:
+        spark.conf.set(PROVIDER, memory)
+        for name, events in (("some", stamped), ("none", []), ("untimed", [("a", None)])):
+            folder = f"{tmp_path}/{name}"
+            frame = spark.createDataFrame(events, "event_type string, ts timestamp_ntz")
+            frame.coalesce(1).write.parquet(f"{folder}/written")
+            (part,) = (tmp_path / name / "written").glob("part-*.parquet")
+            part.rename(f"{folder}/events.parquet")
+            got = QUERIES["stream_late_rows"](spark, folder)
+            assert difference(got, connect(folder), SQL["stream_late_rows"]) is None, name
+            assert spark.conf.get(PROVIDER) == memory
+    finally:
+        spark.conf.set(PROVIDER, before)
