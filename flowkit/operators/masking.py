@@ -5,11 +5,12 @@ The model is a table: for each word its most frequent successor.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowkit.functions import text
 from flowkit.operators.joins import lookup_join
+from flowkit.session import materialize
 
 
 def bigram_counts(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -87,55 +88,91 @@ def predict_between(contexts: DataFrame, model: DataFrame) -> DataFrame:
     and is read several times. Words that the model does not know may stand on
     either side; a NULL on either side drops out.
 
-    Not every word is tried, and no candidate that could win is left out: a
-    word that follows ``before`` or precedes ``after`` is in their lists, and
-    of all others the best is the one with the fewest successors. The list of
-    ``before`` is cut, while it is joined, by a bound: what its word would
-    score with the most frequent predecessor of ``after``.
+    Not every word is tried, and no candidate that could win is left out. The
+    best word that follows ``before``, the best that precedes ``after`` and,
+    of all words, the one with the fewest successors are compared first. Only
+    a word that both follows and precedes can be better; the lists of both are
+    in the order of what their words score on that side alone, and the one is
+    read whose start, as far as a word could still win with the most frequent
+    pair of the other side, is shorter.
     """
     asked = contexts.select("before", "after").where("before IS NOT NULL AND after IS NOT NULL").distinct()
+    asked = materialize(asked, "contexts")
     size = model.agg(F.countDistinct("next").alias("size")).scalar()
     words = model.withColumn("size", size)
     one = F.lit(0).cast("bigint")
 
-    def best(score, *others):
-        return F.max(F.struct(score.alias("score"), F.col("next").alias("word"), *others))
+    def chance(before, after, follows="follows"):
+        return _weight(before, after, F.col(follows), F.col("size"))
 
     # The best word that neither follows nor precedes any of the two: one row.
-    rarest = words.agg(best(_weight(one, one, F.col("follows"), F.col("size"))).alias("rare")).scalar()
-    # Per word before it: the best of its successors, whatever comes after.
+    found = F.struct(chance(one, one).alias("score"), F.col("next").alias("word"))
+    rarest = words.agg(F.max(found).alias("rare")).scalar()
     pairs = words.where("prev IS NOT NULL")
-    ahead = pairs.groupBy(F.col("prev").alias("b")).agg(best(_weight(F.col("n"), one, F.col("follows"), F.col("size"))).alias("ahead"))
-    # Per word behind it: the best of its predecessors, and the count of the most frequent one.
     begun = words.groupBy(F.col("next").alias("w")).agg(F.first("follows").alias("begins"))
-    behind = (
-        pairs.join(begun, F.col("prev") == F.col("w"))
-        .groupBy(F.col("next").alias("a"))
-        .agg(
-            F.max(F.struct(_weight(one, F.col("n"), F.col("begins"), F.col("size")).alias("score"), F.col("prev").alias("word"))).alias("behind"),
-            F.max("n").alias("most"),
+    # Per word before it, its successors; per word behind it, its predecessors; of no words but those asked for.
+    wanted = {side: asked.select(F.col(side).alias("key")).distinct() for side in ("before", "after")}
+    ahead = pairs.withColumn("key", F.col("prev")).join(wanted["before"], "key", "left_semi")
+    behind = pairs.withColumn("key", F.col("next")).join(wanted["after"], "key", "left_semi")
+    lists = {
+        "before": ahead.select("key", F.col("next").alias("word"), "n", "follows", "size"),
+        "after": behind.join(begun, F.col("prev") == F.col("w")).select(
+            "key", F.col("prev").alias("word"), "n", F.col("begins").alias("follows"), "size"
+        ),
+    }
+    # Read several times below.
+    lists = {side: materialize(rows, f"words-{side}") for side, rows in lists.items()}
+    known = asked
+    for side, rows in lists.items():
+        own = F.struct(chance(F.col("n"), one).alias("score"), "word", "n", "follows")
+        first = rows.groupBy(F.col("key").alias(f"{side}_key")).agg(F.max(own).alias(f"{side}_best"), F.max("n").alias(f"{side}_most"))
+        known = known.join(first, F.col(side) == F.col(f"{side}_key"), "left")
+    alone = [F.struct(F.col(f"{side}_best.score"), F.col(f"{side}_best.word")) for side in lists]
+    alone = [F.when(F.col(f"{side}_key").isNotNull(), x) for side, x in zip(lists, alone)]
+    known = materialize(known.withColumn("floor", F.greatest(*alone, rarest)), "known")
+    floors = known.select("before", "after", F.col("floor").alias("found"))
+
+    # The best of either side with its count on the other one: what a word has to beat.
+    both = known.where("before_key IS NOT NULL AND after_key IS NOT NULL").withColumn("size", size)
+    counted = pairs.select(F.col("prev").alias("p"), F.col("next").alias("q"), F.col("n").alias("m"))
+    for side, other, ends in (("before", "after", ("before_best.word", "after")), ("after", "before", ("before", "after_best.word"))):
+        met = counted.toDF("p", "q", f"{other}_met")
+        both = both.join(met, (F.col(ends[0]) == F.col("p")) & (F.col(ends[1]) == F.col("q")), "left").drop("p", "q")
+        score = chance(F.col(f"{side}_best.n"), F.coalesce(f"{other}_met", one), f"{side}_best.follows")
+        both = both.withColumn("floor", F.greatest("floor", F.struct(score.alias("score"), F.col(f"{side}_best.word").alias("word"))))
+    both = materialize(both, "both")
+    floors = floors.unionByName(both.select("before", "after", F.col("floor").alias("found")))
+
+    def reach(side, other):
+        """The list of a side in its order, and how much of it each context has to read."""
+        rows = lists[side].join(both.select(F.col(side).alias("key")).distinct(), "key", "left_semi")
+        # A little lower, as it is divided in another order.
+        least = F.col("floor.score") / (F.col(f"{other}_most") + 1) * (1 - 1e-9)
+        entries = rows.select(
+            "key", chance(F.col("n"), one).alias("score"), F.lit(0).alias("asks"), "word", "n", "follows", F.lit(None).cast("string").alias("other")
         )
-    )
-    known = (
-        asked.join(ahead, F.col("before") == F.col("b"), "left")
-        .join(behind, F.col("after") == F.col("a"), "left")
-        .select("before", "after", F.coalesce("most", F.lit(0)).alias("most"), F.greatest("ahead", "behind", rarest).alias("floor"))
-    )
-    follow = pairs.select(
-        F.col("prev").alias("b"), F.col("next").alias("word"), F.col("n").alias("n1"), "follows", "size"
-    )
-    bound = _weight(F.col("n1"), F.col("most"), F.col("follows"), F.col("size")) >= F.col("floor.score")
-    tried = known.join(follow, (F.col("before") == F.col("b")) & bound)
-    second = pairs.select(F.col("prev").alias("p"), F.col("next").alias("q"), F.col("n").alias("n2"))
-    scored = tried.join(second, (F.col("word") == F.col("p")) & (F.col("after") == F.col("q")), "left").select(
-        "before",
-        "after",
-        F.struct(
-            _weight(F.col("n1"), F.coalesce("n2", F.lit(0)), F.col("follows"), F.col("size")).alias("score"), "word"
-        ).alias("found"),
-    )
-    every = known.select("before", "after", F.col("floor").alias("found")).unionByName(scored)
-    return every.groupBy("before", "after").agg(F.max("found")["word"].alias("predicted"))
+        asks = both.select(
+            F.col(side).alias("key"), least.alias("score"), F.lit(1).alias("asks"), F.lit(None).cast("string").alias("word"),
+            one.alias("n"), one.alias("follows"), F.col(other).alias("other"),
+        )
+        order = Window.partitionBy("key").orderBy(F.desc("score"), "asks").rowsBetween(Window.unboundedPreceding, 0)
+        placed = entries.unionByName(asks).withColumn("place", F.sum(1 - F.col("asks")).over(order))
+        entries = placed.where("asks = 0").select("key", "place", "word", "n", "follows")
+        return entries, placed.where("asks = 1").select(F.col("key").alias(side), F.col("other").alias(other), F.col("place").alias(f"{side}_reach"))
+
+    (ahead, ahead_reach), (behind, behind_reach) = reach("before", "after"), reach("after", "before")
+    reached = ahead_reach.join(behind_reach, ["before", "after"]).where("before_reach > 0 AND after_reach > 0")
+    for side, entries, shorter in (
+        ("before", ahead, F.col("before_reach") <= F.col("after_reach")), ("after", behind, F.col("before_reach") > F.col("after_reach"))
+    ):
+        places = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(f"{side}_reach"))).alias("at")
+        tried = reached.where(shorter).select("before", "after", places)
+        tried = tried.join(entries, (F.col(side) == F.col("key")) & (F.col("at") == F.col("place"))).withColumn("size", size)
+        ends = ("word", "after") if side == "before" else ("before", "word")
+        met = tried.join(counted, (F.col(ends[0]) == F.col("p")) & (F.col(ends[1]) == F.col("q")))
+        score = chance(F.col("n"), F.col("m"))
+        floors = floors.unionByName(met.select("before", "after", F.struct(score.alias("score"), "word").alias("found")))
+    return floors.groupBy("before", "after").agg(F.max("found")["word"].alias("predicted"))
 
 
 def predict_masked_between(df: DataFrame, column: str, model: DataFrame) -> DataFrame:

@@ -120,6 +120,20 @@ def test_masks_between_two_words(spark):
     assert {r.predicted for r in masking.predict_masked_between(texts, "t", nothing).collect()} == {""}
 
 
+def test_only_the_starts_of_lists_are_joined(spark):
+    r = np.random.default_rng(4)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    lines = [" ".join(letters[int(x)] for x in np.minimum(r.zipf(1.4, 12) - 1, 25)) for _ in range(80)]
+    model = masking.two_sided_model(masking.bigram_counts(spark.createDataFrame([(x,) for x in lines], "value string")))
+    asked = [(b, a) for b in [*letters[:12], "unknown"] for a in [*letters[:12], "unknown"]]
+    found = masking.predict_between(spark.createDataFrame(asked, "before string, after string"), model)
+    assert sorted(tuple(x) for x in found.collect()) == sorted((b, a, between(lines, b, a)) for b, a in asked)
+    # A join of every word that follows, filtered as it is joined, grows with contexts times words.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join " in x]
+    assert joins and not any("score" in x for x in joins)
+
+
 def test_no_cross_join(spark):
     lines = spark.createDataFrame([("a b c",)], "value string")
     model = masking.two_sided_model(masking.bigram_counts(lines))
