@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 CUT = "\0"
 #: Characters of texts that are encoded together.
 TOGETHER = 4 << 20
+#: Bytes of texts that a worker takes from a batch at once.
+SLICE = 1 << 20
 
 
 def together(texts: Sequence[str], most: int = TOGETHER) -> Iterator[tuple[int, int]]:
@@ -25,6 +27,24 @@ def together(texts: Sequence[str], most: int = TOGETHER) -> Iterator[tuple[int,
             first, size = i + 1, 0
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most`` bytes of a column, which bounds what a task holds beside them.
+
+    A worker outlives its tasks and stages, so what Arrow keeps of a slice
+    that is done with goes back to the system before the next one.
+    """
+    pool = pa.default_memory_pool()
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
+        first = 0
+        while first < batch.num_rows:
+            before = int(sizes[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(sizes, before + most)))
+            yield batch.slice(first, last - first)
+            pool.release_unused()
+            first = last
+
+
 def cut_up(texts: Sequence[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The distinct chunks of all texts, the number of each chunk one text after the other, and how many a text has.
 

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowkit.llm.chunks import slices
 from flowkit.session import materialize
 
 #: Bytes of test items that are sent to the tasks at once; more go in further rounds.
@@ -133,7 +134,7 @@ _LEAKS = pa.schema(
 
 def _scan(items):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 rows += [(doc_id, *m) for m in matches(normal(text), items.value)]
@@ -194,7 +195,7 @@ def find_leaks(
 
 def _clean(items):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             texts = batch.column("text").to_pylist()
             keep = [t is None or not matches(normal(t), items.value) for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))

@@ -14,10 +14,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowkit.llm.chunks import CUT, ChunkTable, together
+from flowkit.llm.chunks import CUT, ChunkTable, slices
 
 _MARK = "▁"
 _SPACES = re.compile(r"^[^ ]+| +[^ ]*")
+#: Distinct words, and bytes of them and their ids, at which the table is started anew.
+_WORDS, _WORDS_BYTES = 150_000, 16 << 20
 
 
 class PieceCoder:
@@ -40,7 +42,7 @@ class PieceCoder:
         kept = all(self.model.decode(self.model.encode(x)) == x for x in probes)
         self.mark = self.model.piece_to_id(_MARK)
         self.by_word = not crossing and kept and self.model.encode(" ") != self.model.encode("")
-        self.table = ChunkTable(self._encode)
+        self.table = ChunkTable(self._encode, _WORDS, _WORDS_BYTES)
 
     def _encode(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = chunks.to_pylist()
@@ -96,16 +98,14 @@ def _coder(path: str) -> PieceCoder:
 def _encoded(path: str, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path)
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in together(texts):
-                ids = coder.encode(texts[a:b])
-                offsets = pa.array(np.concatenate([[0], np.cumsum([len(i) for i in ids])]), pa.int32())
-                flat = pa.array(np.concatenate(ids).astype(np.int32))
-                columns = [batch.column("doc_id").slice(a, b - a), pa.ListArray.from_arrays(offsets, flat)]
-                if decoded:
-                    columns.append(pa.array(coder.decode(ids), pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "text"][: len(columns)])
+        for batch in slices(batches, "text"):
+            ids = coder.encode(batch.column("text").to_pylist())
+            offsets = pa.array(np.concatenate([[0], np.cumsum([len(i) for i in ids])]), pa.int32())
+            flat = pa.array(np.concatenate(ids).astype(np.int32))
+            columns = [batch.column("doc_id"), pa.ListArray.from_arrays(offsets, flat)]
+            if decoded:
+                columns.append(pa.array(coder.decode(ids), pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "text"][: len(columns)])
 
     return run
 
@@ -151,19 +151,17 @@ def piece_digests(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(model)
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in together(texts):
-                ids = coder.encode(texts[a:b])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(a, b - a),
-                        pa.array([len(i) for i in ids], pa.int64()),
-                        pa.array([hashlib.sha256(i.tobytes()).hexdigest() for i in ids]),
-                        pa.array([hashlib.sha256(t.encode()).hexdigest() for t in coder.decode(ids)]),
-                    ],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+        for batch in slices(batches, "text"):
+            ids = coder.encode(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array([len(i) for i in ids], pa.int64()),
+                    pa.array([hashlib.sha256(i.tobytes()).hexdigest() for i in ids]),
+                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in coder.decode(ids)]),
+                ],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
     return _plain(docs).mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowkit.llm.chunks import slices
 from flowkit.llm.components import component_roots
 from flowkit.session import materialize
 
@@ -42,7 +43,7 @@ def simhash(text: bytes, shingle: int = 3) -> int:
 
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "body"):
             texts = batch.column("body").to_pylist()
             prints = np.array([simhash(t, shingle) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(

@@ -6,12 +6,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from flowkit.llm.chunks import ChunkTable, together
-from flowkit.llm.pieces import PieceCoder, decode_pieces, encode_pieces, piece_digests
+from flowkit.llm.chunks import SLICE, ChunkTable, slices, together
+from flowkit.llm.pieces import PieceCoder, _coder, _encoded, decode_pieces, encode_pieces, piece_digests
 from flowkit.llm.tokens import ByteCoder, WaveletMatrix, token_files
 from tests.llm.helpers import clashing, corpus, frame
 
@@ -109,6 +110,27 @@ def test_runs_of_texts():
     assert list(together([])) == []
 
 
+def test_slices_of_batches():
+    texts = ["a" * n if n is not None else None for n in (3, 0, None, 9, 2, 2, 2, 1)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(t, pa.string())], names=["text"]) for t in (texts, [], texts[3:])]
+    cut = [b.column(0).to_pylist() for b in slices(iter(batches), "text", 5)]
+    assert [x for b in cut for x in b] == texts + texts[3:]
+    assert all(len(b) == 1 or sum(len(x or "") for x in b) <= 5 for b in cut) and len(cut) == 7
+
+
+def test_a_large_batch_is_encoded_in_slices():
+    # Distinct words: with their ids a worker would hold many times the texts.
+    texts = [" ".join(f"{n * 7919 % 1000003:08x}" for n in range(i, i + 1000)) for i in range(0, 300_000, 1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(texts)], names=["doc_id", "text"])
+    back, in_table = [], []
+    for out in _encoded(PIECES, True)(iter([batch])):
+        assert out.column("text").nbytes < 1.1 * SLICE
+        back += zip(out.column("doc_id").to_pylist(), out.column("text").to_pylist())
+        in_table.append(len(_coder(PIECES).table))
+    assert back == list(enumerate(texts))
+    assert max(in_table) < 150_000 + SLICE / 9
+
+
 ROWS = [*[(i * 3 % 101, t) for i, t in enumerate(TEXTS)], (500, None), (None, "no id"), (500, "same id"), (500, "same id")]
 
 
